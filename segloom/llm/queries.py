@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, media, packing, token_store
-from .common import shared_path, table
+from . import bpe, exact_dedup, media, packing, quality, secrets, token_store, url_filter
+from .common import id_remainder, shared_path, table
 
 
 def tokenizer_path() -> str:
@@ -20,6 +20,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -31,6 +35,10 @@ def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -45,12 +53,22 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = quality.fit_quality(documents, table(spark, sf_dir, "labels"))
+    scored = quality.score_quality(documents, model)
+    return scored.select("doc_id", (id_remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op2_packing": op2_packing,
     "op3_media_columns": op3_media_columns,
+    "op4_secret_scan": op4_secret_scan,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_store": op7_token_store,
     "op9_bpe": op9_bpe,
+    "op10_quality": op10_quality,
 }
 
 ORACLES = {
