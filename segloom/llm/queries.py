@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, media, packing, quality, secrets, token_store, url_filter
+from . import bpe, exact_dedup, jaccard, media, packing, quality, secrets, token_store, url_filter
 from .common import id_remainder, shared_path, table
 
 
@@ -49,6 +49,10 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_tokens(spark, target)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -67,6 +71,7 @@ QUERIES = {
     "op4_secret_scan": op4_secret_scan,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_store": op7_token_store,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
 }
