@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, jaccard, media, packing, quality, secrets, token_store, url_filter
+from . import bpe, exact_dedup, jaccard, lm, media, packing, quality, secrets, token_store, url_filter
 from .common import id_remainder, shared_path, table
 
 
@@ -39,6 +39,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_media_columns": op3_media_columns,
     "op4_secret_scan": op4_secret_scan,
+    "op5_lm_score": op5_lm_score,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_store": op7_token_store,
     "op8_jaccard_join": op8_jaccard_join,
