@@ -204,30 +204,35 @@ def shared_shingles(df: DataFrame, words: int, text_col: str) -> DataFrame:
     return dealt.groupBy("range").applyInArrow(meet, "name long, n long, hash long, df int")
 
 
-def low_bits(spark, column: str):
+def low_bits(spark, column):
     """A frequent shingle's hash in the form that shared_shingles gives: the middle bits cleared."""
     bits = max(4, (partitions(spark) - 1).bit_length())
     mask = ((1 << 48) - 1) | (((1 << bits) - 1) << (64 - bits))
-    return F.col(column).bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
+    return column.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
 
 
-def prefixes(shared: DataFrame, percent: int, verify_cost: int = 40, most: int = 16) -> DataFrame:
+def prefixes(shared: DataFrame, frequent: DataFrame, percent: int, verify_cost: int = 40, most: int = 8) -> DataFrame:
     """(name, n, m, shingles array<long>, k, prefix array<long>) of the sets that can have a link.
 
-    ``shingles`` are the shared ones from rare to frequent, m of n. ``k`` shared prefix shingles are asked for.
+    ``shared``: (name, n, hash, df); ``frequent``: (name, n, frequent array<long>), in which each batch names what it
+    did not send, so one array of a set is enough. ``shingles`` are the shared ones from rare to frequent, m of n.
+    ``k`` shared prefix shingles are asked for.
     """
-    grouped = shared.groupBy("name", "n").agg(F.collect_set(F.struct("df", "hash")).alias("s"))
-    able = grouped.where(F.size("s") * 100 >= F.col("n") * percent).select("name", "n", F.col("s.df").alias("df"), F.col("s.hash").alias("hash"))
+    rows = shared.select("name", "n", F.struct("df", "hash").alias("one"), F.lit(None).cast("array<long>").alias("frequent"))
+    rows = rows.unionByName(frequent.select("name", "n", F.lit(None).cast("struct<df:int,hash:bigint>").alias("one"), "frequent"))
+    grouped = rows.groupBy("name", "n").agg(F.collect_set("one").alias("s"), F.max_by("frequent", F.struct(F.size("frequent"), "frequent")).alias("f"))
+    able = grouped.where((F.size("s") + F.coalesce(F.size("f"), F.lit(0))) * 100 >= F.col("n") * percent).select("name", "n", F.col("s.df").alias("df"), F.col("s.hash").alias("hash"), "f")
 
     def run(batches):
         for b in batches:
             m, sets, ks, starts = [], [], [], []
-            for n, df, h in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-                df, h = np.array(df), np.array(h)
+            for n, df, h, f in zip(*(b.column(i).to_pylist() for i in (1, 2, 3, 4)), strict=True):
+                f = f or []
+                df, h = np.array(df + [_LAST] * len(f), np.int64), np.array(h + f, np.int64)
                 order = np.lexsort((h, df))
                 df, h = df[order], h[order]
                 same = np.ones(len(h), bool)
-                by_hash = np.argsort(h, kind="stable")  # a shingle that only some batches found frequent comes twice
+                by_hash = np.argsort(h, kind="stable")  # one that only some batches found frequent may come twice
                 same[by_hash[1:]] = h[by_hash[1:]] != h[by_hash[:-1]]
                 df, h = df[same], h[same]
                 least = -(-percent * n // 100)
@@ -272,12 +277,15 @@ def prefix_pairs(sets: DataFrame, components: DataFrame, percent: int) -> DataFr
     """(a, b) of different components that share as many prefix shingles as both ask for and may be long enough."""
     sizes = components.groupBy("component").agg(F.count("*").alias("members"))
     placed = sets.select("name", "n", "m", "k", "prefix").join(components.join(sizes, "component").withColumnRenamed("node", "name"), "name", "left")
-    placed = placed.select("name", "n", "m", "k", F.explode("prefix").alias("hash"), F.coalesce("component", "name").alias("component"), F.coalesce("members", F.lit(1)).alias("members"))
+    placed = placed.select("name", "n", "m", "k", F.posexplode("prefix").alias("at", "hash"), F.coalesce("component", "name").alias("component"), F.coalesce("members", F.lit(1)).alias("members"))
     spots = placed.groupBy("hash").agg(F.max_by("component", F.struct("members", "component")).alias("top"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     met = placed.join(spots.select("hash", "top"), "hash")
-    one = met.where("component <> top").select("hash", *(F.col(c).alias(f"{c}_a") for c in ("name", "n", "m", "k", "component")))
-    two = met.select("hash", "top", *(F.col(c).alias(f"{c}_b") for c in ("name", "n", "m", "k", "component")))
-    enough = F.least("m_a", "m_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    one = met.where("component <> top").select("hash", *(F.col(c).alias(f"{c}_a") for c in ("name", "n", "m", "k", "at", "component")))
+    two = met.select("hash", "top", *(F.col(c).alias(f"{c}_b") for c in ("name", "n", "m", "k", "at", "component")))
+    # of the shingles before this one the farther one has some that the other lacks
+    ahead = F.col("at_a") - F.col("at_b")
+    most = F.least(F.col("m_a") - F.greatest(ahead, F.lit(0)), F.col("m_b") - F.greatest(-ahead, F.lit(0)))
+    enough = most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
     fits = (F.col("component_a") != F.col("component_b")) & ((F.col("component_b") == F.col("top")) | (F.col("name_a") < F.col("name_b"))) & enough
     hits = one.join(two, "hash").where(fits).groupBy(F.least("name_a", "name_b").alias("a"), F.greatest("name_a", "name_b").alias("b")).agg(F.count("*").alias("c"), F.min(F.least("k_a", "k_b")).alias("k"))
     return hits.where("c >= k").select("a", "b")
@@ -293,9 +301,9 @@ def jaccard_components(df: DataFrame, words: int = 4, percent: int = 85, id_col:
     """
     spark = df.sparkSession
     documents = materialize(text_sets(df, words, id_col, text_col), "sets")
-    often = documents.where(F.size("frequent") > 0).select("name", "n", F.explode("frequent").alias("hash")).select("name", "n", low_bits(spark, "hash").alias("hash"), F.lit(_LAST).alias("df"))
-    shared = shared_shingles(df, words, text_col).unionByName(often)
-    sets = materialize(prefixes(shared, percent), "prefixes")
+    often = documents.where(F.size("frequent") > 0).select("name", "n", F.transform("frequent", lambda h: low_bits(spark, h)).alias("frequent"))
+    shared = shared_shingles(df, words, text_col)
+    sets = materialize(prefixes(shared, often, percent), "prefixes")
     star = materialize(verified(star_pairs(sets, percent), sets, percent), "star")
     first = connected_components(star)
     rest = materialize(verified(prefix_pairs(sets, first, percent), sets, percent), "rest")
