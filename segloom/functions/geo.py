@@ -210,8 +210,8 @@ def envelope(g: Column | str, kind: str) -> Column:
     """G14. STRUCT<x1, y1, x2, y2>."""
     g = _col(g)
     ps = _points(g, kind)
-    low = [F.array_min(F.transform(ps, lambda p, c=c: p[c])) for c in "xy"]
-    high = [F.array_max(F.transform(ps, lambda p, c=c: p[c])) for c in "xy"]
+    xs, ys = F.transform(ps, lambda p: p["x"]), F.transform(ps, lambda p: p["y"])
+    low, high = [F.array_min(xs), F.array_min(ys)], [F.array_max(xs), F.array_max(ys)]
     return F.when(~_empty(g, kind), F.struct(low[0].alias("x1"), low[1].alias("y1"), high[0].alias("x2"), high[1].alias("y2")))
 
 

@@ -243,7 +243,11 @@ def turn_restrictions(relations: DataFrame) -> DataFrame:
     a row each; both at once, or a missing role, drop the relation. The type comes from ``restriction``, or from
     the last ``restriction:<mode>`` tag, whose modes are listed.
     """
-    members = {r: F.filter("members", lambda x, r=r: F.lower(x["role"]) == r) for r in ("from", "via", "to")}
+
+    def role(name: str) -> Column:
+        return F.filter("members", lambda m: F.lower(m["role"]) == name)
+
+    members = {r: role(r) for r in ("from", "via", "to")}
     special = F.filter(F.map_entries("tags"), lambda e: e["key"].startswith("restriction:"))
     named = _known(F.try_element_at(special, F.lit(-1))["value"], RESTRICTIONS)
     kind = F.when(F.size(special) > 0, named).otherwise(_known(_tag("restriction"), RESTRICTIONS))

@@ -62,4 +62,4 @@ def idw_arrays(pairs: DataFrame, base_id: str, arrays: list[str], power: float =
     each = rows.groupBy(base_id, "pos").agg(*(F.try_divide(F.sum(F.col(f"e.{a}") * F.col("w")), F.sum("w")).alias(a) for a in arrays))
     lists = each.groupBy(base_id).agg(F.array_sort(F.collect_list(F.struct("pos", *arrays))).alias("s"))
     nearest = pairs.groupBy(base_id).agg(F.min(distance).alias("nearest_distance"))
-    return lists.join(nearest, base_id).select(base_id, *(F.transform("s", lambda e, a=a: e[a]).alias(a) for a in arrays), "nearest_distance")
+    return lists.join(nearest, base_id).select(base_id, *(F.col(f"s.{a}").alias(a) for a in arrays), "nearest_distance")

@@ -64,7 +64,11 @@ def view_hourly_forecast(base: DataFrame, mapping: DataFrame, enrichment: DataFr
     once = enrichment.groupBy(station, hour.alias("h")).agg(*(F.min_by(v, time_col).alias(v) for v in values))
     maps = once.groupBy(station).agg(F.map_from_entries(F.collect_list(F.struct("h", F.struct(*values)))).alias("m"))
     slots = F.sequence("forecast_start", "forecast_end", F.expr("interval 1 hour"))
-    filled = {f"{v}_hourly": F.transform(slots, lambda s, v=v: F.coalesce(F.try_element_at("m", s)[v], F.lit(missing))) for v in values}
+
+    def series(v: str) -> Column:
+        return F.transform(slots, lambda s: F.coalesce(F.try_element_at("m", s)[v], F.lit(missing)))
+
+    filled = {f"{v}_hourly": series(v) for v in values}
     arrays = maps.crossJoin(F.broadcast(span)).select(station, *(c.alias(n) for n, c in filled.items()))
     empty = {f"{v}_hourly": F.transform(slots, lambda s: F.lit(missing)) for v in values}
     at = F.greatest(F.lit(0), F.floor((F.unix_timestamp(F.date_trunc("hour", now)) - F.unix_timestamp("forecast_start")) / 3600)).cast("int")
