@@ -143,7 +143,7 @@ class ChunkCache:
     full, so memory stays bounded on any corpus.
     """
 
-    def __init__(self, vocabulary: Vocabulary, merge, limit: int = 300_000):
+    def __init__(self, vocabulary: Vocabulary, merge, limit: int = 160_000):
         self.vocabulary, self.merge, self.limit = vocabulary, merge, limit
         self.chunks: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}

@@ -92,7 +92,7 @@ def set_name(s: np.ndarray) -> int:
     return int(h.astype(np.int64)[0])
 
 
-def _parts(texts: list[bytes], limit: int = 6 << 20):
+def _parts(texts: list[bytes], limit: int = 2 << 20):
     """Ranges of rows of about ``limit`` bytes; both passes over the texts cut alike."""
     a, size = 0, 0
     for i, t in enumerate(texts):
