@@ -22,6 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .common import text_bytes
 
@@ -143,8 +144,8 @@ class ChunkCache:
     full, so memory stays bounded on any corpus.
     """
 
-    def __init__(self, vocabulary: Vocabulary, merge, limit: int = 160_000):
-        self.vocabulary, self.merge, self.limit = vocabulary, merge, limit
+    def __init__(self, vocabulary: Vocabulary, library: Tokenizer, merge, limit: int = 160_000):
+        self.vocabulary, self.library, self.merge, self.limit = vocabulary, library, merge, limit
         self.chunks: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.old_chunks: dict[bytes, bytes] = {}
@@ -159,7 +160,12 @@ class ChunkCache:
         return ids
 
     def _text(self, text: str) -> bytes:
-        return b"".join([self._word(p) for p in pieces(text)])
+        if not text.isprintable() and any(unicodedata.category(c) == "Cn" for c in text):
+            # signs of a later Unicode than Python's: only the library knows its own classes of them
+            found = [p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))]
+        else:
+            found = pieces(text)
+        return b"".join([self._word(p) for p in found])
 
     def _chunk(self, chunk: bytes) -> bytes:
         if chunk.isalpha():  # ASCII letters only
@@ -203,16 +209,15 @@ class ChunkCache:
 def tree_encoder(path: str) -> ChunkCache:
     """One encoder for each Python worker and file; merges by the segment tree."""
     v = Vocabulary(path)
-    return ChunkCache(v, v.merge)
+    return ChunkCache(v, Tokenizer.from_file(path), v.merge)
 
 
 @functools.cache
 def library_encoder(path: str) -> ChunkCache:
     """The same with the merges of the tokenizers library."""
-    from tokenizers import Tokenizer
-
-    model = Tokenizer.from_file(path).model
-    return ChunkCache(Vocabulary(path), lambda word: [t.id for t in model.tokenize(word)])
+    library = Tokenizer.from_file(path)
+    model = library.model
+    return ChunkCache(Vocabulary(path), library, lambda word: [t.id for t in model.tokenize(word)])
 
 
 def bpe_encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
