@@ -279,16 +279,19 @@ def prefix_pairs(sets: DataFrame, components: DataFrame, percent: int) -> DataFr
     placed = sets.select("name", "n", "m", "k", "prefix").join(components.join(sizes, "component").withColumnRenamed("node", "name"), "name", "left")
     placed = placed.select("name", "n", "m", "k", F.posexplode("prefix").alias("at", "hash"), F.coalesce("component", "name").alias("component"), F.coalesce("members", F.lit(1)).alias("members"))
     spots = placed.groupBy("hash").agg(F.max_by("component", F.struct("members", "component")).alias("top"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    met = placed.join(spots.select("hash", "top"), "hash")
-    one = met.where("component <> top").select("hash", *(F.col(c).alias(f"{c}_a") for c in ("name", "n", "m", "k", "at", "component")))
-    two = met.select("hash", "top", *(F.col(c).alias(f"{c}_b") for c in ("name", "n", "m", "k", "at", "component")))
+    met = placed.join(spots.select("hash", "top"), "hash").join(sets.select("name", "prefix"), "name")
+    own = ("name", "n", "m", "k", "at", "component", "prefix")
+    one = met.where("component <> top").select("hash", *(F.col(c).alias(f"{c}_a") for c in own))
+    two = met.select("hash", "top", *(F.col(c).alias(f"{c}_b") for c in own))
     # of the shingles before this one the farther one has some that the other lacks
     ahead = F.col("at_a") - F.col("at_b")
     most = F.least(F.col("m_a") - F.greatest(ahead, F.lit(0)), F.col("m_b") - F.greatest(-ahead, F.lit(0)))
     enough = most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
-    fits = (F.col("component_a") != F.col("component_b")) & ((F.col("component_b") == F.col("top")) | (F.col("name_a") < F.col("name_b"))) & enough
-    hits = one.join(two, "hash").where(fits).groupBy(F.least("name_a", "name_b").alias("a"), F.greatest("name_a", "name_b").alias("b")).agg(F.count("*").alias("c"), F.min(F.least("k_a", "k_b")).alias("k"))
-    return hits.where("c >= k").select("a", "b")
+    # a pair appears at the first of its common prefix shingles only
+    common = F.array_intersect("prefix_a", "prefix_b")
+    matches = (common[0] == F.col("hash")) & (F.size(common) >= F.least("k_a", "k_b"))
+    fits = (F.col("component_a") != F.col("component_b")) & ((F.col("component_b") == F.col("top")) | (F.col("name_a") < F.col("name_b"))) & enough & matches
+    return one.join(two, "hash").where(fits).select(F.least("name_a", "name_b").alias("a"), F.greatest("name_a", "name_b").alias("b"))
 
 
 def jaccard_components(df: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
