@@ -12,7 +12,7 @@ from ..functions import geo, grid
 from .shared import materialize
 
 #: Enrichment tables up to this many rows are broadcast whole; larger ones go through the grid.
-SMALL_ROWS = 2_000
+SMALL_ROWS = 200
 
 
 def _kinds(base: DataFrame, enr: DataFrame, base_geom: str, enr_geom: str) -> tuple[str, str]:
@@ -55,10 +55,10 @@ def nearest(
     """M1-M3, M15. The k nearest enrichment rows of each base row, with their distance; base rows are never kept alone.
 
     Ties go to the smaller enrichment id. ``order_by`` replaces the planar distance as order and result; it may
-    use both tables' columns (those of the enrichment with ``enr_`` where names clash) and needs an enrichment of at
-    most ``small_rows`` rows. Larger ones are searched in rings: candidates within a radius are found by
-    a grid join, rows with k candidates are final, since all others are farther, and the rest try three times
-    the radius. Null geometries match nothing.
+    use both tables' columns (those of the enrichment with ``enr_`` where names clash); it compares all pairs, which a
+    warning says for an enrichment of more than ``small_rows`` rows. Otherwise larger ones are searched in rings:
+    candidates within a radius are found by a grid join, rows with k candidates are final, since all others are
+    farther, and the rest try three times the radius. Null geometries match nothing.
     """
     kinds = _kinds(base, enr, base_geom, enr_geom)
     other = _apart(base, enr.where(F.col(enr_geom).isNotNull()))
@@ -66,10 +66,10 @@ def nearest(
     usable = base.where(F.col(base_geom).isNotNull())
     few = enr.limit(small_rows + 1).count() <= small_rows
     if order_by is not None and not few:
-        raise ValueError(f"an own order needs at most {small_rows} enrichment rows: take within() and top_k()")
-    if few:
+        warnings.warn("an order of your own compares all pairs of rows; within() and top_k() bound them", stacklevel=2)
+    if few or order_by is not None:
         measure = geo.distance(F.col(base_geom), F.col(geom), kinds) if order_by is None else (F.expr(order_by) if isinstance(order_by, str) else order_by)
-        joined = usable.crossJoin(F.broadcast(other)).withColumn(distance, measure).where(F.col(distance).isNotNull())
+        joined = usable.crossJoin(F.broadcast(other) if few else other).withColumn(distance, measure).where(F.col(distance).isNotNull())
         return _top(joined, base_id, [F.col(distance).asc(), F.col(key).asc()], k)
     return _rings(usable, other, k, kinds, base_geom, geom, base_id, key, distance)
 
@@ -85,7 +85,7 @@ def _rings(base: DataFrame, enr: DataFrame, k: int, kinds: tuple[str, str], base
         return _candidates(base, enr, 1.0, kinds, base_geom, geom, distance).limit(0)
     whole = math.hypot(max(b[2], e[2]) - min(b[0], e[0]), max(b[3], e[3]) - min(b[1], e[1])) or 1.0
     area = max(e[2] - e[0], whole / 1e4) * max(e[3] - e[1], whole / 1e4)
-    radius = min(whole, 1.5 * math.sqrt(area * k / e[4] / math.pi))
+    radius = min(whole, 2.5 * math.sqrt(area * k / e[4] / math.pi))  # about 6 k candidates: few rows need another round
     rest, parts = base, []
     while True:
         last = radius >= whole
