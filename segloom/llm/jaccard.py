@@ -93,7 +93,7 @@ def set_name(s: np.ndarray) -> int:
 
 
 def _parts(texts: list[bytes], limit: int = 2 << 20):
-    """Ranges of rows of about ``limit`` bytes; both passes over the texts cut alike."""
+    """Ranges of rows of about ``limit`` bytes. No result may depend on where they end: two passes may cut apart."""
     a, size = 0, 0
     for i, t in enumerate(texts):
         if size and size + len(t) > limit:
@@ -125,31 +125,34 @@ def _frequent(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def text_sets(df: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, name, frequent array<long>): a row a document; frequent shingles of its batch, once a set."""
+    """(id, n, name): a row a document."""
 
     def run(batches):
         for b in batches:
             texts = b.column(1).to_pylist()
             for a, z in _parts(texts):
-                sets, names, once, hashes, owner = _batch(texts[a:z], words)
-                mask, _ = _frequent(hashes)
-                frequent: list[list[int]] = [[] for _ in sets]
-                for h, o in zip(hashes[mask].astype(np.int64).tolist(), owner[mask].tolist(), strict=True):
-                    frequent[once[o]].append(h)
-                columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.array(frequent, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), *columns], names=["id", "n", "name", "frequent"])
+                sets = shingle_sets(texts[a:z], words)
+                columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array([set_name(s) for s in sets], pa.int64())]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), *columns], names=["id", "n", "name"])
 
     source = df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
-    return source.mapInArrow(run, f"id {df.schema[id_col].dataType.simpleString()}, n long, name long, frequent array<long>")
+    return source.mapInArrow(run, f"id {df.schema[id_col].dataType.simpleString()}, n long, name long")
 
 
 def shared_shingles(df: DataFrame, words: int, text_col: str) -> DataFrame:
-    """(name, n, hash, df): the shingles that two or more different sets have, but for those frequent in the set's own batch.
+    """(name, n, hash, df, frequent array<long>): the shingles that two or more different sets have.
 
+    A row is one shingle with its df, or all those that the set's own batch found frequent and did not send to their
+    hash ranges; they go to ranges of set names. Both come from one pass: what is left out here is named here.
     df counts the sets; it is the largest number where a batch found the shingle frequent.
     """
     bits = max(4, (partitions(df.sparkSession) - 1).bit_length())
     shift = _U(64 - bits)
+    # 48 low bits and the bits of the range: a shingle keeps 48 + log2(ranges) bits, so they grow with the cluster
+    kept = _U((1 << 48) - 1 | ((1 << bits) - 1) << (64 - bits))
+
+    def owners(local: np.ndarray, used: np.ndarray) -> bytes:
+        return local.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32).tobytes()
 
     def deal(batches):
         for b in batches:
@@ -159,6 +162,7 @@ def shared_shingles(df: DataFrame, words: int, text_col: str) -> DataFrame:
                 if not once:
                     continue
                 mask, frequent = _frequent(hashes)
+                unsent, unsent_owner = hashes[mask] & kept, owner[mask]
                 hashes, owner = hashes[~mask], owner[~mask]
                 heads = np.arange(1 << bits, dtype=_U) << shift
                 cut, often = np.append(np.searchsorted(hashes, heads), len(hashes)), np.append(np.searchsorted(frequent, heads), len(frequent))
@@ -169,12 +173,31 @@ def shared_shingles(df: DataFrame, words: int, text_col: str) -> DataFrame:
                     if x == y and often[r] == often[r + 1]:
                         continue
                     used, local = np.unique(owner[x:y], return_inverse=True)
-                    rows.append((r, hashes[x:y].view(np.uint8).reshape(-1, 8)[:, :6].tobytes(), local.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32).tobytes(), table[used].tobytes(), frequent[often[r] : often[r + 1]].tobytes()))
+                    rows.append((r, hashes[x:y].view(np.uint8).reshape(-1, 8)[:, :6].tobytes(), owners(local, used), table[used].tobytes(), frequent[often[r] : often[r + 1]].tobytes()))
+                place = (table[:, 0].view(_U) >> shift).astype(np.int64)[unsent_owner]
+                for r in np.unique(place).tolist():
+                    here = place == r
+                    used, local = np.unique(unsent_owner[here], return_inverse=True)
+                    rows.append(((1 << bits) + r, unsent[here].tobytes(), owners(local, used), table[used].tobytes(), b""))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), *[pa.binary()] * 4], strict=True)], names=["range", "hashes", "owners", "sets", "frequent"])
 
-    # 48 low bits and the bits of the range: a shingle keeps 48 + log2(ranges) bits, so they grow with the cluster
+    schema = pa.schema([("name", pa.int64()), ("n", pa.int64()), ("hash", pa.int64()), ("df", pa.int32()), ("frequent", pa.list_(pa.int64()))])
+
+    def named(rows: list[dict]) -> pa.Table:
+        tables = [schema.empty_table()]
+        for r in rows:
+            own = np.frombuffer(r["sets"], np.int64).reshape(-1, 2)
+            local = np.frombuffer(r["owners"], np.uint16 if len(own) <= 1 << 16 else np.uint32)
+            order = np.argsort(local, kind="stable")
+            ends = np.concatenate([[0], np.cumsum(np.bincount(local, minlength=len(own)))])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(r["hashes"], np.int64)[order]))
+            tables.append(pa.table({"name": own[:, 0], "n": own[:, 1], "hash": pa.nulls(len(own), pa.int64()), "df": pa.nulls(len(own), pa.int32()), "frequent": lists}, schema=schema))
+        return pa.concat_tables(tables)
+
     def meet(key: tuple, table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
+        if key[0].as_py() >> bits:
+            return named(rows)
         top = _U(key[0].as_py()) << shift
         names, sizes, low = [], [], []
         for r in rows:
@@ -197,29 +220,21 @@ def shared_shingles(df: DataFrame, words: int, text_col: str) -> DataFrame:
         df_ = np.repeat(counts, counts)
         df_[np.isin(low, often)] = _LAST
         shared = df_ > 1
-        return pa.table({"name": names[shared], "n": sizes[shared], "hash": (low[shared] | top).astype(np.int64), "df": df_[shared].astype(np.int32)}, schema=pa.schema([("name", pa.int64()), ("n", pa.int64()), ("hash", pa.int64()), ("df", pa.int32())]))
+        return pa.table({"name": names[shared], "n": sizes[shared], "hash": (low[shared] | top).astype(np.int64), "df": df_[shared].astype(np.int32), "frequent": pa.nulls(int(shared.sum()), pa.list_(pa.int64()))}, schema=schema)
 
     source = df.select(text_bytes(text_col).alias("text"))
     dealt = source.mapInArrow(deal, "range int, hashes binary, owners binary, sets binary, frequent binary")
-    return dealt.groupBy("range").applyInArrow(meet, "name long, n long, hash long, df int")
-
-
-def low_bits(spark, column):
-    """A frequent shingle's hash in the form that shared_shingles gives: the middle bits cleared."""
-    bits = max(4, (partitions(spark) - 1).bit_length())
-    mask = ((1 << 48) - 1) | (((1 << bits) - 1) << (64 - bits))
-    return column.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
+    return dealt.groupBy("range").applyInArrow(meet, "name long, n long, hash long, df int, frequent array<long>")
 
 
-def prefixes(shared: DataFrame, frequent: DataFrame, percent: int, verify_cost: int = 40, most: int = 8) -> DataFrame:
+def prefixes(shared: DataFrame, percent: int, verify_cost: int = 40, most: int = 8) -> DataFrame:
     """(name, n, m, shingles array<long>, k, prefix array<long>) of the sets that can have a link.
 
-    ``shared``: (name, n, hash, df); ``frequent``: (name, n, frequent array<long>), in which each batch names what it
-    did not send, so one array of a set is enough. ``shingles`` are the shared ones from rare to frequent, m of n.
+    ``shared``: (name, n, hash, df, frequent array<long>), in which each batch names in ``frequent`` what it did not
+    send, so one array of a set is enough. ``shingles`` are the shared ones from rare to frequent, m of n.
     ``k`` shared prefix shingles are asked for.
     """
-    rows = shared.select("name", "n", F.struct("df", "hash").alias("one"), F.lit(None).cast("array<long>").alias("frequent"))
-    rows = rows.unionByName(frequent.select("name", "n", F.lit(None).cast("struct<df:int,hash:bigint>").alias("one"), "frequent"))
+    rows = shared.select("name", "n", F.when(F.col("hash").isNotNull(), F.struct("df", "hash")).alias("one"), "frequent")
     grouped = rows.groupBy("name", "n").agg(F.collect_set("one").alias("s"), F.max_by("frequent", F.struct(F.size("frequent"), "frequent")).alias("f"))
     able = grouped.where((F.size("s") + F.coalesce(F.size("f"), F.lit(0))) * 100 >= F.col("n") * percent).select("name", "n", F.col("s.df").alias("df"), F.col("s.hash").alias("hash"), "f")
 
@@ -302,11 +317,8 @@ def jaccard_components(df: DataFrame, words: int = 4, percent: int = 85, id_col:
     link; rows that share an id and rows with equal sets are linked if they have shingles. A null id counts
     only where its component has no other. An empty table gives no rows.
     """
-    spark = df.sparkSession
     documents = materialize(text_sets(df, words, id_col, text_col), "sets")
-    often = documents.where(F.size("frequent") > 0).select("name", "n", F.transform("frequent", lambda h: low_bits(spark, h)).alias("frequent"))
-    shared = shared_shingles(df, words, text_col)
-    sets = materialize(prefixes(shared, often, percent), "prefixes")
+    sets = materialize(prefixes(shared_shingles(df, words, text_col), percent), "prefixes")
     star = materialize(verified(star_pairs(sets, percent), sets, percent), "star")
     first = connected_components(star)
     rest = materialize(verified(prefix_pairs(sets, first, percent), sets, percent), "rest")

@@ -111,3 +111,19 @@ def test_components_of_chains_and_stars(spark):
     assert all(got[i] == 100 for i in range(100, 141))
     assert all(got[k] == 7 for k in range(200, 260))
     assert 5 not in got
+
+
+@pytest.mark.parametrize("limit", [4500, 5500])
+def test_jaccard_batches_cut_by_bytes(spark, limit):
+    """Batches that end by bytes hold other rows with the id column than without it; no link may depend on that."""
+    body = " ".join(f"w{i}" for i in range(16))
+    texts = [f"{body} e{i:03}" for i in range(260)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, limit)
+    try:
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(df).collect()}
+    finally:
+        spark.conf.set(key, old)
+    assert [got[i] for i in range(len(texts))] == brute(texts, 4, 85)
