@@ -10,7 +10,7 @@ the occurrences of all others meet their counts in a join, so the vocabulary may
 
 Training is data-parallel: in each round every task trains its own copy on its training documents of one share
 (by text hash; another share in each round), and the copies are averaged by an aggregation. The driver sees only
-the model. Gradients thus come from ``rounds`` of ``shares`` parts of the training documents at every size.
+the model. There are as many shares as rounds, so every training document gives gradients, once.
 """
 
 from __future__ import annotations
@@ -197,12 +197,14 @@ class Trainer:
         if not len(ids):
             return
         rows = max(1, min(self.streams, len(ids) // self.steps))
-        length = len(ids) // rows
-        y = ids[: rows * length].reshape(rows, length).T
-        x = np.concatenate([[0], ids[:-1]])[: rows * length].reshape(rows, length).T
+        length, longer = divmod(len(ids), rows)  # the first rows have one more, which is a last window of its own
+        at = np.arange(rows) * length + np.minimum(np.arange(rows), longer) + np.arange(length)[:, None]
+        before = np.concatenate([[0], ids[:-1]])
+        windows = [at[a : a + self.steps] for a in range(0, length, self.steps)] + ([at[-1:, :longer] + 1] if longer else [])
         h = np.zeros((rows, self.net.shape.hidden), np.float32)
-        for a in range(0, length, self.steps):
-            xs, ys = x[a : a + self.steps], y[a : a + self.steps]
+        for w in windows:
+            xs, ys = before[w], ids[w]
+            h = h[: w.shape[1]]
             grads, h, logs = self.net.gradients(xs, ys, xs == 0, h)
             self.t += 1
             size = math.sqrt(sum(float((g * g).sum()) for g in grads.values()))
@@ -353,17 +355,17 @@ def average_round(training: DataFrame, model: Model, head: dict[bytes, int], sha
     return net.with_flat(flat[:-1] / flat[-1])
 
 
-def fit(training: DataFrame, counts: Counts, words: int = 4096, classes: int = 64, rounds: int = 2, shares: int = 8) -> Model:
-    """A model from (text binary) rows: the counts of all, gradients from ``rounds`` of ``shares`` equal parts."""
+def fit(training: DataFrame, counts: Counts, words: int = 4096, classes: int = 64, rounds: int = 8) -> Model:
+    """A model from (text binary) rows: counts and gradients of all, a share of the rows in each round."""
     ids, by_id, others = _vocabulary(counts, words)
     model = Model(Network.fresh(Shape(len(by_id)), by_id, classes), ids, others)
     for turn in range(rounds):
-        model.net = average_round(training, model, counts.head, shares, turn)
+        model.net = average_round(training, model, counts.head, rounds, turn)
     return model
 
 
 def score_documents(
-    df: DataFrame, head: int = 1 << 18, words: int = 4096, classes: int = 64, rounds: int = 2, shares: int = 8, held_out: tuple[int, int] = (7, 2), id_col: str = "doc_id", text_col: str = "text"
+    df: DataFrame, head: int = 1 << 18, words: int = 4096, classes: int = 64, rounds: int = 8, held_out: tuple[int, int] = (7, 2), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
@@ -375,7 +377,7 @@ def score_documents(
     rows = df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"), (id_remainder(id_col, divisor) == rest).alias("held_out"))
     training = rows.where(~F.col("held_out")).select("text")
     counts = corpus_counts(training, head)
-    model = fit(training, counts, words, classes, rounds, shares)
+    model = fit(training, counts, words, classes, rounds)
     ranks, logs = counts.head, np.append(np.log10(counts.head_counts + 1.0), 0.0)
     net, ids, documents = model.net, model.ids, counts.documents
     log_others = math.log10(model.others)

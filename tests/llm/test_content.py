@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from segloom.llm import lm, media, quality, queries, secrets, url_filter
 
@@ -219,6 +220,20 @@ def test_lm_gradients_and_learning():
     assert lm.score_texts(trainer.net, text)[0] > lm.score_texts(start, text)[0] + 5
 
 
+def test_lm_learns_from_every_document(spark):
+    """Words that stand in texts of one hash share only: the embedding of each has had a gradient."""
+    texts = spark.createDataFrame([(f"v{i} v{i} v{i}",) for i in range(40)] * 20, "text string").select(F.col("text").cast("binary").alias("text"))
+    assert {r[0] for r in texts.select(F.pmod(F.xxhash64("text"), F.lit(8))).distinct().collect()} == set(range(8))
+    counts = lm.corpus_counts(texts, 100)
+    model = lm.fit(texts, counts, 100, 4)
+    fresh = lm.Network.fresh(model.net.shape, lm._vocabulary(counts, 100)[1], 4)
+    moved = (model.net.p["embed"] != fresh.p["embed"]).any(1)
+    assert moved[2:].sum() == 40
+    trainer = lm.Trainer(fresh, streams=16, steps=10)
+    trainer.train(np.tile(np.array([2, 3, 4, 5, 0], np.int32), 401))
+    assert trainer.tokens == 2005
+
+
 def test_lm_windows_carry_the_state():
     rng = np.random.default_rng(1)
     net = lm.Network.fresh(lm.Shape(20, 4, 5), np.ones(20), 4)
