@@ -6,7 +6,8 @@ consecutive documents in one payload, the hash of the dictionary, and the offset
 
 Documents are range-partitioned by id, each task writes shards of bounded size through Spark's Parquet
 writer (any file system, committed once, safe when executors are lost), and global starts come from sums per
-shard. Ids are stored as 16-bit numbers where the vocabulary allows it, else as 32-bit numbers.
+shard. Ids are stored as 16-bit numbers where the vocabulary allows it, else as 32-bit numbers; the dictionary
+table says which.
 """
 
 from __future__ import annotations
@@ -19,11 +20,17 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .bpe import library_encoder
 from .common import text_bytes
 
 
+def id_width(path: str, end_id: int) -> int:
+    """Bytes of an id: 2 where the largest id of the vocabulary fits, else 4."""
+    return 2 if max(end_id, *Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values()) < 1 << 16 else 4
+
+
 def serialize(raw: bytes, width: int) -> bytes:
     ids = np.frombuffer(raw, "<u4")
     return ids.astype("<u2").tobytes() if width == 2 else raw
@@ -57,7 +64,6 @@ def write_tokens(
     target: str,
     path: str,
     end_id: int = 2,
-    width: int = 2,
     shard_bytes: int = 4 << 20,
     level: int = 3,
     dictionary_bytes: int = 64 << 10,
@@ -68,15 +74,16 @@ def write_tokens(
 ) -> None:
     """Write the ids of every whole text, in ascending order of id, below ``target``.
 
-    ``target/shards`` has a row a shard, ``target/dictionary`` the dictionary and its hash. A null text counts
+    ``target/shards`` has a row a shard, ``target/dictionary`` the dictionary, its hash and the bytes of an id. A null text counts
     as empty (its end id alone); null ids come first; repeated ids keep the order of the input; an empty
     table gives no shard.
     """
     spark = df.sparkSession
+    width = id_width(path, end_id)
     data = train_dictionary(df, path, end_id, dictionary_bytes, sample_documents, sample_chars, text_col, width)
     digest = hashlib.sha256(data).hexdigest()
     kind = df.schema[id_col].dataType
-    spark.createDataFrame([(digest, bytearray(data))], "dictionary_sha256 string, dictionary binary").coalesce(1).write.parquet(f"{target}/dictionary")
+    spark.createDataFrame([(digest, bytearray(data), width)], "dictionary_sha256 string, dictionary binary, width int").coalesce(1).write.parquet(f"{target}/dictionary")
     names = ["part", "seq", "first_id", "last_id", "dictionary_sha256", "ids", "offsets", "tokens", "shard_tokens", "payload"]
 
     def run(batches):
@@ -120,13 +127,18 @@ def _load_dictionary(spark: SparkSession, target: str) -> tuple[str, bytes]:
     return row["dictionary_sha256"], bytes(row["dictionary"])
 
 
+def _load_width(spark: SparkSession, target: str) -> int:
+    return spark.read.parquet(f"{target}/dictionary").first().asDict().get("width", 2)  # older stores have 2
+
+
 def _ids(frame: bytes, decompress, width: int) -> np.ndarray:
     return np.frombuffer(decompress(frame), "<u2" if width == 2 else "<u4").astype("<u4")
 
 
-def read_tokens(spark: SparkSession, target: str, width: int = 2, id_col: str = "doc_id") -> DataFrame:
+def read_tokens(spark: SparkSession, target: str, id_col: str = "doc_id") -> DataFrame:
     """(id, start, n_tokens, ids_crc32) of each stored document; start counts the ids of all documents before it."""
     digest, data = _load_dictionary(spark, target)
+    width = _load_width(spark, target)
     shards = spark.read.parquet(f"{target}/shards")
     kind = shards.schema["first_id"].dataType.simpleString()
 
@@ -159,9 +171,10 @@ def read_tokens(spark: SparkSession, target: str, width: int = 2, id_col: str =
     return joined.select(F.col("id").alias(id_col), (F.col("shard_start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def fetch_tokens(spark: SparkSession, target: str, doc_id: int, width: int = 2) -> DataFrame:
+def fetch_tokens(spark: SparkSession, target: str, doc_id: int) -> DataFrame:
     """(id, ids array<int>) of one document: Parquet statistics pick its shards, the index its frame."""
     _, data = _load_dictionary(spark, target)
+    width = _load_width(spark, target)
     shards = spark.read.parquet(f"{target}/shards").where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id))
     kind = shards.schema["first_id"].dataType.simpleString()
     ends = F.array_append(F.slice("offsets", 2, F.greatest(F.size("offsets"), F.lit(1))), F.length("payload").cast("long"))

@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 import zlib
 
@@ -122,6 +123,23 @@ def test_store_round_trip(spark, documents, texts, tokenizer, library, tmp_path)
     assert token_store.fetch_tokens(spark, target, 10**9).count() == 0
 
 
+def test_store_of_large_ids(spark, tokenizer, tmp_path):
+    """Ids above 65,535 are kept whole."""
+    with open(tokenizer) as f:
+        spec = json.load(f)
+    first = len(spec["model"]["vocab"])
+    spec["added_tokens"] += [spec["added_tokens"][0] | {"id": i, "content": f"<extra{i}>"} for i in range(first + 2, 70_000)]
+    path = tmp_path / "large.json"
+    path.write_text(json.dumps(spec))
+    assert token_store.id_width(tokenizer, 2) == 2
+    assert token_store.id_width(tokenizer, 70_000) == token_store.id_width(str(path), 2) == 4
+    target = f"file://{tmp_path}/store"
+    docs = spark.createDataFrame([(1, "some text"), (2, None)], "doc_id long, text string")
+    token_store.write_tokens(docs, target, tokenizer, end_id=70_000)
+    assert [token_store.fetch_tokens(spark, target, i).first()["ids"][-1] for i in (1, 2)] == [70_000, 70_000]
+    assert [r["n_tokens"] for r in token_store.read_tokens(spark, target).orderBy("start").collect()] == [3, 1]
+
+
 def test_trained_dictionary_is_used(spark, tokenizer, sf, tmp_path):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     target = f"file://{tmp_path}/store"
