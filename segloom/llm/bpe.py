@@ -144,21 +144,28 @@ class ChunkCache:
     full, so memory stays bounded on any corpus.
     """
 
-    def __init__(self, vocabulary: Vocabulary, library: Tokenizer, merge, limit: int = 160_000):
+    def __init__(self, vocabulary: Vocabulary, library: Tokenizer, merge, limit: int = 200_000):
         self.vocabulary, self.library, self.merge, self.limit = vocabulary, library, merge, limit
         self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str | bytes, bytes] = {}  # by piece, or by the UTF-8 of a lower-cased Latin word
         self.old_chunks: dict[bytes, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
+        self.old_words: dict[str | bytes, bytes] = {}
 
-    def _word(self, word: str) -> bytes:
+    def _word(self, word: str | bytes) -> bytes:
         if (ids := self.words.get(word)) is None:
             if (ids := self.old_words.get(word)) is None:
-                ids = array("I", self.merge(word)).tobytes()
+                piece = word if isinstance(word, str) else "".join([_ALPHABET[b] for b in word])
+                ids = array("I", self.merge(piece)).tobytes()
             if len(word) <= 64:
                 self.words[word] = ids
         return ids
 
+    def _latin(self, text: str) -> bytes | None:
+        """The ids of one run of composed Latin letters, a single piece that NFC leaves alone; else None."""
+        if text.isalpha() and max(text) < "\u0250" and (low := text.lower()).isalpha():
+            return self._word(low.encode())
+        return None
+
     def _text(self, text: str) -> bytes:
         if not text.isprintable() and any(unicodedata.category(c) == "Cn" for c in text):
             # signs of a later Unicode than Python's: only the library knows its own classes of them
@@ -173,6 +180,11 @@ class ChunkCache:
         if chunk[-1] in b".,!:;" and chunk[:-1].isalpha():
             return self._word(chunk[:-1].lower().decode()) + self._word(chr(chunk[-1]))
         text, v = chunk.decode("utf-8", "replace"), self.vocabulary
+        if not chunk.isascii():
+            if (ids := self._latin(text)) is not None:
+                return ids
+            if text[-1] in ".,!:;" and (ids := self._latin(text[:-1])) is not None:
+                return ids + self._word(text[-1])
         if b"<" not in chunk or not v.split_specials:
             return self._text(text)
         at, out = 0, []
