@@ -4,9 +4,9 @@ Method: one zstandard dictionary, trained on serialized id arrays, is shared by
 is a frame of its own, so a short document is read without its neighbours. A shard row holds the frames of
 consecutive documents in one payload, the hash of the dictionary, and the offset index.
 
-Documents are range-partitioned by id, each task writes shards of bounded size through Spark's Parquet
-writer (any file system, committed once, safe when executors are lost), and global starts come from sums per
-shard. Ids are stored as 16-bit numbers where the vocabulary allows it, else as 32-bit numbers; the dictionary
+Texts are encoded and compressed where they are read; the frames, not the texts, are then range-partitioned by
+id. Each task writes shards of bounded size through Spark's Parquet writer (any file system, committed once, safe
+when executors are lost), and global starts come from sums per shard. Ids are stored as 16-bit numbers where the vocabulary allows it, else as 32-bit numbers; the dictionary
 table says which.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .bpe import library_encoder
-from .common import text_bytes
+from .common import materialize, text_bytes
 
 
 def id_width(path: str, end_id: int) -> int:
@@ -36,14 +36,16 @@ def serialize(raw: bytes, width: int) -> bytes:
     return ids.astype("<u2").tobytes() if width == 2 else raw
 
 
-def train_dictionary(df: DataFrame, path: str, end_id: int, size: int, documents: int, chars: int, text_col: str, width: int) -> bytes:
-    """A dictionary from at most ``documents`` texts, one slice of at most ``chars`` each: a bounded sample.
+def train_dictionary(df: DataFrame, path: str, end_id: int, size: int, documents: int, chars: int, id_col: str, text_col: str, width: int) -> bytes:
+    """A dictionary from about ``documents`` texts (at most twice as many), one slice of at most ``chars`` each.
 
-    It changes the stored size only. With too few samples the samples themselves are the dictionary.
+    The rows are those whose id's hash falls into one of n / documents parts, so they come from the whole table.
+    The sample changes the stored size only. With too few samples the samples themselves are the dictionary.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     room = F.greatest(F.length(text) - chars, F.lit(0)) + 1
-    slices = df.select(F.substring(text, F.pmod(F.xxhash64(text), room.cast("long")).cast("int") + 1, chars).alias("s")).limit(documents).collect()
+    chosen = df.where(F.pmod(F.xxhash64(id_col), F.lit(max(1, df.count() // documents))) == 0)
+    slices = chosen.select(F.substring(text, F.pmod(F.xxhash64(text), room.cast("long")).cast("int") + 1, chars).alias("s")).limit(2 * documents).collect()
     end = end_id.to_bytes(4, "little")
     encoded = library_encoder(path).encode([r["s"].encode() for r in slices])
     samples = [serialize(raw + end, width) for raw in encoded if raw]
@@ -80,18 +82,27 @@ def write_tokens(
     """
     spark = df.sparkSession
     width = id_width(path, end_id)
-    data = train_dictionary(df, path, end_id, dictionary_bytes, sample_documents, sample_chars, text_col, width)
+    data = train_dictionary(df, path, end_id, dictionary_bytes, sample_documents, sample_chars, id_col, text_col, width)
     digest = hashlib.sha256(data).hexdigest()
     kind = df.schema[id_col].dataType
     spark.createDataFrame([(digest, bytearray(data), width)], "dictionary_sha256 string, dictionary binary, width int").coalesce(1).write.parquet(f"{target}/dictionary")
     names = ["part", "seq", "first_id", "last_id", "dictionary_sha256", "ids", "offsets", "tokens", "shard_tokens", "payload"]
 
-    def run(batches):
+    def encode(batches):
+        encoder, end = library_encoder(path), end_id.to_bytes(4, "little")
+        compress = zstandard.ZstdCompressor(level=level, dict_data=_dictionary(data), write_content_size=True).compress
+        for b in batches:
+            frames, tokens = [], []
+            for raw in encoder.encode(b.column(2).to_pylist()):
+                raw += end
+                frames.append(compress(serialize(raw, width)))
+                tokens.append(len(raw) // 4)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(tokens, pa.int64()), pa.array(frames, pa.binary())], names=["id", "salt", "tokens", "frame"])
+
+    def shards(batches):
         from pyspark import TaskContext
 
         part, seq = TaskContext.get().partitionId(), 0
-        encoder, end = library_encoder(path), end_id.to_bytes(4, "little")
-        compress = zstandard.ZstdCompressor(level=level, dict_data=_dictionary(data), write_content_size=True).compress
         ids, frames, offsets, tokens, at = [], [], [], [], 0
 
         def shard():
@@ -101,13 +112,12 @@ def write_tokens(
         for b in batches:
             own = b.schema.field(0).type
             types = [pa.int64(), pa.int64(), own, own, pa.string(), pa.list_(own), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary()]
-            for key, raw in zip(b.column(0).to_pylist(), encoder.encode(b.column(1).to_pylist()), strict=True):
-                raw += end
+            for key, n, frame in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 ids.append(key)
-                frames.append(compress(serialize(raw, width)))
+                frames.append(frame)
                 offsets.append(at)
-                tokens.append(len(raw) // 4)
-                at += len(frames[-1])
+                tokens.append(n)
+                at += len(frame)
                 if at >= shard_bytes:
                     yield shard()
                     seq += 1
@@ -117,9 +127,11 @@ def write_tokens(
 
     k = kind.simpleString()
     schema = f"part long, seq long, first_id {k}, last_id {k}, dictionary_sha256 string, ids array<{k}>, offsets array<long>, tokens array<long>, shard_tokens long, payload binary"
-    source = df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"), F.monotonically_increasing_id().alias("salt"))
-    ordered = source.repartitionByRange("id", "salt").sortWithinPartitions("id", "salt").select("id", "text")
-    ordered.mapInArrow(run, schema).write.option("compression", "none").parquet(f"{target}/shards")
+    source = df.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("salt"), text_bytes(text_col).alias("text"))
+    # written once: the range partitioner samples its input, which must not encode the texts again
+    encoded = materialize(source.mapInArrow(encode, f"id {k}, salt long, tokens long, frame binary"), "frames")
+    ordered = encoded.repartitionByRange("id", "salt").sortWithinPartitions("id", "salt").select("id", "tokens", "frame")
+    ordered.mapInArrow(shards, schema).write.option("compression", "none").parquet(f"{target}/shards")
 
 
 def _load_dictionary(spark: SparkSession, target: str) -> tuple[str, bytes]:
