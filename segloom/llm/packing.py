@@ -54,11 +54,16 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
 
 
 def token_pieces(df: DataFrame, path: str, capacity: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, start, length, ids_crc32, doc_tokens, salt): the whole text's ids and one end id, cut at each capacity."""
+    """(id, start, length, ids_crc32, doc_tokens, salt): the whole text's ids and one end id, cut at each capacity.
+
+    salt tells the rows apart: the partition in the high bits, the row's place in it in the low ones.
+    """
 
     def run(batches):
+        from pyspark import TaskContext
+
         encoder = library_encoder(path)
-        end, step = end_id.to_bytes(4, "little"), 4 * capacity
+        end, step, first = end_id.to_bytes(4, "little"), 4 * capacity, TaskContext.get().partitionId() << 33
         names = ["id", "start", "length", "ids_crc32", "doc_tokens", "salt"]
         for b in batches:
             row, start, length, crc, total = [], [], [], [], []
@@ -71,8 +76,9 @@ def token_pieces(df: DataFrame, path: str, capacity: int, end_id: int, id_col: s
                     length.append(len(piece) // 4)
                     crc.append(zlib.crc32(piece))
                     total.append(len(raw) // 4)
-            rows = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(rows), *(pa.array(x, pa.int64()) for x in (start, length, crc, total)), rows], names=names)
+            rows = np.array(row, np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows)), *(pa.array(x, pa.int64()) for x in (start, length, crc, total, first + rows))], names=names)
+            first += b.num_rows
 
     source = df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
     kind = df.schema[id_col].dataType.simpleString()
@@ -85,8 +91,8 @@ def pack(
     """Pieces with their place: (id, start, length, ids_crc32, doc_tokens, sequence_id, offset).
 
     A null or empty text is its end id alone. Repeated rows are packed each on its own; a null id is kept.
-    The hash that deals pieces to groups has the row's place in its batch as salt, so rows that share an id
-    spread over many groups. An empty table gives no rows.
+    The hash that deals documents to groups has the row's place in the table as salt, so rows that share an id
+    spread over many groups; the pieces of one document stay in one. An empty table gives no rows.
     """
     groups = -(-max(1, df.count()) // group_size)
     kind = df.schema[id_col].dataType.simpleString()
@@ -99,6 +105,6 @@ def pack(
         out["offset"] = offsets
         return out
 
-    dealt = token_pieces(df, path, capacity, end_id, id_col, text_col).withColumn("group", F.pmod(F.xxhash64("id", "start", "salt"), F.lit(groups)))
+    dealt = token_pieces(df, path, capacity, end_id, id_col, text_col).withColumn("group", F.pmod(F.xxhash64("id", "salt"), F.lit(groups)))
     packed = dealt.groupBy("group").applyInPandas(place, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
     return packed.withColumnRenamed("id", id_col)

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from segloom.llm import bpe, packing, token_store
@@ -117,12 +118,40 @@ def test_store_round_trip(spark, documents, texts, tokenizer, library, tmp_path)
         ids = [*ids_of(library, t), 2]
         assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (i, at, len(ids), zlib.crc32(raw(ids)))
         at += len(ids)
-    assert spark.read.parquet(f"{target}/shards").count() > 3
+    shards = spark.read.parquet(f"{target}/shards").collect()
+    assert sum(r["shard_tokens"] for r in shards) == at
+    for r in shards:  # only the last frame may go beyond
+        assert r["offsets"][-1] < 4000 and r["ids"] == sorted(r["ids"])
+        assert (r["first_id"], r["last_id"]) == (r["ids"][0], r["ids"][-1])
     for i in (0, 5, 30, len(texts) - 1):
         assert token_store.fetch_tokens(spark, target, i).collect() == [(i, [*ids_of(library, texts[i]), 2])]
     assert token_store.fetch_tokens(spark, target, 10**9).count() == 0
 
 
+def test_dictionary_sample_spans_the_table(spark, tokenizer):
+    """Rows of all parts of the table are sampled, not those of its head; a shared id stays within the bound."""
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    data = token_store.train_dictionary(docs, tokenizer, 2, 1 << 20, 100, 50, "doc_id", "text", 2)
+    ids = np.frombuffer(data, "<u2").tolist()
+    texts = Tokenizer.from_file(tokenizer).decode(ids).replace("</w>", "").split("text")
+    found = [int("".join(c for c in x if c.isdigit())) for x in texts if x.strip()]
+    assert 50 < len(found) <= 200 and min(found) < 800 and max(found) > 3200
+    same = docs.select(F.lit(7).alias("doc_id"), "text")
+    assert len(token_store.train_dictionary(same, tokenizer, 2, 1 << 20, 100, 50, "doc_id", "text", 2)) <= 200 * 2 * 8
+
+
+def test_packing_wastes_little(spark, sf, tokenizer):
+    packed = packing.pack(spark.read.parquet(f"{sf}/documents.parquet"), tokenizer)
+    total, sequences = packed.agg(F.sum("length"), F.countDistinct("sequence_id")).first()
+    assert total > 0.97 * 2048 * sequences or sequences - total / 2048 < 1
+
+
+def test_rows_of_one_id_spread_over_groups(spark, tokenizer):
+    docs = spark.range(300).select(F.lit(5).alias("doc_id"), F.lit("one text").alias("text"))
+    groups = packing.pack(docs, tokenizer, group_size=30).groupBy((F.col("sequence_id") / (1 << 28)).cast("long")).count().collect()
+    assert len(groups) == 10 and max(r["count"] for r in groups) < 60
+
+
 def test_store_of_large_ids(spark, tokenizer, tmp_path):
     """Ids above 65,535 are kept whole."""
     with open(tokenizer) as f:
