@@ -8,9 +8,10 @@ Words outside the network's vocabulary are one class symbol there, times the add
 such words. Word counts cover all training tokens. Counts of frequent words (at most ``head``) go to the tasks;
 the occurrences of all others meet their counts in a join, so the vocabulary may grow without bound.
 
-Training is data-parallel: in each round every task trains its own copy on its training documents of one share
-(by text hash; another share in each round), and the copies are averaged by an aggregation. The driver sees only
-the model. There are as many shares as rounds, so every training document gives gradients, once.
+Texts become arrays of network ids once. Training is data-parallel: in each round a number of tasks that follows
+from the corpus's tokens, not from its partitions, train copies of the network on one share of the training rows
+(another share in each round), and the copies are averaged. The driver sees only the model. There are as many
+shares as rounds, so every training document gives gradients, once.
 """
 
 from __future__ import annotations
@@ -79,18 +80,20 @@ class Network:
             out[k], at = values[at : at + n].reshape(s).astype(np.float32), at + n
         return Network(self.shape, self.bounds, out)
 
-    def states(self, x: np.ndarray, h: np.ndarray, alive: np.ndarray | None = None, keep: list | None = None):
+    def states(self, x: np.ndarray, h: np.ndarray, alive: np.ndarray | None = None, fresh: np.ndarray | None = None, keep: list | None = None):
         """States after each of the inputs x (steps, rows) from h; rows after ``alive[t]`` are left out at step t.
 
-        ``keep`` collects what backpropagation needs.
+        fresh: a text begins, so its state is zero. ``keep`` collects what backpropagation needs.
         """
         p, n = self.p, self.shape.hidden
-        pre = p["embed"][x] @ p["wx"] + p["b"]
+        pre = (p["embed"] @ p["wx"] + p["b"])[x]
         out = np.empty((*x.shape, n), np.float32)
         wh = p["wh"]
         for t in range(len(x)):
             k = len(h) if alive is None else int(alive[t])
             a, old = pre[t, :k], h[:k]
+            if fresh is not None and fresh[t].any():
+                old = np.where(fresh[t][:, None], np.float32(0), old)
             u = old @ wh
             g = 1 / (1 + np.exp(-(a[:, : 2 * n] + u[:, : 2 * n])))
             z, r = g[:, :n], g[:, n:]
@@ -105,13 +108,19 @@ class Network:
     def log_probabilities(self, h: np.ndarray, y: np.ndarray, grads: dict | None = None):
         """Natural log of P(class) P(word in class) for states h (m, hidden) and ids y; with grads also d(-log p)/dh."""
         p = self.p
+        # states lie in -1..1, so only a degenerate model comes near the limit of exp
+        steep = max(float((np.abs(w).sum(axis) + np.abs(b)).max()) for w, b, axis in ((p["c"], p["cb"], 0), (p["o"], p["ob"], 1))) > 60
         k = self.class_of[y]
+        order = np.argsort(k.astype(np.int16) if len(self.bounds) < 1 << 15 else k, kind="stable")
+        h, y, k = h[order], y[order], k[order]
         logits = h @ p["c"] + p["cb"]
-        np.clip(logits, -60, 60, out=logits)  # states lie in -1..1, so only a degenerate model comes near
-        e = np.exp(logits)
-        s = e.sum(1)
+        if steep:
+            np.clip(logits, -60, 60, out=logits)
         rows = np.arange(len(y))
-        out = logits[rows, k] - np.log(s)
+        out = logits[rows, k]
+        e = np.exp(logits, out=logits)
+        s = e.sum(1)
+        out -= np.log(s)
         dh = None
         if grads is not None:
             e /= s[:, None]
@@ -119,27 +128,32 @@ class Network:
             grads["c"] += h.T @ e
             grads["cb"] += e.sum(0)
             dh = e @ p["c"].T
-        order = np.argsort(k, kind="stable")
-        cut = np.searchsorted(k[order], np.arange(len(self.bounds)))
-        for c in np.flatnonzero(np.diff(cut)):
-            a, b = self.bounds[c], self.bounds[c + 1]
+        cut = np.searchsorted(k, np.arange(len(self.bounds)))
+        place = y - self.bounds[k]
+        for c in np.flatnonzero(np.diff(cut)).tolist():
+            a, b = int(self.bounds[c]), int(self.bounds[c + 1])
             if b - a == 1:
                 continue
-            own = order[cut[c] : cut[c + 1]]
-            hc, words = h[own], p["o"][a:b]
-            scores = hc @ words.T + p["ob"][a:b]
-            np.clip(scores, -60, 60, out=scores)
-            e = np.exp(scores)
+            i, j = int(cut[c]), int(cut[c + 1])
+            hc, words = h[i:j], p["o"][a:b]
+            scores = hc @ words.T
+            scores += p["ob"][a:b]
+            if steep:
+                np.clip(scores, -60, 60, out=scores)
+            own, line = place[i:j], rows[: j - i]
+            out[i:j] += scores[line, own]
+            e = np.exp(scores, out=scores)
             s = e.sum(1)
-            place, line = y[own] - a, np.arange(len(own))
-            out[own] += scores[line, place] - np.log(s)
+            out[i:j] -= np.log(s)
             if grads is not None:
                 e /= s[:, None]
-                e[line, place] -= 1
+                e[line, own] -= 1
                 grads["o"][a:b] += e.T @ hc
                 grads["ob"][a:b] += e.sum(0)
-                dh[own] += e @ words
-        return out, dh
+                dh[i:j] += e @ words
+        back = np.empty_like(order)
+        back[order] = rows
+        return out[back], dh if dh is None else dh[back]
 
     def gradients(self, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.ndarray):
         """(gradients of the mean loss, last state, sum of log p) for a window (steps, rows); fresh: a text begins.
@@ -149,42 +163,44 @@ class Network:
         p, n = self.p, self.shape.hidden
         grads = {k: np.zeros_like(v) for k, v in p.items()}
         kept: list = []
-        hs = np.empty((*x.shape, n), np.float32)
-        for t in range(len(x)):
-            start = np.where(fresh[t][:, None], np.float32(0), h)
-            one, h = self.states(x[t : t + 1], start, keep=kept)
-            hs[t] = one[0]
+        hs, h = self.states(x, h, fresh=fresh, keep=kept)
         m = y.size
         logs, dh = self.log_probabilities(hs.reshape(m, n), y.ravel(), grads)
         dh = dh.reshape(*x.shape, n)
         back = np.zeros_like(h)
         dpre = np.empty((*x.shape, 3 * n), np.float32)
-        dwh = grads["wh"]
+        dus = np.empty((*x.shape, 3 * n), np.float32)
+        wh = p["wh"].T.copy()
         for t in range(len(x) - 1, -1, -1):
             old, un, z, r, c = kept[t]
             d = dh[t] + back
             dc = d * (1 - z) * (1 - c * c)
-            dz = d * (old - c) * z * (1 - z)
-            dr = dc * un * r * (1 - r)
-            dpre[t, :, :n], dpre[t, :, n : 2 * n], dpre[t, :, 2 * n :] = dz, dr, dc
-            du = np.concatenate([dz, dr, dc * r], 1)
-            dwh += old.T @ du
-            back = np.where(fresh[t][:, None], np.float32(0), d * z + du @ p["wh"].T)
+            own = dpre[t]
+            np.multiply(d * (old - c), z * (1 - z), out=own[:, :n])
+            np.multiply(dc * un, r * (1 - r), out=own[:, n : 2 * n])
+            own[:, 2 * n :] = dc
+            du = dus[t]
+            du[:, : 2 * n] = own[:, : 2 * n]
+            np.multiply(dc, r, out=du[:, 2 * n :])
+            back = d * z + du @ wh
+            if fresh[t].any():
+                back[fresh[t]] = 0
+        grads["wh"] += np.concatenate([k[0] for k in kept]).T @ dus.reshape(m, 3 * n)
         flat = dpre.reshape(m, 3 * n)
         inputs = x.ravel()
         grads["b"] += flat.sum(0)
-        grads["wx"] += p["embed"][inputs].T @ flat
-        de = flat @ p["wx"].T
-        order = np.argsort(inputs, kind="stable")
+        order = np.argsort(inputs.astype(np.uint16) if self.shape.words <= 1 << 16 else inputs, kind="stable")
         ids, first = np.unique(inputs[order], return_index=True)
-        grads["embed"][ids] += np.add.reduceat(de[order], first)
+        by_word = np.add.reduceat(flat[order], first)  # what each input word's projection gets
+        grads["wx"] += p["embed"][ids].T @ by_word
+        grads["embed"][ids] += by_word @ p["wx"].T
         return {k: g / m for k, g in grads.items()}, h, float(logs.sum())
 
 
 class Trainer:
     """Adam over windows of parallel streams; the state of a stream is carried over windows."""
 
-    def __init__(self, network: Network, streams: int = 384, steps: int = 16, rate: float = 0.01):
+    def __init__(self, network: Network, streams: int = 768, steps: int = 16, rate: float = 0.01):
         self.net = Network(network.shape, network.bounds, {k: v.copy() for k, v in network.p.items()})
         self.streams, self.steps, self.rate = streams, steps, rate
         self.m = {k: np.zeros_like(v) for k, v in self.net.p.items()}
@@ -247,7 +263,8 @@ def score_texts(net: Network, texts: list[np.ndarray], window: int = 64) -> np.n
     return out
 
 
-def _parts(texts: list[bytes], limit: int = 6 << 20):
+def _parts(texts: list, limit: int):
+    """Ranges of rows of about ``limit`` bytes or numbers."""
     a, size = 0, 0
     for i, t in enumerate(texts):
         if size and size + len(t) > limit:
@@ -306,15 +323,6 @@ def corpus_counts(training: DataFrame, head: int) -> Counts:
     return Counts(table, {bytes(r["word"]): i for i, r in enumerate(rows)}, np.array([r["n"] for r in rows], np.int64), documents, tokens, distinct)
 
 
-@dataclass
-class Model:
-    """A network with the words of its vocabulary and the total share of the other words."""
-
-    net: Network
-    ids: np.ndarray  # id of each head word by rank, the last for words outside the head
-    others: float  # sum of count + 1 over the words outside the vocabulary, and one
-
-
 def _vocabulary(counts: Counts, words: int) -> tuple[np.ndarray, np.ndarray, float]:
     """(id of each head word, count of each id, total of the others): end is 0, others 1, then by frequency."""
     known = min(words - 2, len(counts.head_counts))
@@ -330,42 +338,116 @@ def _ranks(text: bytes, get) -> tuple[list[bytes], np.ndarray]:
     return words, np.array([get(w, -1) for w in words], np.int32)
 
 
-def average_round(training: DataFrame, model: Model, head: dict[bytes, int], shares: int, turn: int) -> Network:
-    """One round: each task trains a copy on its rows whose text hash falls to this turn; copies are averaged by tokens."""
-    net, ids = model.net, model.ids
+def encode_documents(rows: DataFrame, counts: Counts, ids: np.ndarray, log_others: float) -> DataFrame:
+    """Rows (id, held_out, key, text) as network ids, with the word statistics of their texts.
+
+    ids: 16- or 32-bit numbers. head_log: sum of log10(count + 1) of head words; outside: log10 share of the words
+    that are one symbol to the network. rare_words, rare_n: words outside the head, listed at the first row of a key
+    in each part of a batch only. row tells rows apart: partition in the high bits, place in the low ones.
+    """
+    head = counts.head
+    logs = np.append(np.log10(counts.head_counts + 1.0), 0.0)
+    kind = np.uint16 if len(ids) and int(ids.max()) < 1 << 16 else np.uint32
 
     def run(batches):
-        trainer = Trainer(net)
+        from pyspark import TaskContext
+
+        row = TaskContext.get().partitionId() << 33
+        names = ["id", "held_out", "key", "row", "ids", "n_tokens", "n_head", "head_log", "n_tail", "outside", "rare_words", "rare_n"]
         for b in batches:
-            texts = b.column(0).to_pylist()
-            for a, z in _parts(texts):
-                parts = [np.append(ids[_ranks(t, head.get)[1]], 0) for t in texts[a:z]]
-                trainer.train(np.concatenate(parts).astype(np.int32))
+            keys, texts = b.column(2).to_pylist(), b.column(3).to_pylist()
+            for a, z in _parts(texts, 4 << 20):
+                arrays, n_head, head_log, n_tail, outside, rare_words, rare_n, seen = [], [], [], [], [], [], [], set()
+                for key, t in zip(keys[a:z], texts[a:z], strict=True):
+                    words, rank = _ranks(t, head.get)
+                    y, far = ids[rank], np.flatnonzero(rank < 0)
+                    arrays.append(np.append(y, 0).astype(kind).tobytes())
+                    n_tail.append(len(far))
+                    n_head.append(len(rank) - len(far))
+                    head_log.append(float(logs[rank].sum()))
+                    foreign = y == 1
+                    outside.append(float(logs[rank[foreign]].sum()) - int(foreign.sum()) * log_others)
+                    found = Counter([words[i] for i in far.tolist()]) if key not in seen else {}
+                    seen.add(key)
+                    rare_words.append(list(found))
+                    rare_n.append(list(found.values()))
+                columns = [b.column(i).slice(a, z - a) for i in range(3)]
+                columns += [pa.array(np.arange(row, row + z - a)), pa.array(arrays, pa.binary()), pa.array([len(x) // kind().itemsize for x in arrays], pa.int64())]
+                columns += [pa.array(n_head, pa.int64()), pa.array(head_log, pa.float64()), pa.array(n_tail, pa.int64()), pa.array(outside, pa.float64())]
+                columns += [pa.array(rare_words, pa.list_(pa.binary())), pa.array(rare_n, pa.list_(pa.int64()))]
+                row += z - a
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    own = rows.schema["id"].dataType.simpleString()
+    schema = f"id {own}, held_out boolean, key long, row long, ids binary, n_tokens long, n_head long, head_log double, n_tail long, outside double, rare_words array<binary>, rare_n array<long>"
+    return materialize(rows.select("id", "held_out", "key", "text").mapInArrow(run, schema), "encoded")
+
+
+def _arrays(column: pa.Array, words: int) -> list[np.ndarray]:
+    kind = np.uint16 if words <= 1 << 16 else np.uint32
+    return [np.frombuffer(x, kind).astype(np.int32) for x in column.to_pylist()]
+
+
+def average_round(training: DataFrame, net: Network, copies: int, part_tokens: int = 1 << 20) -> Network:
+    """One round over rows (row, ids): each of ``copies`` tasks trains a copy of the network; the mean by tokens.
+
+    Parameters travel as slices of 4,096 numbers that are added up in a stream, so no task holds many copies.
+    """
+
+    def run(batches):
+        trainer, held, size = Trainer(net), [], 0
+        for b in batches:
+            for x in _arrays(b.column(0), net.shape.words):
+                held.append(x)
+                size += len(x)
+                if size >= part_tokens:
+                    trainer.train(np.concatenate(held))
+                    held, size = [], 0
+        if held:
+            trainer.train(np.concatenate(held))
         if trainer.tokens:
             values = np.append(trainer.net.flat().astype(np.float64) * trainer.tokens, trainer.tokens)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values)), pa.int32()), pa.array(values)], names=["place", "value"])
+            slices = [values[i : i + 4096].tobytes() for i in range(0, len(values), 4096)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(slices)), pa.int32()), pa.array(slices, pa.binary())], names=["slice", "numbers"])
+
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                sums[k] = sums[k] + np.frombuffer(x) if k in sums else np.frombuffer(x)
+        yield pa.RecordBatch.from_arrays([pa.array(sums.keys(), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["slice", "numbers"])
 
-    own = training.where(F.pmod(F.xxhash64("text"), F.lit(shares)) == turn)
-    sums = own.mapInArrow(run, "place int, value double").groupBy("place").agg(F.sum("value").alias("value"))
-    rows = sums.collect()  # a row a parameter
+    trained = training.repartition(copies, "row").select("ids").mapInArrow(run, "slice int, numbers binary")
+    rows = trained.repartition("slice").mapInArrow(add, "slice int, numbers binary").collect()  # the size of the network
     if not rows:
         return net
-    flat = np.zeros(len(rows))
-    flat[[r["place"] for r in rows]] = [r["value"] for r in rows]
+    flat = np.concatenate([np.frombuffer(r["numbers"]) for r in sorted(rows, key=lambda r: r["slice"])])
     return net.with_flat(flat[:-1] / flat[-1])
 
 
-def fit(training: DataFrame, counts: Counts, words: int = 4096, classes: int = 64, rounds: int = 8) -> Model:
-    """A model from (text binary) rows: counts and gradients of all, a share of the rows in each round."""
-    ids, by_id, others = _vocabulary(counts, words)
-    model = Model(Network.fresh(Shape(len(by_id)), by_id, classes), ids, others)
+def train_rounds(training: DataFrame, tokens: int, net: Network, rounds: int, copy_tokens: int, most_copies: int) -> Network:
+    """Rounds over (row, ids), each with the rows of its own share, so every row gives gradients once.
+
+    A copy takes about ``copy_tokens`` tokens of a round, whatever the partitions of the table; where the corpus would
+    need more than ``most_copies``, each takes more.
+    """
+    copies = max(1, min(most_copies, -(-tokens // (rounds * copy_tokens))))
     for turn in range(rounds):
-        model.net = average_round(training, model, counts.head, rounds, turn)
-    return model
+        net = average_round(training.where(F.pmod(F.xxhash64("row"), F.lit(rounds)) == turn), net, copies)
+    return net
 
 
 def score_documents(
-    df: DataFrame, head: int = 1 << 18, words: int = 4096, classes: int = 64, rounds: int = 8, held_out: tuple[int, int] = (7, 2), id_col: str = "doc_id", text_col: str = "text"
+    df: DataFrame,
+    head: int = 1 << 18,
+    words: int = 4096,
+    classes: int = 64,
+    rounds: int = 8,
+    copy_tokens: int = 1 << 19,
+    most_copies: int = 4096,
+    held_out: tuple[int, int] = (7, 2),
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
@@ -374,53 +456,28 @@ def score_documents(
     unigram log10 probability, score that of the network. An empty table gives no rows.
     """
     divisor, rest = held_out
-    rows = df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"), (id_remainder(id_col, divisor) == rest).alias("held_out"))
-    training = rows.where(~F.col("held_out")).select("text")
-    counts = corpus_counts(training, head)
-    model = fit(training, counts, words, classes, rounds)
-    ranks, logs = counts.head, np.append(np.log10(counts.head_counts + 1.0), 0.0)
-    net, ids, documents = model.net, model.ids, counts.documents
-    log_others = math.log10(model.others)
+    # the key is a hash of the text: equal texts have equal sums
+    rows = df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"), (id_remainder(id_col, divisor) == rest).alias("held_out")).withColumn("key", F.xxhash64("text"))
+    counts = corpus_counts(rows.where(~F.col("held_out")).select("text"), head)
+    ids, by_id, others = _vocabulary(counts, words)
+    encoded = encode_documents(rows, counts, ids, math.log10(others))
+    net = Network.fresh(Shape(len(by_id)), by_id, classes)
+    net = train_rounds(encoded.where(~F.col("held_out")).select("row", "ids"), counts.tokens, net, rounds, copy_tokens, most_copies)
+    documents = counts.documents
     log_total = math.log10(counts.tokens + counts.distinct + 1)
     log_end = math.log10(documents + 1)
+    kept = ["id", "held_out", "key", "n_tokens", "n_head", "head_log", "n_tail"]
 
     def score(batches):
-        names = ["id", "held_out", "key", "n_tokens", "n_head", "head_log", "n_tail", "score"]
         for b in batches:
-            texts = b.column(3).to_pylist()
-            for a, z in _parts(texts):
-                arrays, n, n_head, head_log, n_tail, outside = [], [], [], [], [], []
-                for t in texts[a:z]:
-                    rank = _ranks(t, ranks.get)[1]
-                    y = ids[rank]
-                    arrays.append(np.append(y, 0).astype(np.int32))
-                    n.append(len(rank) + 1)
-                    n_tail.append(int((rank < 0).sum()))
-                    n_head.append(len(rank) - n_tail[-1])
-                    head_log.append(float(logs[rank].sum()))
-                    foreign = y == 1
-                    outside.append(float(logs[rank[foreign]].sum()) - foreign.sum() * log_others)
-                s = score_texts(net, arrays) / math.log(10) + np.array(outside)
-                columns = [b.column(i).slice(a, z - a) for i in range(3)]
-                columns += [pa.array(n, pa.int64()), pa.array(n_head, pa.int64()), pa.array(head_log, pa.float64()), pa.array(n_tail, pa.int64()), pa.array(s, pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    def tail(batches):
-        for b in batches:
-            keys, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for a, z in _parts(texts, 4 << 20):
-                out_keys, out_words, out_n = [], [], []
-                for key, t in zip(keys[a:z], texts[a:z], strict=True):
-                    found = Counter([w for w in t.lower().split() if w not in ranks])
-                    out_keys += [key] * len(found)
-                    out_words += found.keys()
-                    out_n += found.values()
-                yield pa.RecordBatch.from_arrays([pa.array(out_keys, pa.int64()), pa.array(out_words, pa.binary()), pa.array(out_n, pa.int64())], names=["key", "word", "n"])
-
-    # the key is a hash of the text: equal texts have equal sums
-    keyed = rows.withColumn("key", F.xxhash64("text"))
-    scored = keyed.select("id", "held_out", "key", "text").mapInArrow(score, f"id {df.schema[id_col].dataType.simpleString()}, held_out boolean, key long, n_tokens long, n_head long, head_log double, n_tail long, score double")
-    rare = keyed.select("key", "text").mapInArrow(tail, "key long, word binary, n long")
+            texts = _arrays(b.column(7), net.shape.words)
+            for a, z in _parts(texts, 2 << 20):
+                s = score_texts(net, texts[a:z]) / math.log(10) + b.column(8).slice(a, z - a).to_numpy()
+                yield pa.RecordBatch.from_arrays([*(b.column(i).slice(a, z - a) for i in range(7)), pa.array(s, pa.float64())], names=[*kept, "score"])
+
+    kind = df.schema[id_col].dataType.simpleString()
+    scored = encoded.select(*kept, "ids", "outside").mapInArrow(score, f"id {kind}, held_out boolean, key long, n_tokens long, n_head long, head_log double, n_tail long, score double")
+    rare = encoded.where(F.size("rare_words") > 0).select("key", F.explode(F.arrays_zip("rare_words", "rare_n")).alias("r")).select("key", F.col("r.rare_words").alias("word"), F.col("r.rare_n").alias("n"))
     once = rare.groupBy("word", "key").agg(F.first("n").alias("n"))  # copies of a text
     met = once.join(counts.table.withColumnRenamed("n", "c"), "word")
     sums = met.groupBy("key").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("tail_log"), F.sum("n").alias("tail_known"))

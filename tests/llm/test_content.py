@@ -220,20 +220,88 @@ def test_lm_gradients_and_learning():
     assert lm.score_texts(trainer.net, text)[0] > lm.score_texts(start, text)[0] + 5
 
 
-def test_lm_learns_from_every_document(spark):
-    """Words that stand in texts of one hash share only: the embedding of each has had a gradient."""
-    texts = spark.createDataFrame([(f"v{i} v{i} v{i}",) for i in range(40)] * 20, "text string").select(F.col("text").cast("binary").alias("text"))
-    assert {r[0] for r in texts.select(F.pmod(F.xxhash64("text"), F.lit(8))).distinct().collect()} == set(range(8))
-    counts = lm.corpus_counts(texts, 100)
-    model = lm.fit(texts, counts, 100, 4)
-    fresh = lm.Network.fresh(model.net.shape, lm._vocabulary(counts, 100)[1], 4)
-    moved = (model.net.p["embed"] != fresh.p["embed"]).any(1)
+@pytest.mark.parametrize("copies", [1, 5])
+def test_lm_learns_from_every_document(spark, copies):
+    """Words that stand in one document each: the embedding of each has had a gradient, however many copies are trained."""
+    texts = spark.createDataFrame([(i, False, i, f"v{i} v{i} v{i}".encode()) for i in range(40)], "id long, held_out boolean, key long, text binary")
+    counts = lm.corpus_counts(texts.select("text"), 100)
+    ids, by_id, others = lm._vocabulary(counts, 100)
+    encoded = lm.encode_documents(texts, counts, ids, math.log10(others))
+    assert {r[0] for r in encoded.select(F.pmod(F.xxhash64("row"), F.lit(8))).distinct().collect()} == set(range(8))
+    fresh = lm.Network.fresh(lm.Shape(len(by_id)), by_id, 4)
+    net = lm.train_rounds(encoded.select("row", "ids"), counts.tokens, fresh, 8, -(-counts.tokens // (8 * copies)), 100)
+    moved = (net.p["embed"] != fresh.p["embed"]).any(1)
     assert moved[2:].sum() == 40
     trainer = lm.Trainer(fresh, streams=16, steps=10)
     trainer.train(np.tile(np.array([2, 3, 4, 5, 0], np.int32), 401))
     assert trainer.tokens == 2005
 
 
+def test_lm_copies_are_averaged_by_tokens(spark):
+    """A round equals the plain mean of separately trained networks, weighted by their tokens."""
+    net = lm.Network.fresh(lm.Shape(50), np.ones(50), 4)
+    rng = np.random.default_rng(5)
+    arrays = {i: np.append(rng.integers(1, 50, 40 + 9 * i), 0).astype(np.uint16) for i in range(12)}
+    rows = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in arrays.items()], "row long, ids binary")
+    placed = rows.repartition(3, "row").select("row", F.spark_partition_id().alias("p")).collect()
+    total, tokens = np.zeros(len(net.flat())), 0
+    for p in {r["p"] for r in placed}:
+        trainer = lm.Trainer(net)
+        trainer.train(np.concatenate([arrays[r["row"]].astype(np.int32) for r in placed if r["p"] == p]))
+        total += trainer.net.flat().astype(np.float64) * trainer.tokens
+        tokens += trainer.tokens
+    assert lm.average_round(rows, net, 3).flat() == pytest.approx(total / tokens, abs=2e-3)
+
+
+def test_lm_scores_equal_plain_loops(documents, texts, monkeypatch):
+    """Each score recomputed word by word in plain Python from the network that was used."""
+    held = {}
+
+    def perturbed(training, tokens, net, *_):
+        rng = np.random.default_rng(2)
+        held["net"] = lm.Network(net.shape, net.bounds, {k: (v + 0.3 * rng.standard_normal(v.shape)).astype(np.float32) for k, v in net.p.items()})
+        return held["net"]
+
+    monkeypatch.setattr(lm, "train_rounds", perturbed)
+    rows = {r["doc_id"]: r["score"] for r in lm.score_documents(documents, head=60, words=30, classes=5).collect()}
+    net = held["net"]
+    p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    train = Counter()
+    ends = 0
+    for i, t in enumerate(texts):
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            train.update((t or "").encode().lower().split())
+            ends += 1
+    known = sorted(((w, c) for w, c in train.items() if len(w) <= 64), key=lambda x: (-x[1], x[0]))
+    levels = Counter(c for _, c in known)
+    size = max((sum(n for c, n in levels.items() if c >= least) for least in levels if sum(n for c, n in levels.items() if c >= least) <= 60), default=0)
+    vocabulary = {w: i + 2 for i, (w, _) in enumerate(known[: min(28, size)])}
+    others = sum(c for w, c in train.items() if w not in vocabulary) + sum(w not in vocabulary for w in train) + 1
+
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-x))
+
+    n = net.shape.hidden
+    for i in (0, 3, 4, 6, 12, 13, 20, 31, 40, 55):
+        h, last, total = np.zeros(n), 0, 0.0
+        for w in [*(texts[i] or "").encode().lower().split(), None]:
+            x = p["embed"][last] @ p["wx"] + p["b"]
+            u = h @ p["wh"]
+            z, r = sigmoid(x[:n] + u[:n]), sigmoid(x[n : 2 * n] + u[n : 2 * n])
+            h = (1 - z) * np.tanh(x[2 * n :] + r * u[2 * n :]) + z * h
+            y = 0 if w is None else vocabulary.get(w, 1)
+            k = int(np.searchsorted(net.bounds, y, "right")) - 1
+            one = h @ p["c"] + p["cb"]
+            total += one[k] - np.log(np.exp(one).sum())
+            a, b = net.bounds[k], net.bounds[k + 1]
+            two = p["o"][a:b] @ h + p["ob"][a:b]
+            total += two[y - a] - np.log(np.exp(two).sum())
+            if y == 1:
+                total += math.log((train[w] + 1) / others)
+            last = y
+        assert rows[i] == pytest.approx(total / math.log(10), rel=1e-3)
+
+
 def test_lm_windows_carry_the_state():
     rng = np.random.default_rng(1)
     net = lm.Network.fresh(lm.Shape(20, 4, 5), np.ones(20), 4)
@@ -245,7 +313,9 @@ def test_lm_windows_carry_the_state():
 
 def test_lm_odd_rows(empty, clashing):
     assert lm.score_documents(empty).count() == 0
-    assert lm.score_documents(clashing, words=10).count() == 5
+    rows = lm.score_documents(clashing, words=10).collect()
+    assert sorted((r["doc_id"] is not None, r["doc_id"]) for r in rows) == [(False, None), (True, 3), (True, 7), (True, 7), (True, 7)]
+    assert all(r["score"] < 0 and r["n_known"] <= r["n_tokens"] for r in rows)
 
 
 # --- quality
