@@ -235,7 +235,7 @@ class Trainer:
             self.loss -= logs
 
 
-def score_texts(net: Network, texts: list[np.ndarray], window: int = 64) -> np.ndarray:
+def score_texts(net: Network, texts: list[np.ndarray], window: int = 32) -> np.ndarray:
     """Natural log-likelihood of each id array (its end included); the state is carried from window to window."""
     order = np.argsort([-len(t) for t in texts], kind="stable")
     lengths = np.array([len(texts[i]) for i in order], np.int64)
@@ -389,40 +389,50 @@ def _arrays(column: pa.Array, words: int) -> list[np.ndarray]:
 
 
 def average_round(training: DataFrame, net: Network, copies: int, part_tokens: int = 1 << 20) -> Network:
-    """One round over rows (row, ids): each of ``copies`` tasks trains a copy of the network; the mean by tokens.
+    """One round over rows (row, ids), dealt to ``copies`` copies of the network; the mean of the copies by tokens.
 
     Parameters travel as slices of 4,096 numbers that are added up in a stream, so no task holds many copies.
     """
 
+    def trained(trainer: Trainer, held: list):
+        if held:
+            trainer.train(np.concatenate(held))
+        values = trainer.net.flat()
+        slices = [values[i : i + 4096].tobytes() for i in range(0, len(values), 4096)]
+        return pa.RecordBatch.from_arrays([pa.array(np.arange(len(slices)), pa.int32()), pa.array([trainer.tokens] * len(slices), pa.int64()), pa.array(slices, pa.binary())], names=names)
+
     def run(batches):
-        trainer, held, size = Trainer(net), [], 0
+        own, trainer, held, size = None, None, [], 0
         for b in batches:
-            for x in _arrays(b.column(0), net.shape.words):
+            for copy, x in zip(b.column(0).to_pylist(), _arrays(b.column(1), net.shape.words), strict=True):
+                if copy != own:
+                    if trainer:
+                        yield trained(trainer, held)
+                    own, trainer, held, size = copy, Trainer(net), [], 0
                 held.append(x)
                 size += len(x)
                 if size >= part_tokens:
                     trainer.train(np.concatenate(held))
                     held, size = [], 0
-        if held:
-            trainer.train(np.concatenate(held))
-        if trainer.tokens:
-            values = np.append(trainer.net.flat().astype(np.float64) * trainer.tokens, trainer.tokens)
-            slices = [values[i : i + 4096].tobytes() for i in range(0, len(values), 4096)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(slices)), pa.int32()), pa.array(slices, pa.binary())], names=["slice", "numbers"])
+        if trainer:
+            yield trained(trainer, held)
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
+        tokens: Counter[int] = Counter()
         for b in batches:
-            for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                sums[k] = sums[k] + np.frombuffer(x) if k in sums else np.frombuffer(x)
-        yield pa.RecordBatch.from_arrays([pa.array(sums.keys(), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["slice", "numbers"])
-
-    trained = training.repartition(copies, "row").select("ids").mapInArrow(run, "slice int, numbers binary")
-    rows = trained.repartition("slice").mapInArrow(add, "slice int, numbers binary").collect()  # the size of the network
+            for k, n, x in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                values = np.frombuffer(x, np.float32).astype(np.float64) * n
+                sums[k] = sums[k] + values if k in sums else values
+                tokens[k] += n
+        yield pa.RecordBatch.from_arrays([pa.array(sums.keys(), pa.int32()), pa.array(tokens.values(), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=names)
+
+    names, schema = ["slice", "tokens", "numbers"], "slice int, tokens long, numbers binary"
+    dealt = training.select(F.pmod(F.xxhash64("row", F.lit(1)), F.lit(copies)).cast("int").alias("copy"), "ids").repartition(copies, "copy").sortWithinPartitions("copy")
+    rows = dealt.mapInArrow(run, schema).repartition("slice").mapInArrow(add, schema).collect()  # the size of the network
     if not rows:
         return net
-    flat = np.concatenate([np.frombuffer(r["numbers"]) for r in sorted(rows, key=lambda r: r["slice"])])
-    return net.with_flat(flat[:-1] / flat[-1])
+    return net.with_flat(np.concatenate([np.frombuffer(r["numbers"]) / r["tokens"] for r in sorted(rows, key=lambda r: r["slice"])]))
 
 
 def train_rounds(training: DataFrame, tokens: int, net: Network, rounds: int, copy_tokens: int, most_copies: int) -> Network:
