@@ -15,7 +15,8 @@ takes the ``k`` of least estimated cost: entries scanned plus candidates verifie
 4. The prefix join looks only for links between different components of step 3, of which the largest on a
    shingle is not joined with itself; all of those are found, so no link that joins components is lost.
 
-Equal sets are one node from the start, named by a 64-bit hash of the set.
+Equal sets are one node from the start, named by a 64-bit hash of the set; a shingle keeps 48 bits of its hash and
+those of its range. Two of m different sets share a name with odds of about m * m / 2 ** 65.
 """
 
 from __future__ import annotations
@@ -35,6 +36,9 @@ _LETTERS[65:91] = _LETTERS[97:123]  # A-Z count as a-z
 _BASE = _U(0x9E3779B97F4A7C15) | _U(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: A set as ranges name it, and the bytes of shingles that a range should hold.
+_SET = np.dtype([("name", "<i8"), ("n", "<i4")])
+_RANGE_BYTES = 24 << 20
 #: Occurrences in one batch from which a shingle is frequent: its sets are then not sent to a hash range.
 _FREQUENT = 64
 _LAST = (1 << 31) - 1
@@ -139,14 +143,18 @@ def text_sets(df: DataFrame, words: int, id_col: str, text_col: str) -> DataFram
     return source.mapInArrow(run, f"id {df.schema[id_col].dataType.simpleString()}, n long, name long")
 
 
-def shared_shingles(df: DataFrame, words: int, text_col: str) -> DataFrame:
+def range_bits(spark, shingles: int) -> int:
+    """Ranges, as a power of two: as many as the session's shuffles have and enough for ``_RANGE_BYTES`` in each."""
+    return max(4, (partitions(spark) - 1).bit_length(), (-(-8 * shingles // _RANGE_BYTES)).bit_length())
+
+
+def shared_shingles(df: DataFrame, words: int, text_col: str, bits: int) -> DataFrame:
     """(name, n, hash, df, frequent array<long>): the shingles that two or more different sets have.
 
     A row is one shingle with its df, or all those that the set's own batch found frequent and did not send to their
     hash ranges; they go to ranges of set names. Both come from one pass: what is left out here is named here.
-    df counts the sets; it is the largest number where a batch found the shingle frequent.
+    df counts the sets; it is the largest number where a batch found the shingle frequent. There are 2 ** bits ranges.
     """
-    bits = max(4, (partitions(df.sparkSession) - 1).bit_length())
     shift = _U(64 - bits)
     # 48 low bits and the bits of the range: a shingle keeps 48 + log2(ranges) bits, so they grow with the cluster
     kept = _U((1 << 48) - 1 | ((1 << bits) - 1) << (64 - bits))
@@ -166,7 +174,7 @@ def shared_shingles(df: DataFrame, words: int, text_col: str) -> DataFrame:
                 hashes, owner = hashes[~mask], owner[~mask]
                 heads = np.arange(1 << bits, dtype=_U) << shift
                 cut, often = np.append(np.searchsorted(hashes, heads), len(hashes)), np.append(np.searchsorted(frequent, heads), len(frequent))
-                table = np.array([(names[i], len(sets[i])) for i in once], np.int64)
+                table = np.array([(names[i], len(sets[i])) for i in once], _SET)
                 rows = []
                 for r in range(1 << bits):
                     x, y = cut[r], cut[r + 1]
@@ -174,7 +182,7 @@ def shared_shingles(df: DataFrame, words: int, text_col: str) -> DataFrame:
                         continue
                     used, local = np.unique(owner[x:y], return_inverse=True)
                     rows.append((r, hashes[x:y].view(np.uint8).reshape(-1, 8)[:, :6].tobytes(), owners(local, used), table[used].tobytes(), frequent[often[r] : often[r + 1]].tobytes()))
-                place = (table[:, 0].view(_U) >> shift).astype(np.int64)[unsent_owner]
+                place = (np.ascontiguousarray(table["name"]).view(_U) >> shift).astype(np.int64)[unsent_owner]
                 for r in np.unique(place).tolist():
                     here = place == r
                     used, local = np.unique(unsent_owner[here], return_inverse=True)
@@ -186,12 +194,12 @@ def shared_shingles(df: DataFrame, words: int, text_col: str) -> DataFrame:
     def named(rows: list[dict]) -> pa.Table:
         tables = [schema.empty_table()]
         for r in rows:
-            own = np.frombuffer(r["sets"], np.int64).reshape(-1, 2)
+            own = np.frombuffer(r["sets"], _SET)
             local = np.frombuffer(r["owners"], np.uint16 if len(own) <= 1 << 16 else np.uint32)
             order = np.argsort(local, kind="stable")
             ends = np.concatenate([[0], np.cumsum(np.bincount(local, minlength=len(own)))])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(r["hashes"], np.int64)[order]))
-            tables.append(pa.table({"name": own[:, 0], "n": own[:, 1], "hash": pa.nulls(len(own), pa.int64()), "df": pa.nulls(len(own), pa.int32()), "frequent": lists}, schema=schema))
+            tables.append(pa.table({"name": own["name"], "n": own["n"].astype(np.int64), "hash": pa.nulls(len(own), pa.int64()), "df": pa.nulls(len(own), pa.int32()), "frequent": lists}, schema=schema))
         return pa.concat_tables(tables)
 
     def meet(key: tuple, table: pa.Table) -> pa.Table:
@@ -201,11 +209,11 @@ def shared_shingles(df: DataFrame, words: int, text_col: str) -> DataFrame:
         top = _U(key[0].as_py()) << shift
         names, sizes, low = [], [], []
         for r in rows:
-            own = np.frombuffer(r["sets"], np.int64).reshape(-1, 2)
+            own = np.frombuffer(r["sets"], _SET)
             n = len(r["hashes"]) // 6
             local = np.frombuffer(r["owners"], np.uint16 if len(own) <= 1 << 16 else np.uint32)
-            names.append(own[local, 0])
-            sizes.append(own[local, 1])
+            names.append(own["name"][local])
+            sizes.append(own["n"][local])
             wide = np.zeros((n, 8), np.uint8)
             wide[:, :6] = np.frombuffer(r["hashes"], np.uint8).reshape(-1, 6)
             low.append(wide.view(_U).ravel())
@@ -220,7 +228,7 @@ def shared_shingles(df: DataFrame, words: int, text_col: str) -> DataFrame:
         df_ = np.repeat(counts, counts)
         df_[np.isin(low, often)] = _LAST
         shared = df_ > 1
-        return pa.table({"name": names[shared], "n": sizes[shared], "hash": (low[shared] | top).astype(np.int64), "df": df_[shared].astype(np.int32), "frequent": pa.nulls(int(shared.sum()), pa.list_(pa.int64()))}, schema=schema)
+        return pa.table({"name": names[shared], "n": sizes[shared].astype(np.int64), "hash": (low[shared] | top).astype(np.int64), "df": df_[shared].astype(np.int32), "frequent": pa.nulls(int(shared.sum()), pa.list_(pa.int64()))}, schema=schema)
 
     source = df.select(text_bytes(text_col).alias("text"))
     dealt = source.mapInArrow(deal, "range int, hashes binary, owners binary, sets binary, frequent binary")
@@ -283,6 +291,7 @@ def star_pairs(sets: DataFrame, percent: int) -> DataFrame:
     keyed = sets.select("name", "n", "m", keys.alias("key")).select("name", "n", "m", "key.*")
     order = F.struct(F.col("m") / F.col("n"), "n", "name")
     hubs = keyed.groupBy("side", "hash").agg(F.max_by(F.struct("name", "n", "m"), order).alias("hub"), F.count("*").alias("c")).where("c > 1")
+    hubs = materialize(hubs, "hubs")  # the join below then has two shuffles of its own, of which hot keys can be split
     pairs = keyed.join(hubs, ["side", "hash"]).where(F.col("name") != F.col("hub.name"))
     possible = F.least("m", "hub.m") * (100 + percent) >= (F.col("n") + F.col("hub.n")) * percent
     return pairs.where(possible).select(F.col("name").alias("a"), F.col("hub.name").alias("b")).distinct()
@@ -314,11 +323,13 @@ def jaccard_components(df: DataFrame, words: int = 4, percent: int = 85, id_col:
 
     Two documents link when 100 * intersection >= percent * union of their distinct word n-grams; component_id
     is the smallest id that links reach, the own one included. Null and empty texts have no shingles and no
-    link; rows that share an id and rows with equal sets are linked if they have shingles. A null id counts
+    link. Rows with equal sets are linked if they have shingles, also where ids repeat: each row is a document of its
+    own, and an id that repeats may name several. Ids may be of any ordered type. A null id counts
     only where its component has no other. An empty table gives no rows.
     """
     documents = materialize(text_sets(df, words, id_col, text_col), "sets")
-    sets = materialize(prefixes(shared_shingles(df, words, text_col), percent), "prefixes")
+    bits = range_bits(df.sparkSession, documents.agg(F.sum("n")).first()[0] or 0)
+    sets = materialize(prefixes(shared_shingles(df, words, text_col, bits), percent), "prefixes")
     star = materialize(verified(star_pairs(sets, percent), sets, percent), "star")
     first = connected_components(star)
     rest = materialize(verified(prefix_pairs(sets, first, percent), sets, percent), "rest")

@@ -113,6 +113,29 @@ def test_components_of_chains_and_stars(spark):
     assert 5 not in got
 
 
+@pytest.mark.parametrize("parts", [1, 2, 7])
+def test_jaccard_of_shuffled_input(spark, parts):
+    """Counts near the mark from which a batch calls a shingle frequent, in rows that a shuffle dealt."""
+    rng = random.Random(6)
+    body = [f"c{i}" for i in range(200)]
+    texts = [" ".join(body[:k] + [f"x{k}"] + body[k:]) for k in range(130)]
+    texts += [" ".join(f"o{rng.randrange(10**6)}" for _ in range(30)) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(parts)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(df).collect()}
+    assert [got[i] for i in range(len(texts))] == brute(texts, 4, 85)
+
+
+@pytest.mark.parametrize("bytes_", [200, 1 << 14])
+def test_jaccard_in_many_ranges(documents, texts, monkeypatch, bytes_):
+    """The number of ranges follows from the shingles; no result depends on it."""
+    monkeypatch.setattr(jaccard, "_RANGE_BYTES", bytes_)
+    shingles = sum(n for n, _ in brute(texts, 4, 85))
+    assert shingles * 8 / bytes_ < 1 << jaccard.range_bits(documents.sparkSession, shingles)
+    if bytes_ > 200:
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(documents).collect()}
+        assert [got[i] for i in range(len(texts))] == brute(texts, 4, 85)
+
+
 @pytest.mark.parametrize("limit", [4500, 5500])
 def test_jaccard_batches_cut_by_bytes(spark, limit):
     """Batches that end by bytes hold other rows with the id column than without it; no link may depend on that."""
