@@ -5,18 +5,16 @@ with word counts from the pages themselves. Multinomial naive Bayes then scores
 tokens of the path. It learns from the pages that a rule decides, and decides those that no rule fits.
 
 Counts cover all pages. Names are segmented once each, however many pages share them: their substrings are
-joined to the word counts, so no dictionary is broadcast. The classifier hashes tokens into a fixed number of
-buckets, so its tables have a fixed size whatever the input.
+joined to the word counts. The odds of tokens are a table as well, joined to the tokens of distinct hosts and
+paths, so neither the dictionary nor the classifier has to fit anywhere.
 """
 
 from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections import Counter
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +24,10 @@ from .common import materialize
 #: (verdict, host and path start); the longest rule that fits wins.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 
-LONGEST_WORD = 24
-_TAG = re.compile(rb"<(?:script|style)\b.*?</(?:script|style)>|<[^>]*>", re.I | re.S)
+#: The longest name of a host; longer words cannot be part of one.
+LONGEST_WORD = 63
+_OPEN = re.compile(rb"<(?:script|style)\b")
+_CLOSE = re.compile(rb"</(?:script|style)>")
 _WORD = re.compile(rb"[a-z]+")
 
 
@@ -61,6 +61,21 @@ def names_of(host: Column) -> Column:
     return F.regexp_extract_all(host, F.lit("([a-z]+)"), 1)
 
 
+def visible(html: bytes) -> bytes:
+    """Lower-cased text without tags, scripts and styles, in one forward scan; an unclosed tag is text."""
+    low, out, at, closed = html.lower(), [], 0, True
+    while (i := low.find(b"<", at)) >= 0:
+        end = -1
+        if closed and (m := _OPEN.match(low, i)):
+            close = _CLOSE.search(low, m.end())
+            closed, end = close is not None, close.end() if close else -1
+        if end < 0 and not (end := low.find(b">", i) + 1):
+            break
+        out.append(low[at:i])
+        at = end
+    return b" ".join([*out, low[at:]])
+
+
 def count_words(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """(word, n) over the visible text of all pages; each task adds up what it has seen before the shuffle."""
 
@@ -71,7 +86,7 @@ def count_words(pages: DataFrame, html_col: str = "html") -> DataFrame:
         tally: Counter[str] = Counter()
         for b in batches:
             for html in b.column(0).to_pylist():
-                words = _WORD.findall(_TAG.sub(b" ", html).lower())
+                words = _WORD.findall(visible(html))
                 tally.update(w.decode() for w in words if len(w) <= LONGEST_WORD)
                 if len(tally) > 200_000:
                     yield out()
@@ -137,56 +152,59 @@ def host_words(hosts: DataFrame, words: DataFrame) -> DataFrame:
     return hosts.join(flat, "host", "left").select("host", F.coalesce("words", F.array().cast("array<string>")).alias("words"))
 
 
-def bucket(token: Column, buckets: int) -> Column:
-    return (F.crc32(token.cast("binary")) % buckets).cast("int")
-
+def token_odds(pages: DataFrame, hosts: DataFrame) -> tuple[DataFrame, int]:
+    """((token, odds) of every token of decided pages, odds of the prior): allow against block, in units of 1e-9.
 
-def learn(pages: DataFrame, hosts: DataFrame, buckets: int) -> np.ndarray:
-    """Log odds (allow against block) of each bucket, with the prior's in the last place.
-
-    pages: (host, path_tokens, verdict), with null verdicts left out; hosts: (host, words). Laplace smoothing by one.
+    pages: (host, path_tokens, verdict), with null verdicts left out; hosts: (host, words). Multinomial naive Bayes
+    with Laplace smoothing by one. Whole units make sums that do not depend on their order.
     """
     decided = pages.where(F.col("verdict").isNotNull()).withColumn("good", (F.col("verdict") == "allow").cast("long"))
     by_host = decided.groupBy("host").agg(F.sum("good").alias("good"), F.count("*").alias("all")).join(hosts, "host")
     of_hosts = by_host.select(F.explode("words").alias("token"), "good", "all")
     of_paths = decided.select(F.explode("path_tokens").alias("token"), "good", F.lit(1).cast("long").alias("all"))
-    sums = of_hosts.unionByName(of_paths).groupBy(bucket(F.col("token"), buckets).alias("b")).agg(F.sum("good").alias("good"), F.sum("all").alias("all"))
-    counts = np.zeros((buckets, 2))
-    for r in sums.collect():  # at most ``buckets`` rows
-        counts[r["b"]] = r["good"], r["all"] - r["good"]
+    counts = materialize(of_hosts.unionByName(of_paths).groupBy("token").agg(F.sum("good").alias("good"), (F.sum("all") - F.sum("good")).alias("bad")), "tokens")
+    sums = counts.agg(F.coalesce(F.sum("good"), F.lit(0)).alias("good"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"), F.count("*").alias("tokens")).first()
     prior = decided.agg(F.sum("good"), F.count("*")).first()
     good, all_ = prior[0] or 0, prior[1]
-    odds = np.log(counts[:, 0] + 1) - np.log(counts[:, 1] + 1) - math.log(counts[:, 0].sum() + buckets) + math.log(counts[:, 1].sum() + buckets)
-    return np.append(odds, math.log(good + 1) - math.log(all_ - good + 1))
+    base = math.log(sums["bad"] + sums["tokens"] + 1) - math.log(sums["good"] + sums["tokens"] + 1)
+    odds = F.log((F.col("good") + 1) / (F.col("bad") + 1)) + F.lit(base)
+    return counts.select("token", units(odds).alias("odds")), round(1e9 * (math.log(good + 1) - math.log(all_ - good + 1)))
+
+
+def units(odds: Column) -> Column:
+    return F.round(odds * 1e9).cast("long")
 
 
-def judge_urls(pages: DataFrame, rules=RULES, buckets: int = 1 << 16, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def sum_odds(tokens: DataFrame, key: str, column: str, odds: DataFrame) -> DataFrame:
+    """(key, sum of odds) of distinct keys with an array of tokens; tokens that no decided page has count for nothing."""
+    return tokens.select(key, F.explode(column).alias("token")).join(odds, "token").groupBy(key).agg(F.sum("odds").alias(f"{key}_odds"))
+
+
+def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, host, path, rule, verdict, score, host_words) of every row.
 
     score is the classifier's probability of ``allow``; without a rule the verdict is ``allow`` from 0.5 on.
     A null url, or one without ``://``, has an empty host and path and no tokens, so the prior decides; no
-    decided page makes the prior even. Null html adds no words. Repeated rows give repeated results.
+    decided page makes the prior even. Null html adds no words; a word of more than 63 letters cannot be part of a
+    host and is not counted. Repeated rows give repeated results; an empty table gives no rows.
     """
     host, path = url_parts(F.col(url_col))
     parsed = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    parsed = parsed.select("id", "host", "path", rule.alias("rule"), verdict.alias("verdict"), path_tokens(F.col("path")).alias("path_tokens"))
+    parsed = parsed.select("id", "host", "path", rule.alias("rule"), verdict.alias("verdict"))
     words = materialize(count_words(pages, html_col), "words")
     hosts = materialize(host_words(parsed.select("host").distinct(), words), "hosts")
-    odds = learn(parsed, hosts, buckets)
-
-    def run(batches):
-        names = ["id", "host", "path", "rule", "verdict", "score", "host_words"]
-        for b in batches:
-            verdicts, scores, joined = [], [], []
-            for verdict, tokens, words in zip(*(b.column(i).to_pylist() for i in (4, 5, 6)), strict=True):
-                found = [*(words or []), *(tokens or [])]
-                s = odds[-1] + sum(odds[zlib.crc32(t.encode()) % buckets] for t in found)
-                scores.append(1 / (1 + math.exp(-max(-500.0, min(500.0, s)))))
-                verdicts.append(verdict or ("allow" if scores[-1] >= 0.5 else "block"))
-                joined.append(" ".join(words or []))
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(4)), pa.array(verdicts, pa.string()), pa.array(scores, pa.float64()), pa.array(joined, pa.string())], names=names)
-
-    kind = pages.schema[id_col].dataType.simpleString()
-    rows = parsed.join(hosts, "host", "left").select("id", "host", "path", "rule", "verdict", "path_tokens", "words")
-    return rows.mapInArrow(run, f"id {kind}, host string, path string, rule string, verdict string, score double, host_words string").withColumnRenamed("id", id_col)
+    odds, prior = token_odds(parsed.withColumn("path_tokens", path_tokens(F.col("path"))), hosts)
+    of_hosts = sum_odds(hosts, "host", "words", odds)
+    of_paths = sum_odds(parsed.select("path").distinct().withColumn("tokens", path_tokens(F.col("path"))), "path", "tokens", odds)
+    total = F.lit(prior) + F.coalesce("host_odds", F.lit(0)) + F.coalesce("path_odds", F.lit(0))
+    rows = parsed.join(hosts.join(of_hosts, "host", "left"), "host", "left").join(of_paths, "path", "left")
+    return rows.select(
+        F.col("id").alias(id_col),
+        "host",
+        "path",
+        "rule",
+        F.coalesce("verdict", F.when(total >= 0, "allow").otherwise("block")).alias("verdict"),
+        (1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), total / 1e9))))).alias("score"),
+        F.array_join("words", " ").alias("host_words"),
+    )
