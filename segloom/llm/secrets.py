@@ -31,6 +31,7 @@ _ASSIGN = re.compile(rb"""((?i:password|passwd|secret|token|api_?key))["']?\x20*
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _CHECKED = re.compile(rb"(?:gh[pousr]|npm)_([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])")
 _JWT = re.compile(rb"(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)")
+_RUN = re.compile(rb"[A-Za-z0-9_-]*")
 _KEY = re.compile(rb"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----")
 _CARD = re.compile(rb"[0-9]{13,19}(?![0-9])")
 _DIGITS = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
@@ -69,7 +70,7 @@ def is_jwt(header: bytes) -> bool:
     """The first part decodes to a JSON object that names an algorithm."""
     try:
         found = json.loads(base64.urlsafe_b64decode(header + b"=" * (-len(header) % 4)))
-    except ValueError:
+    except (ValueError, RecursionError):  # a header may be nested as deep as its writer likes
         return False
     return isinstance(found, dict) and "alg" in found
 
@@ -108,6 +109,8 @@ def scan(text: bytes) -> list[tuple[int, int, int]]:
             ends[kind] = m.end()
             if _valid(kind, m):
                 found.append((start, KINDS.index(kind), m.end()))
+        elif kind == "jwt" and start >= ends[kind]:
+            ends[kind] = _RUN.match(text, start).end()  # what fails here fails from every place in this run
     found += [(a, 2, z) for a, z in _runs(text.translate(_HEX), 24)]
     for a, z in _runs(text.translate(_NUMBER), 13):
         if z - a <= 19 and _CARD.match(text, a) and luhn(text[a:z]):
