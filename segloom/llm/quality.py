@@ -10,6 +10,7 @@ labelled rows) reach the driver, as feature vectors. Features of all rows are ma
 
 from __future__ import annotations
 
+import math
 import zlib
 from dataclasses import dataclass
 
@@ -141,18 +142,38 @@ def fit_ranking(x: np.ndarray, good: np.ndarray, pairs: int = 60_000, epochs: in
     if len(near) > 1:  # the middle of the widest gap near the quantile
         k = int(np.argmax(np.diff(near)))
         cut = float((near[k] + near[k + 1]) / 2)
-    return Ranking(mean, scale, w, cut, 1.0)
+    return Ranking(mean, scale, w, cut, fit_slope(raw - cut, good))
+
+
+def fit_slope(margins: np.ndarray, good: np.ndarray, least: float = 0.05, most: float = 20.0) -> float:
+    """The slope of the logistic curve through the cut under which the labels are likeliest, by halving.
+
+    Labels that the cut separates would have an infinite one, so it is bounded.
+    """
+    signed = np.where(good == 1, margins, -margins)
+
+    def rise(slope: float) -> float:  # of the log-likelihood, which is concave in the slope
+        return float((signed / (1 + np.exp(np.clip(slope * signed, -60, 60)))).sum())
+
+    for _ in range(40):
+        middle = math.sqrt(least * most)
+        least, most = (middle, most) if rise(middle) > 0 else (least, middle)
+    return math.sqrt(least * most)
 
 
 def fit_quality(documents: DataFrame, labels: DataFrame, max_learning_rows: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> Ranking:
     """Learn from labelled rows whose crc32(id as text) mod 3 is not 1; no more than ``max_learning_rows`` of them.
 
-    Rows with a null label or id are not learnt from. Labels, language, source and id are no inputs of a score.
+    Rows with a null label or id are not learnt from. Of labels that repeat an id the smallest counts, of documents
+    that do the text of smallest hash, so no more rows than that reach the driver. Labels, language, source and id
+    are no inputs of a score.
     """
     usable = labels.where(F.col(id_col).isNotNull() & F.col("quality").isin(0, 1) & (id_remainder(id_col, 3) != 1))
-    chosen = usable.select(F.col(id_col).alias("id"), "quality").orderBy(F.xxhash64("id"), "id").limit(max_learning_rows)
+    chosen = usable.groupBy(F.col(id_col).alias("id")).agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("id"), "id").limit(max_learning_rows)
     texts = documents.select(F.col(id_col).alias("id"), text_col).join(F.broadcast(chosen), "id")  # bounded by the parameter
-    learning = with_features(texts, "id", text_col).join(F.broadcast(chosen), "id").orderBy("id").collect()
+    hashed = texts.select("id", F.xxhash64(text_bytes(text_col)).alias("h"), text_col)
+    once = with_features(hashed.select(F.struct("id", "h").alias("key"), text_col), "key", text_col).groupBy("key.id").agg(F.min_by("features", "key.h").alias("features"))
+    learning = once.join(F.broadcast(chosen), "id").orderBy("id").collect()
     x = np.array([r["features"] for r in learning], np.float64).reshape(len(learning), len(FEATURES))
     return fit_ranking(x, np.array([r["quality"] for r in learning], np.int64))
 

@@ -1,7 +1,9 @@
 import hashlib
 import math
+import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -128,6 +130,27 @@ def test_redaction(spark, clashing):
     assert secrets.redact_secrets(clashing).columns == clashing.columns
 
 
+def test_hostile_headers():
+    """Deeply nested headers are no tokens; runs of marks take time in proportion to their length."""
+    import base64
+
+    deep = base64.urlsafe_b64encode(b'{"a":' + b"[" * 200_000).rstrip(b"=")
+    assert secrets.scan(b"eyJ" + deep[3:] + b".eyJx.sig") == []
+    began = time.process_time()
+    for bomb in (b"eyJ", b"eyJ.", b"token", b"password = ", b"AKIA", b"-----BEGIN ", b"ghp_", b"0123456789abcdef"):
+        secrets.scan(bomb * 60_000)
+    assert time.process_time() - began < 8
+    header = base64.urlsafe_b64encode(b'{"alg":"HS256"}').rstrip(b"=")
+    text = b"eyJeyJ eyJa.eyJb " + header + b".eyJx.sig"
+    assert secrets.spans_text([s for s in secrets.scan(text) if s[1] == 4]) == f"jwt:17:{len(text)}"
+
+
+def test_secrets_odd_rows(empty, clashing):
+    assert secrets.find_secrets(empty).count() == 0
+    rows = secrets.find_secrets(clashing).collect()
+    assert len(rows) == 5 and all(r["n_hex"] == 0 and r["spans"] == "" for r in rows)
+
+
 # --- urls
 
 
@@ -162,6 +185,67 @@ def test_classifier_learns_from_rules(spark):
     assert len(got) == 63
 
 
+def test_verdicts_equal_plain_naive_bayes(spark):
+    """Odds, verdicts and scores of all pages, recomputed with dictionaries."""
+    rng = random.Random(4)
+    stems = ["good", "news", "bad", "spam", "shop", "web"]
+    pages = []
+    for i in range(220):
+        host = "".join(rng.choice(stems) for _ in range(2)) + rng.choice([".example.org", ".com", ".net", ".org"])
+        path = rng.choice(["/fr/", "/de/", "/es/", "/en/1", "/x/"]) + rng.choice(stems) + rng.choice(["", "/12", "-77x"])
+        pages.append((i, f"http://{host}{path}", f"<p>{rng.choice(stems)} {rng.choice(stems)}<script>x</script></p>" if i % 3 else None))
+    pages += [(1000, None, ""), (1001, "no", None), (0, pages[0][1], None)]
+    got = url_filter.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert len(got) == len(pages)
+
+    def tokens(r):
+        parts = re.findall("[a-z]+|[0-9]+", r["path"].lower())
+        return [*r["host_words"].split(), *("/" + (f"#{len(t)}" if t.isdigit() else t) for t in parts)]
+
+    good, bad, ups, downs = Counter(), Counter(), 0, 0
+    for r in got:
+        if r["rule"] is not None:
+            up = dict((text, verdict) for verdict, text in url_filter.RULES)[r["rule"]] == "allow"
+            (good if up else bad).update(tokens(r))
+            ups, downs = ups + up, downs + (not up)
+    known = set(good) | set(bad)
+    assert ups and downs and sum(r["rule"] is None for r in got) > 20
+    kinds = set()
+    for r in got:
+        s = math.log((ups + 1) / (downs + 1))
+        for t in tokens(r):
+            if t in known:
+                s += math.log((good[t] + 1) / (sum(good.values()) + len(known) + 1)) - math.log((bad[t] + 1) / (sum(bad.values()) + len(known) + 1))
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-s)), rel=1e-6)
+        if r["rule"] is None:
+            kinds.add(r["verdict"])
+            assert r["verdict"] == ("allow" if s >= 0 else "block")
+    assert kinds == {"allow", "block"}
+
+
+def test_visible_text():
+    old = re.compile(rb"<(?:script|style)\b.*?</(?:script|style)>|<[^>]*>", re.I | re.S)
+    rng = random.Random(1)
+    parts = [b"<script>", b"</SCRIPT>", b"<style a>", b"</style>", b"<", b">", b"text ", b"<b>", b"scripted", b"<scripty>", b"x<y"]
+    for _ in range(2000):
+        html = b"".join(rng.choice(parts) for _ in range(rng.randrange(9)))
+        assert url_filter.visible(html).split() == old.sub(b" ", html).lower().split()
+    began = time.process_time()
+    for bomb in (b"<script", b"<", b"<script>"):
+        url_filter.visible(bomb * 200_000)
+    assert time.process_time() - began < 5
+
+
+def test_urls_odd_rows(spark):
+    names = ["host", "path", "rule", "verdict", "score", "words", "token", "odds", "id"]
+    long = "http://" + "ab" * 400 + ".net/" + "c" * 3000
+    rows = [(7, long, "<p>ab " * 50_000), (7, long, None), (None, None, None), (None, "http://x.com/de/", "")]
+    df = spark.createDataFrame([(*r, *names) for r in rows], f"page_id long, url string, html string, {', '.join(f'{n} string' for n in names)}")
+    got = url_filter.judge_urls(df).collect()
+    assert sorted((str(r["page_id"]), r["rule"] or "") for r in got) == [("7", ""), ("7", ""), ("None", ""), ("None", "com/de/")]
+    assert len({(r["host"], r["verdict"], r["score"]) for r in got if r["page_id"] == 7}) == 1
+
+
 def test_no_pages(spark):
     assert url_filter.judge_urls(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
@@ -331,6 +415,32 @@ def test_quality_held_out(spark, sf):
     assert docs.count() == queries.op10_quality(spark, sf).count()
 
 
+def test_quality_scores_recomputed(spark, sf):
+    """Scores from the fitted numbers by plain loops; the slope is that of the greatest likelihood."""
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = quality.fit_quality(docs, labels)
+    got = {r["doc_id"]: r["score"] for r in quality.score_quality(docs, model).collect()}
+    for r in docs.limit(50).collect():
+        x = quality.features((r["text"] or "").encode())
+        raw = sum(max(-8.0, min(8.0, (v - m) / s)) * w for v, m, s, w in zip(x, model.mean, model.scale, model.weights, strict=True))
+        assert got[r["doc_id"]] == pytest.approx(1 / (1 + math.exp(-max(-30.0, min(30.0, model.slope * (raw - model.cut))))), rel=1e-9)
+    rng = np.random.default_rng(3)
+    margins = rng.normal(0, 2, 4000)
+    good = (rng.random(4000) < 1 / (1 + np.exp(-1.7 * margins))).astype(int)
+    assert quality.fit_slope(margins, good) == pytest.approx(1.7, rel=0.1)
+    assert quality.fit_slope(np.array([1.0, -1.0]), np.array([1, 0])) == pytest.approx(20, rel=1e-3)
+
+
+def test_quality_learns_from_one_row_an_id(spark):
+    """An id that repeats without bound is one learning row; what is learnt does not depend on the order."""
+    texts = {0: "a b c", 3: "x 1 2 3 !!", 6: "some more words here", 9: "!! ?? 1"}
+    rows = [(i, t) for i, t in texts.items()] + [(0, f"copy {k}") for k in range(300)]
+    labels = [(i, int(i % 2 == 0)) for i in texts] * 3
+    one = quality.fit_quality(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spark.createDataFrame(labels, "doc_id long, quality int"))
+    two = quality.fit_quality(spark.createDataFrame(rows[::-1], "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert one.mean == pytest.approx(two.mean) and one.weights == pytest.approx(two.weights)
+
+
 def test_quality_without_labels(spark, documents, empty, clashing):
     none = spark.createDataFrame([], "doc_id long, quality int")
     model = quality.fit_quality(documents, none)
