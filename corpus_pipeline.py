@@ -32,9 +32,12 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five words, similarity 0.8 or more): the smallest id."""
-    groups = jaccard.jaccard_components(docs, words=5, percent=80)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    # rows that share an id are told apart by their text; null ids come last
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"))
+    groups = jaccard.jaccard_components(docs.select(key.alias("key"), "text"), words=5, percent=80, id_col="key")
+    kept = groups.where(F.col("key") == F.col("component_id")).select("key.*").distinct()
+    same = docs["doc_id"].eqNullSafe(kept["id"]) & (F.xxhash64(docs["text"]) == kept["text_hash"])
+    return docs.join(kept, same, "left_semi")
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
