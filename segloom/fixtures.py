@@ -73,14 +73,18 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def network(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(nodes, ways, relations): nodes from parts, ways from orders (3 to 6 nodes each), relations from customers."""
+    """(nodes, ways, relations): nodes from parts, ways from orders (3 to 6 nodes each), relations from customers.
+
+    Ways and relations refer to all nodes and to a hundred that aren't there.
+    """
     p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    refs = (p.agg(F.max("p_partkey")).first()[0] or 0) + 100
     barrier = F.when(F.col("p_size") % 10 == 0, F.create_map(F.lit("barrier"), F.lit("bollard"), F.lit("bicycle"), F.lit("yes"), F.lit("motor_vehicle"), F.lit("no")))
     barrier = barrier.when(F.col("p_size") % 10 == 1, F.create_map(F.lit("barrier"), F.lit("moat"))).otherwise(F.create_map().cast("map<string,string>"))
     nodes = p.select(F.col("p_partkey").alias("id"), (52.0 + (F.col("p_partkey") * 7919 % 10007) / 20000.0).alias("lat"), (13.0 + (F.col("p_partkey") * 104729 % 10009) / 20000.0).alias("lon"), barrier.alias("tags"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     count = F.lit(3) + (F.col("o_orderkey") % 4).cast("int")
-    line = F.transform(F.sequence(F.lit(0), count - 1), lambda i: (F.col("o_orderkey") * 31 + i * 17) % 2100)
+    line = F.transform(F.sequence(F.lit(0), count - 1), lambda i: (F.col("o_orderkey") * 31 + i * 17) % refs)
     kinds = F.array(*(F.lit(x) for x in ("residential", "primary", "footway", "construction", "proposed", "motorway", "cycleway")))
     tags = F.create_map(
         F.lit("highway"), F.get(kinds, (F.col("o_orderkey") % 7).cast("int")), F.lit("name"), F.when(F.col("o_custkey") % 3 > 0, F.concat(F.lit("Street "), F.col("o_custkey").cast("string"))).otherwise(""),
@@ -104,7 +108,7 @@ def network(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Dat
     k = F.col("c_custkey")
     members = F.array_compact(
         F.array(
-            member("from", "way", k), F.when(k % 4 == 0, member("from", "way", k + 1)), F.when(k % 9 > 0, member("via", "node", (k * 31) % 2100)), member("to", "way", k + 2), F.when(k % 5 == 0, member("to", "way", k + 3))
+            member("from", "way", k), F.when(k % 4 == 0, member("from", "way", k + 1)), F.when(k % 9 > 0, member("via", "node", (k * 31) % refs)), member("to", "way", k + 2), F.when(k % 5 == 0, member("to", "way", k + 3))
         )
     )
     kind = F.get(F.array(*(F.lit(x) for x in ("no_left_turn", "no_entry", "no_exit", "only_straight_on", "keep_left"))), (k % 5).cast("int"))

@@ -170,7 +170,9 @@ def distance(a: Column | str, b: Column | str, kinds: tuple[str, str] = ("point"
     if kb == "point":
         found = _point_point(a, b)
     elif (ka, kb) == ("point", "line"):
-        found = F.coalesce(_point_edges(a, edges(b)), _point_point(a, b[0]))
+        # a line of two points, the commonest, takes plain columns that Spark compiles
+        only = {"a": F.get(b, F.lit(0)), "b": F.get(b, F.lit(1))}
+        found = F.when(F.size(b) == 2, _point_point(a, _on_edge(a, only))).otherwise(F.coalesce(_point_edges(a, edges(b)), _point_point(a, F.get(b, F.lit(0)))))
     elif (ka, kb) == ("point", "polygon"):
         found = F.when(_inside(a, b), 0.0).otherwise(_point_edges(a, _edges(b, kb)))
     else:
@@ -261,6 +263,16 @@ def segmentize(g: Column | str, most: float) -> Column:
     return F.when(~_empty(g, "line"), F.concat(F.flatten(F.transform(edges(g), cut)), F.slice(g, -1, 1)))
 
 
+def meters_per_degree(latitude: float, longitudes: float = 360.0, radius: float = 6_371_000.0) -> float:
+    """A lower bound of great-circle metres for each degree of planar distance between points in degrees.
+
+    It holds up to this latitude (absolute) and for points at most so many degrees of longitude apart, not counted
+    across the 180th meridian.
+    """
+    half = math.radians(min(longitudes, 180.0)) / 2
+    return radius * math.radians(1) * math.cos(math.radians(latitude)) * (math.sin(half) / half if half else 1.0)
+
+
 def azimuth_degrees(a: Column, b: Column) -> Column:
     """G7. Planar bearing from a to b in [0, 360), clockwise from north; null for equal points."""
     dx, dy = b["x"] - a["x"], b["y"] - a["y"]

@@ -15,6 +15,16 @@ from .shared import materialize
 SMALL_ROWS = 200
 
 
+#: A table of fewer bytes a core (by Spark's estimate) is dealt to all cores, as its few files may be one task.
+SPREAD_BYTES = 4 << 20
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * SPREAD_BYTES else df
+
+
 def _kinds(base: DataFrame, enr: DataFrame, base_geom: str, enr_geom: str) -> tuple[str, str]:
     return geo.kind_of(base.schema[base_geom].dataType), geo.kind_of(enr.schema[enr_geom].dataType)
 
@@ -40,6 +50,13 @@ def top_k(df: DataFrame, part: str | list[str], order: list, k: int) -> DataFram
     return df.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") <= k).drop("__rank")
 
 
+def nearest_of_all(df: DataFrame, place: Column, k: int = 1, geom: str = "geometry", id_col: str = "id", distance: str = "distance") -> DataFrame:
+    """W4. The k rows nearest to one place; ties go to the smaller id. No shuffle of the table: each task keeps k rows."""
+    kinds = ("point", geo.kind_of(df.schema[geom].dataType))
+    measured = df.withColumn(distance, geo.distance(place, F.col(geom), kinds)).where(F.col(distance).isNotNull())
+    return measured.orderBy(F.col(distance).asc(), F.col(id_col).asc()).limit(k)
+
+
 def nearest(
     base: DataFrame,
     enr: DataFrame,
@@ -51,27 +68,30 @@ def nearest(
     enr_id: str = "id",
     distance: str = "distance",
     small_rows: int = SMALL_ROWS,
+    bound: float | None = None,
 ) -> DataFrame:
     """M1-M3, M15. The k nearest enrichment rows of each base row, with their distance; base rows are never kept alone.
 
     Ties go to the smaller enrichment id. ``order_by`` replaces the planar distance as order and result; it may
-    use both tables' columns (those of the enrichment with ``enr_`` where names clash); it compares all pairs, which a
-    warning says for an enrichment of more than ``small_rows`` rows. Otherwise larger ones are searched in rings:
-    candidates within a radius are found by a grid join, rows with k candidates are final, since all others are
-    farther, and the rest try three times the radius. Null geometries match nothing.
+    use both tables' columns (those of the enrichment with ``enr_`` where names clash). ``bound`` promises that it is
+    never less than that many times the planar distance; without one all pairs are compared, which a warning says for
+    an enrichment of more than ``small_rows`` rows. Larger ones are searched in rings: candidates within a radius are
+    found by a grid join, rows whose k-th candidate lies within the radius (times the bound) are final, since all
+    others are farther, and the rest try three times the radius. Null geometries match nothing.
     """
     kinds = _kinds(base, enr, base_geom, enr_geom)
     other = _apart(base, enr.where(F.col(enr_geom).isNotNull()))
     geom, key = _name(base, enr_geom), _name(base, enr_id)
-    usable = base.where(F.col(base_geom).isNotNull())
+    usable = _spread(base.where(F.col(base_geom).isNotNull()))
     few = enr.limit(small_rows + 1).count() <= small_rows
-    if order_by is not None and not few:
-        warnings.warn("an order of your own compares all pairs of rows; within() and top_k() bound them", stacklevel=2)
-    if few or order_by is not None:
-        measure = geo.distance(F.col(base_geom), F.col(geom), kinds) if order_by is None else (F.expr(order_by) if isinstance(order_by, str) else order_by)
+    own = F.expr(order_by) if isinstance(order_by, str) else order_by
+    if own is not None and bound is None and not few:
+        warnings.warn("an order of your own without a bound compares all pairs of rows", stacklevel=2)
+    if few or (own is not None and bound is None):
+        measure = geo.distance(F.col(base_geom), F.col(geom), kinds) if own is None else own
         joined = usable.crossJoin(F.broadcast(other) if few else other).withColumn(distance, measure).where(F.col(distance).isNotNull())
         return _top(joined, base_id, [F.col(distance).asc(), F.col(key).asc()], k)
-    return _rings(usable, other, k, kinds, base_geom, geom, base_id, key, distance)
+    return _rings(usable, other, k, kinds, base_geom, geom, base_id, key, distance, own, 1.0 if own is None else bound)
 
 
 def _extent(df: DataFrame, geom: str, kind: str):
@@ -79,7 +99,7 @@ def _extent(df: DataFrame, geom: str, kind: str):
     return e.agg(F.min("e.x1"), F.min("e.y1"), F.max("e.x2"), F.max("e.y2"), F.count("e")).first()
 
 
-def _rings(base: DataFrame, enr: DataFrame, k: int, kinds: tuple[str, str], base_geom: str, geom: str, base_id: str, key: str, distance: str) -> DataFrame:
+def _rings(base: DataFrame, enr: DataFrame, k: int, kinds: tuple[str, str], base_geom: str, geom: str, base_id: str, key: str, distance: str, measure: Column | None, bound: float) -> DataFrame:
     b, e = _extent(base, base_geom, kinds[0]), _extent(enr, geom, kinds[1])
     if not b[4] or not e[4]:
         return _candidates(base, enr, 1.0, kinds, base_geom, geom, distance).limit(0)
@@ -90,12 +110,14 @@ def _rings(base: DataFrame, enr: DataFrame, k: int, kinds: tuple[str, str], base
     while True:
         last = radius >= whole
         near = _candidates(rest, enr, radius, kinds, base_geom, geom, distance)
+        if measure is not None:
+            near = near.withColumn(distance, measure).where(F.col(distance).isNotNull())
         ranked = near.withColumn("__rank", F.row_number().over(Window.partitionBy(base_id).orderBy(F.col(distance).asc(), F.col(key).asc()))).where(F.col("__rank") <= k)
         found = materialize(ranked, "ring")
         if last:
             parts.append(found.drop("__rank"))
             break
-        full = found.where(F.col("__rank") == k).select(base_id)
+        full = found.where((F.col("__rank") == k) & (F.col(distance) <= bound * radius)).select(base_id)
         parts.append(found.join(full, base_id, "left_semi").drop("__rank"))
         rest = materialize(rest.join(full, base_id, "left_anti"), "rest")
         if rest.isEmpty():
@@ -149,7 +171,7 @@ def within(
     other, kinds = _apart(base, enr), _kinds(base, enr, base_geom, enr_geom)
     geom, key = _name(base, enr_geom), _name(base, enr_id)
     if predicate is None:
-        pairs = _candidates(base, other, float(max_distance), kinds, base_geom, geom, distance)
+        pairs = _candidates(_spread(base), other, float(max_distance), kinds, base_geom, geom, distance)
     else:
         warnings.warn("a predicate of your own compares all pairs of rows", stacklevel=2)
         test = F.expr(predicate) if isinstance(predicate, str) else predicate

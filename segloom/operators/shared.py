@@ -5,16 +5,20 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df below spark.checkpoint.dir, which all executors share, and read it back.
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path below spark.checkpoint.dir, which all executors share.
 
     Only where that is unset (tests on one machine) a local folder takes its place.
     """
-    spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-')}"
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write df to the shared folder and read it back."""
+    path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -28,6 +28,12 @@ def _joined(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     return t.join(s, reduce(lambda a, b: a & b, (F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys)), "full_outer")
 
 
+def _as_target(c: str, target: DataFrame, source: DataFrame) -> Column:
+    """The source's value in the target's type; types that differ in nullability only need no cast."""
+    kind = target.schema[c].dataType
+    return F.col(f"s.{c}") if source.schema[c].dataType.simpleString() == kind.simpleString() else F.col(f"s.{c}").cast(kind)
+
+
 def upsert_status(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str] | None = None, order_by: str | None = None) -> DataFrame:
     """U1. The new table with ``change``: inserted, updated, unchanged or kept (not in the source).
 
@@ -44,7 +50,7 @@ def upsert_status(target: DataFrame, source: DataFrame, keys: list[str], columns
             return F.coalesce(f"t.{c}", f"s.{c}")
         if c not in common:
             return F.col(f"t.{c}")
-        return F.when(F.col("s.__s").isNull(), F.col(f"t.{c}")).otherwise(F.col(f"s.{c}").cast(target.schema[c].dataType))
+        return F.when(F.col("s.__s").isNull(), F.col(f"t.{c}")).otherwise(_as_target(c, target, source))
 
     return both.select(*(value(c).alias(c) for c in target.columns), change.alias("change"))
 
@@ -79,7 +85,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_columns
         fresh = F.col("t.__t").isNull()
         if c in update_columns:
             fresh = fresh | F.col("s.__s").isNotNull()
-        return F.when(fresh, F.col(f"s.{c}").cast(target.schema[c].dataType)).otherwise(F.col(f"t.{c}"))
+        return F.when(fresh, _as_target(c, target, source)).otherwise(F.col(f"t.{c}"))
 
     return both.select(*(value(c).alias(c) for c in target.columns))
 

@@ -36,7 +36,7 @@ CELLS = """placed AS (SELECT l_orderkey * 8 + l_linenumber AS k, l_quantity AS z
 NODES = """nodes AS (SELECT p_partkey AS id, 52.0 + (p_partkey * 7919 % 10007) / 20000.0 AS lat, 13.0 + (p_partkey * 104729 % 10009) / 20000.0 AS lon, p_size FROM part)"""
 NET = f"""{NODES},
   hw AS (SELECT o_orderkey AS id, o_custkey, 3 + o_orderkey % 4 AS n FROM orders WHERE o_orderkey % 7 <> 4),
-  steps AS (SELECT id, n, u.i AS i, (id * 31 + u.i * 17) % 2100 AS node_id FROM hw, unnest(range(0, n)) AS u(i)),
+  steps AS (SELECT id, n, u.i AS i, (id * 31 + u.i * 17) % (SELECT max(p_partkey) + 100 FROM part) AS node_id FROM hw, unnest(range(0, n)) AS u(i)),
   refs AS (SELECT node_id, count(*) AS refs FROM steps GROUP BY node_id),
   towers AS (SELECT node_id FROM refs WHERE refs > 1 UNION SELECT id FROM nodes WHERE p_size % 10 = 0)"""
 
@@ -97,7 +97,8 @@ def knn_geodesic(s, d):
     w = fx.ways(s, d).withColumn("geometry", geo.point(start["x"] / 1000, start["y"] / 1000 + 40))
     sites = fx.sites(s, d).withColumn("geometry", geo.point(F.col("x") / 1000, F.col("y") / 1000 + 40))
     order = geo.haversine(F.col("geometry"), F.col("enr_geometry"))
-    return match.nearest(w, sites, 1, order, enr_id="site_id", distance="meters").select("id", "site_id", _r("meters", 3))
+    bound = geo.meters_per_degree(60.1, 20.1)  # the plane is 20 degrees wide, from 40 to 60 north
+    return match.nearest(w, sites, 1, order, enr_id="site_id", distance="meters", small_rows=0, bound=bound).select("id", "site_id", _r("meters", 3))
 
 
 @query(f"WITH {WAYS}, {MANY} SELECT id, site_id, round({apart()}, 4) AS distance FROM ways, many WHERE {apart()} <= 300")
@@ -170,7 +171,7 @@ def sql_template(s, d):
 
 @query(f"""WITH {RANKED} SELECT id, site_id, round(d, 4) AS distance FROM ranked WHERE rk = 1""")
 def distinct_on_nearest(s, d):
-    pairs = match.within(fx.ways(s, d), fx.sites(s, d), 40_000, enr_id="site_id")
+    pairs = match.nearest(fx.ways(s, d), fx.sites(s, d), 3, enr_id="site_id")
     return match.top_k(pairs, "id", [F.col("distance").asc_nulls_last(), F.col("site_id")], 1).select("id", "site_id", _r("distance"))
 
 
@@ -487,12 +488,12 @@ def latest_only(s, d):
     return records.latest_only(fx.table(s, d, "orders"), "o_orderdate").select("o_orderkey")
 
 
-@query("SELECT n_nationkey, coalesce(CASE WHEN n_nationkey % 3 = 0 THEN 'fountain' END, CASE WHEN n_nationkey % 2 = 0 THEN 'water_tap' END) AS amenity FROM nation WHERE n_nationkey % 3 = 0 OR n_nationkey % 2 = 0")
+@query("SELECT p_partkey, coalesce(CASE WHEN p_partkey % 3 = 0 THEN 'fountain' END, CASE WHEN p_partkey % 2 = 0 THEN 'water_tap' END) AS amenity FROM part WHERE p_partkey % 3 = 0 OR p_partkey % 2 = 0")
 def tag_filter(s, d):
-    k = F.col("n_nationkey")
+    k = F.col("p_partkey")
     tags = F.create_map(F.lit("amenity"), F.when(k % 3 == 0, "fountain").otherwise(""), F.lit("man_made"), F.when(k % 2 == 0, "water_tap").otherwise("tower"))
-    n = fx.table(s, d, "nation").withColumn("tags", tags).where(records.tag_filter("tags", {"amenity": ["fountain", "drinking_water"], "man_made": ["water_tap"]}))
-    return n.select("n_nationkey", records.first_tag("tags", ["amenity", "man_made"]).alias("amenity"))
+    n = fx.table(s, d, "part").withColumn("tags", tags).where(records.tag_filter("tags", {"amenity": ["fountain", "drinking_water"], "man_made": ["water_tap"]}))
+    return n.select("p_partkey", records.first_tag("tags", ["amenity", "man_made"]).alias("amenity"))
 
 
 # --- geometry ------------------------------------------------------------------------------------------------------
@@ -632,14 +633,14 @@ def elevation_stats(s, d):
 
 
 @query(f"""WITH {CELLS}, {LINES}, n AS (SELECT *, greatest(1, CAST(ceil(len / 5) AS INTEGER)) AS n FROM len), p AS (SELECT id, u.i, x1 + u.i / CAST(n AS DOUBLE) * (x2 - x1) AS x, y1 + u.i / CAST(n AS DOUBLE) * (y2 - y1) AS y FROM n, unnest(range(0, n + 1)) AS u(i))
-  SELECT p.id AS way_id, count(*) AS n, sum(z * (1 + i)) AS weighted FROM p JOIN cells c ON c.col = floor(p.x / 10) AND c.row = floor((4000 - p.y) / 10) WHERE z IS NOT NULL GROUP BY 1""")
+  SELECT way_id, count(*) AS n, round(sum(z * k), 3) AS weighted, round(sum(x * k + y), 3) AS places FROM (SELECT p.id AS way_id, p.x, p.y, c.z, row_number() OVER (PARTITION BY p.id ORDER BY i) AS k
+  FROM p JOIN cells c ON c.col = floor(p.x / 10) AND c.row = floor((4000 - p.y) / 10) WHERE z IS NOT NULL) GROUP BY 1""")
 def elevation_profile_json(s, d):
-    # profiles hold floating-point text; their places and heights are compared
+    # profiles hold floating-point text; their places, heights and order are compared as sums
     p = raster.elevation_profile(_lines(s, d), fx.cells(s, d), 10, ORIGIN, 5.0)
-    z = F.from_json("elevation_profile", "array<struct<x:double,y:double,z:double>>")
-    n = raster.value_at(_lines(s, d).select("id", F.posexplode(geo.segmentize("geometry", 5.0)).alias("i", "geometry")), fx.cells(s, d), 10, ORIGIN).where("z is not null")
-    w = n.groupBy("id").agg(F.sum(F.col("z") * (1 + F.col("i"))).alias("weighted"))
-    return p.join(w, F.col("way_id") == F.col("id")).select("way_id", F.size(z).cast("long").alias("n"), "weighted")
+    entries = p.select("way_id", F.posexplode(F.from_json("elevation_profile", "array<struct<x:double,y:double,z:double>>")).alias("at", "e"))
+    k = F.col("at") + 1
+    return entries.groupBy("way_id").agg(F.count("*").alias("n"), F.round(F.sum(F.col("e.z") * k), 3).alias("weighted"), F.round(F.sum(F.col("e.x") * k + F.col("e.y")), 3).alias("places"))
 
 
 @query(f"""WITH {CELLS} SELECT col // 4 AS col, row // 4 AS row, round(avg(z), 6) AS z, CAST(col // 4 * 40 AS DOUBLE) AS left_x FROM cells WHERE col BETWEEN 50 AND 250 AND row BETWEEN 100 AND 300 GROUP BY col // 4, row // 4""")
@@ -734,7 +735,7 @@ def turn_restrictions(s, d):
 
 
 @query(f"""WITH {LINKS}, {TURNS}, ends AS (SELECT way_id, min_by(start_node_id, way_link_index) AS a, max_by(end_node_id, way_link_index) AS z, min(way_link_index) AS l0, max(way_link_index) AS l1 FROM links GROUP BY 1),
-  v AS (SELECT *, (relation_id * 31) % 2100 AS via FROM turns)
+  v AS (SELECT *, (relation_id * 31) % (SELECT max(p_partkey) + 100 FROM part) AS via FROM turns)
   SELECT relation_id, from_way, to_way, CASE WHEN f.way_id IS NULL THEN NULL WHEN f.z = via THEN f.l1 ELSE f.l0 END AS from_link, CASE WHEN t.way_id IS NULL THEN NULL WHEN t.a = via THEN t.l0 ELSE t.l1 END AS to_link,
   CAST(CASE WHEN f.way_id IS NULL THEN NULL WHEN f.z = via AND f.a = via THEN 2 WHEN f.z = via THEN 1 WHEN f.a = via THEN -1 ELSE 0 END AS INTEGER) AS from_direction FROM v LEFT JOIN ends f ON f.way_id = from_way LEFT JOIN ends t ON t.way_id = to_way""")
 def turn_links(s, d):
@@ -848,3 +849,6 @@ def nearest_way(s, d):
 @query(f"WITH {MANY} SELECT min(value) AS value_min, max(value) AS value_max, round(avg(value), 6) AS value_avg FROM many WHERE x BETWEEN 3000 AND 9000 AND y BETWEEN 5000 AND 12000")
 def bbox_features_stats(s, d):
     return inspect.bbox_stats(fx.many_sites(s, d), "geometry", (3000, 5000, 9000, 12000), ["value"]).withColumn("value_avg", F.round("value_avg", 6))
+
+
+from . import queries_io  # noqa: E402, F401  registers its queries here

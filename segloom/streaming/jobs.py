@@ -10,33 +10,48 @@ from ..operators.match import nearest
 from ..operators.sync import upsert_changed
 
 
-def current_version(spark: SparkSession, target: str) -> int | None:
-    """The last complete version below the target, by Hadoop's file system; None if there is none."""
+def _versions(spark: SparkSession, target: str) -> list[tuple[int, str]]:
+    """(number, folder name) of the complete versions below the target, by Hadoop's file system, in order."""
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(target)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(path):
-        return None
+        return []
     done = [s.getPath().getName() for s in fs.listStatus(path) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    return max((int(n.removeprefix("v=")) for n in done if n.startswith("v=")), default=None)
+    return sorted((int(n[2:].split("-")[0]), n) for n in done if n.startswith("v="))
+
+
+def current_version(spark: SparkSession, target: str) -> int | None:
+    """The last complete version; None if there is none."""
+    return max((n for n, _ in _versions(spark, target)), default=None)
 
 
 def read_version(spark: SparkSession, target: str, version: int | None = None) -> DataFrame | None:
-    at = current_version(spark, target) if version is None else version
-    return None if at is None else spark.read.parquet(f"{target}/v={at}")
+    found = [name for n, name in _versions(spark, target) if version in (None, n)]
+    return spark.read.parquet(f"{target}/{found[-1]}") if found else None
 
 
-def stream_upsert(stream: DataFrame, target: str, keys: list[str], order_by: str) -> DataStreamWriter:
-    """ST1. Each micro-batch is upserted into the target's last version and written as the next one.
+def stream_upsert(stream: DataFrame, target: str, keys: list[str], order_by: str, keep: int = 3) -> DataStreamWriter:
+    """ST1. Each micro-batch is upserted into the target's last complete version and written as the next one.
 
-    A version is named by its batch and overwritten when the batch runs again, so a repeated batch does no harm.
+    A version carries the stream's id and the batch's: a batch that runs again after its version was complete does
+    nothing, one that broke off before starts from the same version. A new stream goes on from what the target
+    holds. The last ``keep`` versions stay, so readers of the previous ones aren't cut off.
     """
 
     def one(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        old = read_version(spark, target, batch_id - 1 if batch_id else None) if batch_id else None
-        empty = spark.createDataFrame([], batch.schema)
-        upsert_changed(empty if old is None else old, batch, keys, order_by=order_by).write.mode("overwrite").parquet(f"{target}/v={batch_id}")
+        mark = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+        done = _versions(spark, target)
+        if any(name.split("-", 1)[1] == mark for _, name in done):
+            return
+        old = spark.read.parquet(f"{target}/{done[-1][1]}") if done else spark.createDataFrame([], batch.schema)
+        number = done[-1][0] + 1 if done else 0
+        upsert_changed(old, batch, keys, order_by=order_by).write.mode("overwrite").parquet(f"{target}/v={number:09}-{mark}")
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        for _, name in done[: max(0, len(done) + 1 - keep)]:
+            path = hadoop(f"{target}/{name}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
     return stream.writeStream.foreachBatch(one)
 

@@ -93,6 +93,19 @@ def test_stream_upsert_over_runs(spark, tmp_path):
     assert sorted(jobs.read_version(spark, target).collect()) == [(1, "b", 2), (2, "d", 3), (3, "e", 3)]
 
 
+def test_new_stream_goes_on_from_the_target(spark, tmp_path):
+    schema, source, target = "k int, v string, o int", f"{tmp_path}/in", f"file://{tmp_path}/out"
+    for i in range(5):
+        spark.createDataFrame([(i, "x", i), (100, f"v{i}", i)], schema).write.mode("append").parquet(source)
+        run(jobs.stream_upsert(spark.readStream.schema(schema).parquet(source), target, ["k"], "o", keep=2), tmp_path)
+    assert jobs.current_version(spark, target) == 4 and len(jobs._versions(spark, target)) == 2
+    other = f"{tmp_path}/other"
+    spark.createDataFrame([(7, "new", 9)], schema).write.parquet(other)
+    (tmp_path / "second").mkdir()
+    run(jobs.stream_upsert(spark.readStream.schema(schema).parquet(other), target, ["k"], "o", keep=2), tmp_path / "second")
+    assert sorted(jobs.read_version(spark, target).collect()) == [*((i, "x", i) for i in range(5)), (7, "new", 9), (100, "v4", 4)]
+
+
 def test_stream_hours_drop_late_slots(spark, tmp_path):
     source = f"{tmp_path}/in"
 
