@@ -140,22 +140,19 @@ class ChunkCache:
     """Ids of white-space separated chunks, as bytes of unsigned 32-bit little-endian numbers.
 
     Splitting at ASCII white space changes no id: no piece, composition or special token spans it. Each of
-    the two levels keeps at most twice ``limit`` entries, of which the older half goes when the newer is
-    full, so memory stays bounded on any corpus.
+    the two levels is emptied when it holds more than ``limit`` entries, so memory stays bounded on any corpus;
+    the frequent ones are back soon.
     """
 
-    def __init__(self, vocabulary: Vocabulary, library: Tokenizer, merge, limit: int = 200_000):
+    def __init__(self, vocabulary: Vocabulary, library: Tokenizer, merge, limit: int = 250_000):
         self.vocabulary, self.library, self.merge, self.limit = vocabulary, library, merge, limit
         self.chunks: dict[bytes, bytes] = {}
         self.words: dict[str | bytes, bytes] = {}  # by piece, or by the UTF-8 of a lower-cased Latin word
-        self.old_chunks: dict[bytes, bytes] = {}
-        self.old_words: dict[str | bytes, bytes] = {}
 
     def _word(self, word: str | bytes) -> bytes:
         if (ids := self.words.get(word)) is None:
-            if (ids := self.old_words.get(word)) is None:
-                piece = word if isinstance(word, str) else "".join([_ALPHABET[b] for b in word])
-                ids = array("I", self.merge(piece)).tobytes()
+            piece = word if isinstance(word, str) else "".join([_ALPHABET[b] for b in word])
+            ids = array("I", self.merge(piece)).tobytes()
             if len(word) <= 64:
                 self.words[word] = ids
         return ids
@@ -196,10 +193,10 @@ class ChunkCache:
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         for text in texts:
             if len(self.chunks) > self.limit:
-                self.chunks, self.old_chunks = {}, self.chunks
+                self.chunks = {}
             if len(self.words) > self.limit:
-                self.words, self.old_words = {}, self.words
-            chunks, old = self.chunks, self.old_chunks
+                self.words = {}
+            chunks = self.chunks
             words = text.split()
             found, i = list(map(chunks.get, words)), -1
             while True:
@@ -209,8 +206,7 @@ class ChunkCache:
                     break
                 w = words[i]
                 if (ids := chunks.get(w)) is None:
-                    if (ids := old.get(w)) is None:
-                        ids = self._chunk(w)
+                    ids = self._chunk(w)
                     if len(w) <= 64:
                         chunks[w] = ids
                 found[i] = ids
