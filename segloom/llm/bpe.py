@@ -30,6 +30,8 @@ _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
 _ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
 _NONE = 1 << 60
+#: Entries of each cache of a Python worker, about 250 bytes each; twice as many are held at most.
+CACHE_ENTRIES = 300_000
 
 
 def byte_alphabet() -> list[str]:
@@ -144,7 +146,7 @@ class ChunkCache:
     full, so memory stays bounded on any corpus.
     """
 
-    def __init__(self, vocabulary: Vocabulary, library: Tokenizer, merge, limit: int = 200_000):
+    def __init__(self, vocabulary: Vocabulary, library: Tokenizer, merge, limit: int = CACHE_ENTRIES):
         self.vocabulary, self.library, self.merge, self.limit = vocabulary, library, merge, limit
         self.chunks: dict[bytes, bytes] = {}
         self.words: dict[str | bytes, bytes] = {}  # by piece, or by the UTF-8 of a lower-cased Latin word
@@ -225,11 +227,11 @@ def tree_encoder(path: str) -> ChunkCache:
 
 
 @functools.cache
-def library_encoder(path: str) -> ChunkCache:
+def library_encoder(path: str, entries: int = CACHE_ENTRIES) -> ChunkCache:
     """The same with the merges of the tokenizers library."""
     library = Tokenizer.from_file(path)
     model = library.model
-    return ChunkCache(Vocabulary(path), library, lambda word: [t.id for t in model.tokenize(word)])
+    return ChunkCache(Vocabulary(path), library, lambda word: [t.id for t in model.tokenize(word)], entries)
 
 
 def bpe_encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

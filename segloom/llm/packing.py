@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import library_encoder
+from .bpe import CACHE_ENTRIES, library_encoder
 from .common import text_bytes
 
 
@@ -53,7 +53,7 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
     return bins, offsets
 
 
-def token_pieces(df: DataFrame, path: str, capacity: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
+def token_pieces(df: DataFrame, path: str, capacity: int, end_id: int, id_col: str, text_col: str, cache_entries: int = CACHE_ENTRIES) -> DataFrame:
     """(id, start, length, ids_crc32, doc_tokens, salt): the whole text's ids and one end id, cut at each capacity.
 
     salt tells the rows apart: the partition in the high bits, the row's place in it in the low ones.
@@ -62,7 +62,7 @@ def token_pieces(df: DataFrame, path: str, capacity: int, end_id: int, id_col: s
     def run(batches):
         from pyspark import TaskContext
 
-        encoder = library_encoder(path)
+        encoder = library_encoder(path, cache_entries)
         end, step, first = end_id.to_bytes(4, "little"), 4 * capacity, TaskContext.get().partitionId() << 33
         names = ["id", "start", "length", "ids_crc32", "doc_tokens", "salt"]
         for b in batches:
@@ -86,13 +86,21 @@ def token_pieces(df: DataFrame, path: str, capacity: int, end_id: int, id_col: s
 
 
 def pack(
-    df: DataFrame, path: str, capacity: int = 2048, end_id: int = 1, group_size: int = 2000, id_col: str = "doc_id", text_col: str = "text"
+    df: DataFrame,
+    path: str,
+    capacity: int = 2048,
+    end_id: int = 1,
+    group_size: int = 2000,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    cache_entries: int = CACHE_ENTRIES,
 ) -> DataFrame:
     """Pieces with their place: (id, start, length, ids_crc32, doc_tokens, sequence_id, offset).
 
     A null or empty text is its end id alone. Repeated rows are packed each on its own; a null id is kept.
     The hash that deals documents to groups has the row's place in the table as salt, so rows that share an id
     spread over many groups; the pieces of one document stay in one. An empty table gives no rows.
+    ``cache_entries`` bounds the memory of the encoder in each Python worker; it changes no result.
     """
     groups = -(-max(1, df.count()) // group_size)
     kind = df.schema[id_col].dataType.simpleString()
@@ -105,6 +113,6 @@ def pack(
         out["offset"] = offsets
         return out
 
-    dealt = token_pieces(df, path, capacity, end_id, id_col, text_col).withColumn("group", F.pmod(F.xxhash64("id", "salt"), F.lit(groups)))
+    dealt = token_pieces(df, path, capacity, end_id, id_col, text_col, cache_entries).withColumn("group", F.pmod(F.xxhash64("id", "salt"), F.lit(groups)))
     packed = dealt.groupBy("group").applyInPandas(place, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
     return packed.withColumnRenamed("id", id_col)
