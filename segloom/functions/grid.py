@@ -13,7 +13,7 @@ def cell(p: Column, size: float) -> Column:
     return F.struct(F.floor(p["x"] / size).alias("cx"), F.floor(p["y"] / size).alias("cy"))
 
 
-def box_cells(box: Column, size: float) -> Column:
+def box_cells(box: Column, size: Column | float) -> Column:
     """All cells that a box meets."""
     across = F.sequence(F.floor(box["x1"] / size), F.floor(box["x2"] / size))
     down = F.sequence(F.floor(box["y1"] / size), F.floor(box["y2"] / size))

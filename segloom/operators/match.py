@@ -18,6 +18,9 @@ SMALL_ROWS = 200
 #: A table of fewer bytes a core (by Spark's estimate) is dealt to all cores, as its few files may be one task.
 SPREAD_BYTES = 4 << 20
 
+#: Cells of the finest grid have sides of 4 ** this.
+LEAST_LEVEL = -10
+
 
 def _spread(df: DataFrame) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
@@ -181,6 +184,44 @@ def within(
     return _kept(base, pairs, base_id) if keep_unmatched else pairs
 
 
+def _levelled(df: DataFrame, geom: str, kind: str, box: str, level: str) -> DataFrame:
+    """df with the box of its geometries and the level whose cells, of side 4 ** level, are as large as it."""
+    boxed = df.withColumn(box, geo.envelope(geom, kind)).where(F.col(f"{box}.x1").isNotNull())
+    side = F.greatest(F.col(f"{box}.x2") - F.col(f"{box}.x1"), F.col(f"{box}.y2") - F.col(f"{box}.y1"))
+    own = F.when(side > 0, F.ceil(F.log(4.0, side))).otherwise(LEAST_LEVEL)
+    return boxed.withColumn(level, F.greatest(F.lit(LEAST_LEVEL), own).cast("int"))
+
+
+def _by_levels(base: DataFrame, enr: DataFrame, kinds: tuple[str, str], base_geom: str, geom: str) -> DataFrame:
+    """All pairs whose boxes meet, each once: compared in the grid of the larger one of the two.
+
+    The larger geometry takes the cells of its own level, the smaller one those of every coarser level that the other
+    table has: a few numbers, which are collected. Two joins, as either side may be the larger.
+    """
+    left, right = _levelled(base, base_geom, kinds[0], "__mine", "__mine_level"), _levelled(enr, geom, kinds[1], "__theirs", "__theirs_level")
+    own = [sorted(r[0] for r in df.select(c).distinct().collect()) for df, c in ((left, "__mine_level"), (right, "__theirs_level"))]
+    size = F.pow(F.lit(4.0), F.col("__level"))
+
+    def placed(df: DataFrame, box: str, levels: Column) -> DataFrame:
+        return df.withColumn("__level", F.explode(levels)).withColumn("__cell", F.explode(grid.box_cells(F.col(box), size)))
+
+    def above(levels: list[int], level: str, equal: bool) -> Column:
+        every = F.array(*(F.lit(v) for v in levels)).cast("array<int>")
+        return F.filter(every, lambda v: v >= F.col(level) if equal else v > F.col(level))
+
+    first = F.struct(*(F.greatest(F.floor(F.col(f"__mine.{c}1") / size), F.floor(F.col(f"__theirs.{c}1") / size)).alias(f"c{c}") for c in "xy"))
+    meet = F.lit(True)
+    for c in "xy":
+        meet = meet & (F.col(f"__mine.{c}1") <= F.col(f"__theirs.{c}2")) & (F.col(f"__theirs.{c}1") <= F.col(f"__mine.{c}2"))
+
+    def joined(a: DataFrame, b: DataFrame) -> DataFrame:
+        return a.join(b, ["__level", "__cell"]).where((F.col("__cell") == first) & meet).select(*base.columns, *enr.columns)
+
+    base_larger = joined(placed(left, "__mine", F.array("__mine_level")), placed(right, "__theirs", above(own[0], "__theirs_level", True)))
+    enr_larger = joined(placed(left, "__mine", above(own[1], "__mine_level", False)), placed(right, "__theirs", F.array("__theirs_level")))
+    return base_larger.union(enr_larger)
+
+
 def intersects(
     base: DataFrame,
     enr: DataFrame,
@@ -194,20 +235,17 @@ def intersects(
 ) -> DataFrame:
     """M6, M9. All pairs with a point in common: a join on the grid cells of both, then the exact test.
 
-    ``cell`` defaults to the mean extent of the larger geometries of the two sides.
+    A geometry lies in four cells at most of a grid as coarse as itself, so neither one very large polygon nor many
+    small ones below it make long lists of cells. ``cell`` asks for one grid of that size instead.
     """
     other, kinds = _apart(base, enr), _kinds(base, enr, base_geom, enr_geom)
     geom = _name(base, enr_geom)
     if predicate is not None:
         warnings.warn("a predicate of your own compares all pairs of rows", stacklevel=2)
         pairs = base.join(other, F.expr(predicate) if isinstance(predicate, str) else predicate)
+    elif cell is None:
+        pairs = _by_levels(base, other, kinds, base_geom, geom).where(geo.intersects(F.col(base_geom), F.col(geom), kinds))
     else:
-        if cell is None:
-            means = []
-            for df, g, kind in ((base, base_geom, kinds[0]), (other, geom, kinds[1])):
-                e = df.select(geo.envelope(g, kind).alias("e"))
-                means.append(e.agg(F.avg(F.greatest(F.col("e.x2") - F.col("e.x1"), F.col("e.y2") - F.col("e.y1")))).first()[0] or 0.0)
-            cell = max(means) or 1.0
         left = base.withColumn("__mine", grid.cells(F.col(base_geom), kinds[0], cell)).withColumn("__cell", F.explode("__mine"))
         right = other.withColumn("__theirs", grid.cells(F.col(geom), kinds[1], cell)).withColumn("__cell", F.explode("__theirs"))
         first = F.col("__cell") == F.array_min(F.array_intersect("__mine", "__theirs"))

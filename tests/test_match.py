@@ -72,6 +72,24 @@ def test_intersects_equals_all_pairs(spark):
     assert kept.select("id").distinct().count() == a.count()
 
 
+def test_intersects_of_very_uneven_sizes(spark):
+    rng = random.Random(10)
+    widths = [0.5, 3.0, 30.0, 64.0, 400.0, 1000.0, 40_000.0, 3e6]
+    boxes = [(i, float(rng.randrange(-50, 1000)), float(rng.randrange(-50, 1000)), widths[i % len(widths)]) for i in range(41)]
+    box = F.when(F.col("sid") < 40, geo.rectangle("x", "y", F.col("x") + F.col("w"), F.col("y") + F.col("w")))
+    b = spark.createDataFrame(boxes, "sid long, x double, y double, w double").select("sid", box.alias("geometry"))
+    p = points(spark, 120, 11).withColumnRenamed("sid", "id")
+    for a, kind in ((lines(spark, 80, 12, 500), "line"), (p, "point"), (b.withColumnRenamed("sid", "id"), "polygon")):
+        want = a.crossJoin(b.withColumnRenamed("geometry", "enr_geometry")).where(geo.intersects("geometry", "enr_geometry", (kind, "polygon")))
+        got = match.intersects(a, b, enr_id="sid")
+        assert got.columns == [*a.columns, "sid", "enr_geometry"]
+        assert pairs(got, "id", "sid") == pairs(want, "id", "sid")
+    assert match.intersects(p.limit(0), b, enr_id="sid").count() == 0
+    twice = points(spark, 50, 13)
+    want = p.crossJoin(twice.withColumnRenamed("geometry", "enr_geometry")).where("geometry = enr_geometry")
+    assert pairs(match.intersects(p, twice, enr_id="sid"), "id", "sid") == pairs(want, "id", "sid")
+
+
 def test_own_predicate_warns(spark):
     a, b = lines(spark, 5, 1), points(spark, 5, 2)
     with pytest.warns(UserWarning, match="all pairs"):
