@@ -1,7 +1,7 @@
 """A training-data pipeline over ``documents``: five stages, each written as Parquet and read again.
 
 Every stage takes all rows that its predecessor kept. Ids carry the decisions, so a stage that drops rows keeps
-those whose id it decided to keep; rows that repeat an id and its text are treated alike.
+those whose (id, text) it decided to keep; of rows that repeat both, the deduplicating stages keep one.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segloom.llm import exact_dedup, jaccard, packing, quality, secrets
-from segloom.llm.common import shared_path, table
+from segloom.llm.common import identity, rows_of, shared_path, table
 from segloom.llm.queries import tokenizer_path
 
 #: SQL can't express the classifier, the similarity join and the packing.
@@ -33,11 +33,10 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five words, similarity 0.8 or more): the smallest id."""
     # rows that share an id are told apart by their text; null ids come last
-    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"))
+    key = F.struct(*(identity("doc_id")[c].alias(c) for c in ("no_id", "id")), F.xxhash64("text").alias("text_hash"))
     groups = jaccard.jaccard_components(docs.select(key.alias("key"), "text"), words=5, percent=80, id_col="key")
     kept = groups.where(F.col("key") == F.col("component_id")).select("key.*").distinct()
-    same = docs["doc_id"].eqNullSafe(kept["id"]) & (F.xxhash64(docs["text"]) == kept["text_hash"])
-    return docs.join(kept, same, "left_semi")
+    return rows_of(docs, F.xxhash64("text"), kept.select(F.struct("no_id", "id").alias("key"), F.col("text_hash").alias("text")))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

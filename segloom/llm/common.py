@@ -48,5 +48,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def identity(column: str) -> Column:
+    """The id as a key under which null equals null, so joins on it stay equi-joins."""
+    return F.struct(F.col(column).isNull().alias("no_id"), F.col(column).alias("id"))
+
+
+def rows_of(df: DataFrame, text: Column, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """One row of df for each (key, text) that ``kept`` names; its columns stay as they are.
+
+    ``kept``: distinct (key, text), the key as ``identity`` makes it. Of rows that repeat an id and its text the one
+    of smallest hash over all columns but maps stays. They are merged before the shuffle, so a row that a third of
+    the table repeats is no hot key, and the join reuses that shuffle.
+    """
+    own = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    hashed = F.xxhash64(*(F.col(c) for c in df.columns if "map<" not in df.schema[c].dataType.simpleString()))
+    rows = df.select(identity(id_col).alias("key"), text.alias("text"), hashed.alias("h"), F.struct(*(F.col(c).alias(n) for c, n in own.items())).alias("row"))
+    once = rows.groupBy("key", "text").agg(F.min_by("row", "h").alias("row"))
+    return once.join(kept, ["key", "text"], "left_semi").select(*(F.col(f"row.{n}").alias(c) for c, n in own.items()))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

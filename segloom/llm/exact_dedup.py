@@ -19,8 +19,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from .common import SPACE
+from .common import SPACE, identity, rows_of
 
 
 class _Node:
@@ -186,8 +187,11 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Texts are equal when identical after each run of white space becomes one space; null counts as empty. Of
     equal texts the smallest id stays; a null id only where the group has no other. Rows that repeat the
-    owner's id are the owner's record as well and count as kept. An empty table gives no rows.
+    owner's id are the owner's record as well and count as kept. An empty table gives no rows. Ids are whole numbers
+    or null; other types raise a TypeError.
     """
+    if not isinstance(df.schema[id_col].dataType, IntegralType):
+        raise TypeError(f"{id_col} must be a whole number, not {df.schema[id_col].dataType.simpleString()}")
     kind = df.schema[id_col].dataType.simpleString()
     owners = text_owners(df, id_col, text_col)
     text = normalised(text_col)
@@ -205,10 +209,8 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def drop_exact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df without the rows whose text another row owns; its columns stay as they are.
 
-    The decision joins back on (id, text hash), so rows that share an id but not the text are told apart.
+    One row of each text is left, also where rows repeat the owner's id (``rows_of`` says which). The decision joins
+    back on (id, text hash), so rows that share an id but not the text are told apart. Ids are whole numbers or null.
     """
-    clash = {c: f"__in_{i}" for i, c in enumerate(df.columns)}
-    held = df.select(*(F.col(c).alias(n) for c, n in clash.items()), F.sha2(normalised(text_col), 256).alias("__sha"))
-    keep = exact_groups(df, id_col, text_col).where("kept").select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__keep")).distinct()
-    joined = held.join(keep, F.col(clash[id_col]).eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__keep")), "left_semi")
-    return joined.select(*(F.col(n).alias(c) for c, n in clash.items()))
+    kept = exact_groups(df, id_col, text_col).where("kept").select(identity(id_col).alias("key"), F.col("text_sha256").alias("text")).distinct()
+    return rows_of(df, F.sha2(normalised(text_col), 256), kept, id_col)

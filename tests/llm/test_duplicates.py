@@ -55,6 +55,19 @@ def test_exact_odd_rows(empty, clashing):
     assert exact_dedup.drop_exact(clashing).count() == 2
 
 
+def test_exact_repeated_rows(spark):
+    rows = [(7, "a  b", 1), (7, "a b", 2), (7, "a b", 2), (9, "a b", 3), (7, "c", 4), (None, "d", 5), (None, "d", 6), (None, "a b", 7)]
+    df = spark.createDataFrame([(*r, {"k": r[0]}) for r in rows], "doc_id long, text string, text_sha256 int, key map<string,long>")
+    got = exact_dedup.drop_exact(df)
+    assert got.columns == df.columns
+    kept = got.collect()
+    assert sorted(((r["doc_id"], normal(r["text"])) for r in kept), key=repr) == sorted([(7, "a b"), (7, "c"), (None, "d")], key=repr)
+    assert all((r["doc_id"], r["text"], r["text_sha256"]) in rows and r["key"] == {"k": r["doc_id"]} for r in kept)
+    assert sorted(got.collect(), key=repr) == sorted(exact_dedup.drop_exact(df.repartition(3)).collect(), key=repr)
+    with pytest.raises(TypeError, match="whole number"):
+        exact_dedup.drop_exact(df.selectExpr("cast(doc_id as string) as doc_id", "text"))
+
+
 def brute(texts, words, percent):
     sets = []
     for t in texts:

@@ -56,7 +56,7 @@ def test_stages_keep_columns_and_stand_nothing(spark, empty, small):
 
 def test_near_stage_tells_rows_of_one_id_apart(spark):
     a, b = "one two three four five six seven eight", "quite another text of more than five words"
-    rows = [(3, a), (7, a), (7, b), (None, a), (None, b), (9, None), (9, "")]
+    rows = [(3, a), (3, a), (7, a), (7, b), (7, b), (None, a), (None, b), (9, None), (9, None), (9, "")]
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = corpus_pipeline.near_stage(spark, docs, "")
     assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr) == sorted([(3, a), (7, b), (9, None), (9, "")], key=repr)
