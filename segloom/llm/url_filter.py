@@ -198,7 +198,10 @@ def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col:
     of_hosts = sum_odds(hosts, "host", "words", odds)
     of_paths = sum_odds(parsed.select("path").distinct().withColumn("tokens", path_tokens(F.col("path"))), "path", "tokens", odds)
     total = F.lit(prior) + F.coalesce("host_odds", F.lit(0)) + F.coalesce("path_odds", F.lit(0))
-    rows = parsed.join(hosts.join(of_hosts, "host", "left"), "host", "left").join(of_paths, "path", "left")
+    # written out, so that the joins with all rows have two shuffles of their own, of which hot hosts and paths can be split
+    by_host = materialize(hosts.join(of_hosts, "host", "left"), "host_odds")
+    by_path = materialize(of_paths, "path_odds")
+    rows = parsed.join(by_host, "host", "left").join(by_path, "path", "left")
     return rows.select(
         F.col("id").alias(id_col),
         "host",
