@@ -337,7 +337,8 @@ def jaccard_components(df: DataFrame, words: int = 4, percent: int = 85, id_col:
     components = first if rest.isEmpty() else connected_components(links)
     classes = documents.where("n > 0").groupBy("name").agg(F.min("id").alias("id"))
     named = classes.join(components.withColumnRenamed("node", "name"), "name", "left").select("name", "id", F.coalesce("component", "name").alias("component"))
-    smallest = named.groupBy("component").agg(F.min("id").alias("component_id"))
+    named = materialize(named, "named")  # as with hubs, a join on two shuffles of its own can split a large component
+    smallest = materialize(named.groupBy("component").agg(F.min("id").alias("component_id")), "smallest")
     labels = named.join(smallest, "component").select("name", "component_id")
     full = documents.where("n > 0").join(labels, "name").select("id", "n", "component_id")
     empty = documents.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
