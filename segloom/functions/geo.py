@@ -394,12 +394,12 @@ def as_geojson(g: Column | str, kind: str) -> Column:
 
 
 def _series() -> tuple[float, list[float], list[float], list[float]]:
-    """Kruger's series to the third power of n: rectifying radius, forward, backward and latitude terms."""
+    """Kruger's series to the third power of n, latitude to the fourth: rectifying radius, forward, backward and latitude terms."""
     n = FLATTENING / (2 - FLATTENING)
     radius = AXIS_M / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
     forward = [n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240]
     backward = [n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480]
-    latitude = [2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15]
+    latitude = [2 * n - 2 * n**2 / 3 - 2 * n**3 + 116 * n**4 / 45, 7 * n**2 / 3 - 8 * n**3 / 5 - 227 * n**4 / 45, 56 * n**3 / 15 - 136 * n**4 / 35, 4279 * n**4 / 630]
     return radius, forward, backward, latitude
 
 

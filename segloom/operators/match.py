@@ -165,19 +165,22 @@ def within(
     base_id: str = "id",
     enr_id: str = "id",
     distance: str = "distance",
+    bounded: bool = False,
 ) -> DataFrame:
     """M4, M5, M9, M11. All pairs within the distance, or the ``limit`` nearest of them.
 
     A predicate of the user's own replaces the distance; as it gives no key to join on, Spark compares all pairs,
-    which a warning says. base_id must be unique if unmatched rows are kept.
+    which a warning says. ``bounded`` asks for both, so the grid finds the pairs that the predicate then tests.
+    base_id must be unique if unmatched rows are kept.
     """
     other, kinds = _apart(base, enr), _kinds(base, enr, base_geom, enr_geom)
     geom, key = _name(base, enr_geom), _name(base, enr_id)
-    if predicate is None:
+    test = F.expr(predicate) if isinstance(predicate, str) else predicate
+    if test is None or bounded:
         pairs = _candidates(_spread(base), other, float(max_distance), kinds, base_geom, geom, distance)
+        pairs = pairs if test is None else pairs.where(test)
     else:
         warnings.warn("a predicate of your own compares all pairs of rows", stacklevel=2)
-        test = F.expr(predicate) if isinstance(predicate, str) else predicate
         pairs = base.join(other, test).withColumn(distance, geo.distance(F.col(base_geom), F.col(geom), kinds))
     if limit is not None:
         pairs = _top(pairs, base_id, [F.col(distance).asc(), F.col(key).asc()], limit)

@@ -346,11 +346,20 @@ def make_point(s, d):
     return out.select("p_partkey", "geom.x", "geom.y")
 
 
-@query()
+#: UTM zone 33 in SQL: Kruger's series to the third power of the third flattening n.
+UTM = f"""{MANY}, c AS (SELECT 1 / 298.257223563 AS f, f / (2 - f) AS n, 2 * sqrt(n) / (1 + n) AS e, 0.9996 * 6378137.0 / (1 + n) * (1 + n*n/4 + n*n*n*n/64) AS r,
+  n/2 - 2*n*n/3 + 5*n*n*n/16 AS a1, 13*n*n/48 - 3*n*n*n/5 AS a2, 61*n*n*n/240 AS a3),
+  angles AS (SELECT site_id, radians(y / 4000 + 50) AS lat, radians(x / 4000 + 12.5 - 15) AS lon FROM many),
+  conformal AS (SELECT site_id, lon, c.*, sinh(atanh(sin(lat)) - e * atanh(e * sin(lat))) AS t FROM angles, c),
+  plane AS (SELECT *, atan2(t, cos(lon)) AS xi, asinh(sin(lon) / sqrt(t * t + cos(lon) * cos(lon))) AS eta FROM conformal)"""
+
+
+@query(f"""WITH {UTM} SELECT site_id, round(500000 + r * (eta + a1*cos(2*xi)*sinh(2*eta) + a2*cos(4*xi)*sinh(4*eta) + a3*cos(6*xi)*sinh(6*eta)), 3) AS x,
+  round(r * (xi + a1*sin(2*xi)*cosh(2*eta) + a2*sin(4*xi)*cosh(4*eta) + a3*sin(6*xi)*cosh(6*eta)), 3) AS y, CAST(0 AS DOUBLE) AS dx, CAST(0 AS DOUBLE) AS dy FROM plane""")
 def reproject(s, d):
     p = fx.many_sites(s, d).withColumn("lonlat", geo.point(F.col("x") / 4000 + 12.5, F.col("y") / 4000 + 50))
     back = enrich.reproject(enrich.reproject(p, "lonlat", "utm", 4326, 25833), "utm", "again", 25833, 4326)
-    return back.select("site_id", F.round("utm.x", 3).alias("x"), F.round("utm.y", 3).alias("y"), F.round(F.col("again.x") - F.col("lonlat.x"), 8).alias("dx"), F.round(F.col("again.y") - F.col("lonlat.y"), 8).alias("dy"))
+    return back.select("site_id", F.round("utm.x", 3).alias("x"), F.round("utm.y", 3).alias("y"), F.round(F.abs(F.col("again.x") - F.col("lonlat.x")), 8).alias("dx"), F.round(F.abs(F.col("again.y") - F.col("lonlat.y")), 8).alias("dy"))
 
 
 @query(f"WITH {MANY} SELECT site_id, round_even(x / 250, 0) * 250 AS x, round_even(y / 250, 0) * 250 AS y FROM many")

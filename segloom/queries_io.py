@@ -208,6 +208,12 @@ def custom_predicate(s, d):
     return match.within(fx.ways(s, d), fx.sites(s, d), 0, predicate=test, enr_id="site_id").select("id", "site_id", _r("distance"))
 
 
+@query(f"WITH {WAYS}, {SITES} SELECT id, site_id, round({apart()}, 4) AS distance FROM ways, sites WHERE {apart()} <= 300 AND value > x1 - 5000")
+def bounded_predicate(s, d):
+    """M5: a predicate of the user's own within a distance, so the grid finds the pairs."""
+    return match.within(fx.ways(s, d), fx.sites(s, d), 300, predicate="value > x1 - 5000", enr_id="site_id", bounded=True).select("id", "site_id", _r("distance"))
+
+
 @query(f"""WITH {RANKED}, t AS (SELECT id, d, CASE WHEN value > 0 THEN value END AS v FROM ranked WHERE rk <= 4)
   SELECT id, round(sum(v / pow(greatest(d, 0.001), 2)) / sum(CASE WHEN v IS NOT NULL THEN 1 / pow(greatest(d, 0.001), 2) END), 4) AS value FROM t GROUP BY id""")
 def idw_skip_nulls(s, d):

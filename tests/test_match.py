@@ -96,6 +96,14 @@ def test_own_predicate_warns(spark):
         assert match.within(a, b, 0, predicate="id = sid", enr_id="sid").count() == 6
 
 
+def test_bounded_predicate_joins_on_the_grid(spark):
+    a, b = lines(spark, 40, 1), points(spark, 40, 2)
+    got = match.within(a, b, 30, predicate="(id + sid) % 2 = 0", enr_id="sid", bounded=True)
+    want = match.within(a, b, 30, enr_id="sid").where("(id + sid) % 2 = 0")
+    assert pairs(got, "id", "sid") == pairs(want, "id", "sid") != []
+    assert "CartesianProduct" not in (plan := got._jdf.queryExecution().toString()) and "NestedLoop" not in plan
+
+
 def test_clashing_columns_and_key_join(spark):
     a = spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string")
     b = spark.createDataFrame([(1, "x"), (3, "z")], "id long, name string")
