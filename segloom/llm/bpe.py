@@ -5,12 +5,13 @@ left whenever the left half holds it yields the leftmost such pair. A merge chan
 each updated in logarithmic time, until no pair can be merged.
 
 The vocabulary file is a parameter and is read, never trained. Words repeat, so each Python worker keeps the
-ids of white-space separated chunks in a bounded cache; a chunk's ids do not depend on what surrounds it.
+ids of white-space separated chunks in a bounded cache; a chunk's ids do not depend on what surrounds it. That and the
+rebuilt cutting of texts hold for one normaliser and pre-tokenizer only (``REBUILT``); with any other file the library
+normalises and cuts whole texts, and the cache keeps pieces.
 """
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import json
 import re
@@ -43,6 +44,20 @@ def byte_alphabet() -> list[str]:
 
 _ALPHABET = byte_alphabet()
 
+#: The normaliser and pre-tokenizer that ``pieces`` rebuilds, as a tokenizer file states them.
+REBUILT = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+)
+_MODEL_OPTIONS = ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")
+_TOKEN_OPTIONS = ("single_word", "lstrip", "rstrip", "normalized")
+
 
 def pieces(text: str) -> list[str]:
     """Normalised text (NFC, lower case) cut into words, digits and runs of signs, in the byte alphabet."""
@@ -57,12 +72,20 @@ def pieces(text: str) -> list[str]:
 
 
 class Vocabulary:
-    """The vocabulary, merges and special tokens of a tokenizer file in JSON."""
+    """The vocabulary, merges and special tokens of a tokenizer file in JSON.
+
+    A model that isn't BPE or whose options or special tokens the encoder doesn't know is refused.
+    """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
+        odd = [o for o in _MODEL_OPTIONS if model.get(o)] + [o for t in spec["added_tokens"] for o in _TOKEN_OPTIONS if t.get(o)]
+        if model.get("type", "BPE") != "BPE" or odd:
+            raise ValueError(f"{path}: only plain BPE is encoded, not {model.get('type')} with {sorted(set(odd))}")
+        self.rebuilt: bool = (spec.get("normalizer"), spec.get("pre_tokenizer")) == REBUILT
+        self.decoder: bool = spec.get("decoder") is not None
         self.ids: dict[str, int] = model["vocab"]
         self.end: str = model.get("end_of_word_suffix") or ""
         self.specials: dict[str, int] = {x["content"]: x["id"] for x in spec["added_tokens"]}
@@ -70,7 +93,7 @@ class Vocabulary:
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.merges[self.ids[a], self.ids[b]] = (rank, self.ids[a + b])
-        self.tokens: list[bytes] = [b""] * (max([*self.ids.values(), *self.specials.values()]) + 1)
+        self.tokens: list[bytes | None] = [None] * (max([*self.ids.values(), *self.specials.values()]) + 1)
         for t, i in [*self.ids.items(), *self.specials.items()]:
             self.tokens[i] = t.encode()
         self.split_specials = re.compile("|".join(sorted(map(re.escape, self.specials), key=len, reverse=True))) if self.specials else None
@@ -134,8 +157,10 @@ class Vocabulary:
         return [x for x in ids if x >= 0]
 
     def decode(self, ids: list[int]) -> bytes:
-        """Token strings joined by a space, as a tokenizer file without a decoder asks for."""
-        return b" ".join(map(self.tokens.__getitem__, ids))
+        """Token strings joined by a space, as a tokenizer file without a decoder asks for; numbers of no token are left out."""
+        n = len(self.tokens)
+        found = [self.tokens[i] for i in ids if 0 <= i < n]
+        return b" ".join([t for t in found if t is not None] if None in found else found)
 
 
 class ChunkCache:
@@ -176,6 +201,27 @@ class ChunkCache:
             found = pieces(text)
         return b"".join([self._word(p) for p in found])
 
+    def _library_text(self, text: str) -> bytes:
+        """The ids of a text that the library normalises and cuts."""
+        clean = self.library.normalizer.normalize_str(text) if self.library.normalizer else text
+        cut = self.library.pre_tokenizer.pre_tokenize_str(clean) if self.library.pre_tokenizer else [(clean, None)]
+        return b"".join([self._word(p) for p, _ in cut if p])
+
+    def decode(self, ids: list[int]) -> bytes:
+        """The text of some ids as the file's decoder has it; numbers of no token are left out."""
+        if not self.vocabulary.decoder:
+            return self.vocabulary.decode(ids)
+        tokens = self.vocabulary.tokens
+        return self.library.decode([i for i in ids if 0 <= i < len(tokens) and tokens[i] is not None], skip_special_tokens=False).encode()
+
+    def _apart(self, text: str, encode) -> bytes:
+        """Special tokens by their ids, what lies between by ``encode``."""
+        v, at, out = self.vocabulary, 0, []
+        for m in v.split_specials.finditer(text) if v.split_specials else ():
+            out += [encode(text[at : m.start()]), v.specials[m[0]].to_bytes(4, "little")]
+            at = m.end()
+        return b"".join([*out, encode(text[at:])])
+
     def _chunk(self, chunk: bytes) -> bytes:
         if chunk.isalpha():  # ASCII letters only
             return self._word(chunk.lower().decode())
@@ -189,11 +235,7 @@ class ChunkCache:
                 return ids + self._word(text[-1])
         if b"<" not in chunk or not v.split_specials:
             return self._text(text)
-        at, out = 0, []
-        for m in v.split_specials.finditer(text):
-            out += [self._text(text[at : m.start()]), v.specials[m[0]].to_bytes(4, "little")]
-            at = m.end()
-        return b"".join([*out, self._text(text[at:])])
+        return self._apart(text, self._text)
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         for text in texts:
@@ -201,6 +243,9 @@ class ChunkCache:
                 self.chunks, self.old_chunks = {}, self.chunks
             if len(self.words) > self.limit:
                 self.words, self.old_words = {}, self.words
+            if not self.vocabulary.rebuilt:
+                yield self._apart(text.decode("utf-8", "replace"), self._library_text)
+                continue
             chunks, old = self.chunks, self.old_chunks
             words = text.split()
             found, i = list(map(chunks.get, words)), -1
@@ -219,19 +264,28 @@ class ChunkCache:
             yield b"".join(found)
 
 
-@functools.cache
+_held: dict[tuple[str, bool], ChunkCache] = {}
+
+
+def _encoder(path: str, tree: bool, entries: int) -> ChunkCache:
+    """The encoder of a Python worker, which holds one at a time."""
+    if (path, tree) not in _held:
+        _held.clear()
+        v, library = Vocabulary(path), Tokenizer.from_file(path)
+        model = library.model
+        _held[path, tree] = ChunkCache(v, library, v.merge if tree else lambda word: [t.id for t in model.tokenize(word)])
+    _held[path, tree].limit = entries
+    return _held[path, tree]
+
+
 def tree_encoder(path: str) -> ChunkCache:
     """One encoder for each Python worker and file; merges by the segment tree."""
-    v = Vocabulary(path)
-    return ChunkCache(v, Tokenizer.from_file(path), v.merge)
+    return _encoder(path, True, CACHE_ENTRIES)
 
 
-@functools.cache
 def library_encoder(path: str, entries: int = CACHE_ENTRIES) -> ChunkCache:
     """The same with the merges of the tokenizers library."""
-    library = Tokenizer.from_file(path)
-    model = library.model
-    return ChunkCache(Vocabulary(path), library, lambda word: [t.id for t in model.tokenize(word)], entries)
+    return _encoder(path, False, entries)
 
 
 def bpe_encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -251,12 +305,12 @@ def bpe_encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
 
 def bpe_decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """(id, text) from ids; a null or empty array gives the empty text."""
+    """(id, text) from ids; a null or empty array gives the empty text. Nulls and numbers of no token are left out."""
 
     def run(batches):
-        v = tree_encoder(path).vocabulary
+        encoder = tree_encoder(path)
         for b in batches:
-            texts = [v.decode(x or []).decode("utf-8", "replace") for x in b.column(1).to_pylist()]
+            texts = [encoder.decode([i for i in x or () if i is not None]).decode("utf-8", "replace") for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["id", "text"])
 
     source = df.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
@@ -271,7 +325,7 @@ def bpe_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     def run(batches):
         encoder = tree_encoder(path)
-        decode = encoder.vocabulary.decode
+        decode = encoder.decode
         for b in batches:
             n, a, d = [], [], []
             for raw in encoder.encode(b.column(1).to_pylist()):

@@ -14,6 +14,7 @@ once whatever its count, so a phrase that a third of all rows repeat is no hot k
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
@@ -130,12 +131,17 @@ def _chunks(batches, chunk_words: int) -> Iterator[_Chunk]:
         yield c
 
 
-def _survivors(texts: DataFrame, n: int, filters, least: int, bits: int, parts: int, chunk_words: int) -> np.ndarray:
-    """The filter of length n: a bit set for each phrase that keeps a counter."""
+def _opened(filters: list) -> list[np.ndarray]:
+    return [np.frombuffer(zlib.decompress(f.value), np.uint8) for f in filters]
+
+
+def _survivors(texts: DataFrame, n: int, filters: list, least: int, bits: int, parts: int, chunk_words: int) -> bytes:
+    """The filter of length n, packed: a bit set for each phrase that keeps a counter. ``filters``: those of shorter ones, as broadcasts."""
 
     def summarise(batches):
+        bitmaps = _opened(filters)
         for chunk in _chunks(batches, chunk_words):
-            for m, hashes, counts, _ in chunk.phrases(n, filters.value, bits):
+            for m, hashes, counts, _ in chunk.phrases(n, bitmaps, bits):
                 if m < n or not len(hashes):
                     continue
                 order = np.argsort(hashes)
@@ -164,10 +170,10 @@ def _survivors(texts: DataFrame, n: int, filters, least: int, bits: int, parts:
     bitmap = np.zeros(max(1 << bits >> 3, 4096), np.uint8)
     for r in maps.collect():  # 2 ** bits bits at most, whatever the input
         bitmap[(r["bucket"] - 1) * 4096 : r["bucket"] * 4096] = np.frombuffer(r["bits"], np.uint8)
-    return bitmap
+    return zlib.compress(bitmap.tobytes(), 1)
 
 
-def frequent_phrases(df: DataFrame, least: int = 30, longest: int = 4, text_col: str = "text", lang_col: str = "lang", filter_bits: int = 27, chunk_words: int = CHUNK_WORDS, partition_bytes: int = PARTITION_BYTES) -> tuple[DataFrame, DataFrame]:
+def frequent_phrases(df: DataFrame, least: int = 30, longest: int = 4, text_col: str = "text", lang_col: str = "lang", filter_bits: int = 26, chunk_words: int = CHUNK_WORDS, partition_bytes: int = PARTITION_BYTES) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, words, a), (lang, n)): contiguous phrases of up to ``longest`` words with their counts, and all words.
 
     Only phrases of at least ``least`` occurrences within pieces in their language are returned, all of them and exactly.
@@ -178,17 +184,17 @@ def frequent_phrases(df: DataFrame, least: int = 30, longest: int = 4, text_col:
     spark = df.sparkSession
     texts = df.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), text_bytes(text_col).alias("text"))
     size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    filters: list[np.ndarray] = []
+    filters: list = []
     for n in range(1, longest + 1):
-        filters.append(_survivors(texts, n, spark.sparkContext.broadcast(list(filters)), least, filter_bits, size // partition_bytes + 1, chunk_words))
-    sent = spark.sparkContext.broadcast(filters)
+        filters.append(spark.sparkContext.broadcast(_survivors(texts, n, filters, least, filter_bits, size // partition_bytes + 1, chunk_words)))
 
     def exact(batches):
+        bitmaps = _opened(filters)
         names = ["lang", "phrase", "words", "a"]
         for chunk in _chunks(batches, chunk_words):
             yield pa.RecordBatch.from_arrays([pa.array([chunk.lang]), pa.array([""]), pa.array([0], pa.int32()), pa.array([int((chunk.ids > 0).sum())])], names=names)
             words = list(chunk.numbers)
-            for n, _, counts, places in chunk.phrases(longest, sent.value, filter_bits):
+            for n, _, counts, places in chunk.phrases(longest, bitmaps, filter_bits):
                 for i in range(0, len(places), _ROWS):
                     columns = [[words[w] for w in chunk.ids[places[i : i + _ROWS] + k]] for k in range(n)]
                     phrases = pa.array(map(b" ".join, zip(*columns, strict=True)), pa.binary()).cast(pa.string())
@@ -197,6 +203,8 @@ def frequent_phrases(df: DataFrame, least: int = 30, longest: int = 4, text_col:
 
     counted = texts.mapInArrow(exact, "lang string, phrase string, words int, a long").groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a"))
     stored = materialize(counted.where((F.col("words") == 0) | (F.col("a") >= least)), "phrases")
+    for f in filters:
+        f.destroy()
     return stored.where("words > 0"), stored.where("words = 0").select("lang", F.col("a").alias("n"))
 
 

@@ -306,6 +306,28 @@ class Counts:
     distinct: int
 
 
+def least_count(words: DataFrame, head: int) -> int:
+    """The smallest count that at most ``head`` of the words (word, n) reach.
+
+    Its range is cut into 1,024 parts again and again, so a few rounds of 1,024 numbers find it whatever the counts.
+    """
+    low, high, held = 1, (words.agg(F.max("n")).first()[0] or 0) + 1, 0  # held words have high or more
+    while low < high:
+        step = -(-(high - low) // 1024)
+        part = F.floor((F.col("n") - low) / step)
+        parts = words.where((F.col("n") >= low) & (F.col("n") < high)).groupBy(part.alias("part")).count().collect()
+        for at, n in sorted(parts, reverse=True):
+            if held + n > head:
+                low, high = low + at * step, min(high, low + (at + 1) * step)
+                break
+            held += n
+        else:
+            return low
+        if step == 1:
+            return high
+    return high
+
+
 def corpus_counts(training: DataFrame, head: int) -> Counts:
     """Counts over all rows of (text binary). The head is every word from some count on, at most ``head`` words."""
     table = materialize(count_words(training), "words")
@@ -313,13 +335,7 @@ def corpus_counts(training: DataFrame, head: int) -> Counts:
     sums = table.agg(F.sum("n"), F.count("*")).first()
     tokens, distinct = (sums[0] or 0) + documents, sums[1] + (documents > 0)
     short = table.where(F.length("word") <= _LONGEST_HEAD_WORD)
-    levels = sorted(short.groupBy(F.least("n", F.lit(100_000)).alias("n")).count().collect(), reverse=True)  # at most 100,000 rows
-    least, held = 100_001, 0
-    for n, c in levels:
-        if held + c > head:
-            break
-        least, held = n, held + c
-    rows = sorted(short.where(F.col("n") >= least).collect(), key=lambda r: (-r["n"], r["word"]))
+    rows = sorted(short.where(F.col("n") >= least_count(short, head)).collect(), key=lambda r: (-r["n"], r["word"]))  # at most head
     return Counts(table, {bytes(r["word"]): i for i, r in enumerate(rows)}, np.array([r["n"] for r in rows], np.int64), documents, tokens, distinct)
 
 
@@ -339,23 +355,20 @@ def _ranks(text: bytes, get) -> tuple[list[bytes], np.ndarray]:
 
 
 def encode_documents(rows: DataFrame, counts: Counts, ids: np.ndarray, log_others: float) -> DataFrame:
-    """Rows (id, held_out, key, text) as network ids, with the word statistics of their texts.
+    """Rows (id, held_out, key, row, text) as network ids, with the word statistics of their texts.
 
     ids: 16- or 32-bit numbers. head_log: sum of log10(count + 1) of head words; outside: log10 share of the words
     that are one symbol to the network. rare_words, rare_n: words outside the head, listed at the first row of a key
-    in each part of a batch only. row tells rows apart: partition in the high bits, place in the low ones.
+    in each part of a batch only.
     """
     head = counts.head
     logs = np.append(np.log10(counts.head_counts + 1.0), 0.0)
     kind = np.uint16 if len(ids) and int(ids.max()) < 1 << 16 else np.uint32
 
     def run(batches):
-        from pyspark import TaskContext
-
-        row = TaskContext.get().partitionId() << 33
         names = ["id", "held_out", "key", "row", "ids", "n_tokens", "n_head", "head_log", "n_tail", "outside", "rare_words", "rare_n"]
         for b in batches:
-            keys, texts = b.column(2).to_pylist(), b.column(3).to_pylist()
+            keys, texts = b.column(2).to_pylist(), b.column(4).to_pylist()
             for a, z in _parts(texts, 4 << 20):
                 arrays, n_head, head_log, n_tail, outside, rare_words, rare_n, seen = [], [], [], [], [], [], [], set()
                 for key, t in zip(keys[a:z], texts[a:z], strict=True):
@@ -371,16 +384,15 @@ def encode_documents(rows: DataFrame, counts: Counts, ids: np.ndarray, log_other
                     seen.add(key)
                     rare_words.append(list(found))
                     rare_n.append(list(found.values()))
-                columns = [b.column(i).slice(a, z - a) for i in range(3)]
-                columns += [pa.array(np.arange(row, row + z - a)), pa.array(arrays, pa.binary()), pa.array([len(x) // kind().itemsize for x in arrays], pa.int64())]
+                columns = [b.column(i).slice(a, z - a) for i in range(4)]
+                columns += [pa.array(arrays, pa.binary()), pa.array([len(x) // kind().itemsize for x in arrays], pa.int64())]
                 columns += [pa.array(n_head, pa.int64()), pa.array(head_log, pa.float64()), pa.array(n_tail, pa.int64()), pa.array(outside, pa.float64())]
                 columns += [pa.array(rare_words, pa.list_(pa.binary())), pa.array(rare_n, pa.list_(pa.int64()))]
-                row += z - a
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     own = rows.schema["id"].dataType.simpleString()
     schema = f"id {own}, held_out boolean, key long, row long, ids binary, n_tokens long, n_head long, head_log double, n_tail long, outside double, rare_words array<binary>, rare_n array<long>"
-    return materialize(rows.select("id", "held_out", "key", "text").mapInArrow(run, schema), "encoded")
+    return materialize(rows.select("id", "held_out", "key", "row", "text").mapInArrow(run, schema), "encoded")
 
 
 def _arrays(column: pa.Array, words: int) -> list[np.ndarray]:
@@ -391,15 +403,17 @@ def _arrays(column: pa.Array, words: int) -> list[np.ndarray]:
 def average_round(training: DataFrame, net: Network, copies: int, part_tokens: int = 1 << 20) -> Network:
     """One round over rows (row, ids), dealt to ``copies`` copies of the network; the mean of the copies by tokens.
 
-    Parameters travel as slices of 4,096 numbers that are added up in a stream, so no task holds many copies.
+    A copy takes its rows, and a sum its copies, in the order of their keys, so neither the partitions of the table nor
+    a task that runs again changes a result. Parameters travel as slices of 4,096 numbers that are added up in a stream,
+    so no task holds many copies.
     """
 
-    def trained(trainer: Trainer, held: list):
+    def trained(copy: int, trainer: Trainer, held: list):
         if held:
             trainer.train(np.concatenate(held))
         values = trainer.net.flat()
         slices = [values[i : i + 4096].tobytes() for i in range(0, len(values), 4096)]
-        return pa.RecordBatch.from_arrays([pa.array(np.arange(len(slices)), pa.int32()), pa.array([trainer.tokens] * len(slices), pa.int64()), pa.array(slices, pa.binary())], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(np.arange(len(slices)), pa.int32()), pa.array([copy] * len(slices), pa.int32()), pa.array([trainer.tokens] * len(slices), pa.int64()), pa.array(slices, pa.binary())], names=names)
 
     def run(batches):
         own, trainer, held, size = None, None, [], 0
@@ -407,7 +421,7 @@ def average_round(training: DataFrame, net: Network, copies: int, part_tokens: i
             for copy, x in zip(b.column(0).to_pylist(), _arrays(b.column(1), net.shape.words), strict=True):
                 if copy != own:
                     if trainer:
-                        yield trained(trainer, held)
+                        yield trained(own, trainer, held)
                     own, trainer, held, size = copy, Trainer(net), [], 0
                 held.append(x)
                 size += len(x)
@@ -415,21 +429,21 @@ def average_round(training: DataFrame, net: Network, copies: int, part_tokens: i
                     trainer.train(np.concatenate(held))
                     held, size = [], 0
         if trainer:
-            yield trained(trainer, held)
+            yield trained(own, trainer, held)
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
         tokens: Counter[int] = Counter()
         for b in batches:
-            for k, n, x in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            for k, n, x in zip(*(b.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
                 values = np.frombuffer(x, np.float32).astype(np.float64) * n
                 sums[k] = sums[k] + values if k in sums else values
                 tokens[k] += n
-        yield pa.RecordBatch.from_arrays([pa.array(sums.keys(), pa.int32()), pa.array(tokens.values(), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(sums.keys(), pa.int32()), pa.array([-1] * len(sums), pa.int32()), pa.array(tokens.values(), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=names)
 
-    names, schema = ["slice", "tokens", "numbers"], "slice int, tokens long, numbers binary"
-    dealt = training.select(F.pmod(F.xxhash64("row", F.lit(1)), F.lit(copies)).cast("int").alias("copy"), "ids").repartition(copies, "copy").sortWithinPartitions("copy")
-    rows = dealt.mapInArrow(run, schema).repartition("slice").mapInArrow(add, schema).collect()  # the size of the network
+    names, schema = ["slice", "copy", "tokens", "numbers"], "slice int, copy int, tokens long, numbers binary"
+    dealt = training.select(F.pmod(F.xxhash64("row", F.lit(1)), F.lit(copies)).cast("int").alias("copy"), "ids", "row").repartition(copies, "copy").sortWithinPartitions("copy", "row").select("copy", "ids")
+    rows = dealt.mapInArrow(run, schema).repartition("slice").sortWithinPartitions("slice", "copy").mapInArrow(add, schema).collect()  # the size of the network
     if not rows:
         return net
     return net.with_flat(np.concatenate([np.frombuffer(r["numbers"]) / r["tokens"] for r in sorted(rows, key=lambda r: r["slice"])]))
@@ -463,11 +477,12 @@ def score_documents(
 
     Rows with crc32(id as text) modulo held_out[0] equal to held_out[1] are not learnt from. A null text counts as
     empty: one token, its end. Rows may repeat; a null id counts as the empty text. base_score is the add-one
-    unigram log10 probability, score that of the network. An empty table gives no rows.
+    unigram log10 probability, score that of the network. An empty table gives no rows. Neither the order nor the
+    partitions of the rows change a score, but for rounding in 32 bits; rows are dealt by a hash of id and text.
     """
     divisor, rest = held_out
-    # the key is a hash of the text: equal texts have equal sums
-    rows = df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"), (id_remainder(id_col, divisor) == rest).alias("held_out")).withColumn("key", F.xxhash64("text"))
+    # the key is a hash of the text: equal texts have equal sums; two of m texts share one with odds of m * m / 2^65
+    rows = df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"), (id_remainder(id_col, divisor) == rest).alias("held_out")).withColumn("key", F.xxhash64("text")).withColumn("row", F.xxhash64("id", "key"))
     counts = corpus_counts(rows.where(~F.col("held_out")).select("text"), head)
     ids, by_id, others = _vocabulary(counts, words)
     encoded = encode_documents(rows, counts, ids, math.log10(others))
@@ -491,7 +506,7 @@ def score_documents(
     once = rare.groupBy("word", "key").agg(F.first("n").alias("n"))  # copies of a text
     met = once.join(counts.table.withColumnRenamed("n", "c"), "word")
     sums = met.groupBy("key").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("tail_log"), F.sum("n").alias("tail_known"))
-    joined = scored.join(sums, "key", "left").withColumns({"tail_log": F.coalesce("tail_log", F.lit(0.0)), "tail_known": F.coalesce("tail_known", F.lit(0))})
+    joined = scored.join(materialize(sums, "sums"), "key", "left")  # written out, so that a hot key can be split.withColumns({"tail_log": F.coalesce("tail_log", F.lit(0.0)), "tail_known": F.coalesce("tail_known", F.lit(0))})
     return joined.select(
         F.col("id").alias(id_col),
         "held_out",

@@ -307,7 +307,7 @@ def test_lm_gradients_and_learning():
 @pytest.mark.parametrize("copies", [1, 5])
 def test_lm_learns_from_every_document(spark, copies):
     """Words that stand in one document each: the embedding of each has had a gradient, however many copies are trained."""
-    texts = spark.createDataFrame([(i, False, i, f"v{i} v{i} v{i}".encode()) for i in range(40)], "id long, held_out boolean, key long, text binary")
+    texts = spark.createDataFrame([(i, False, i, f"v{i} v{i} v{i}".encode()) for i in range(40)], "id long, held_out boolean, key long, text binary").withColumn("row", F.xxhash64("id"))
     counts = lm.corpus_counts(texts.select("text"), 100)
     ids, by_id, others = lm._vocabulary(counts, 100)
     encoded = lm.encode_documents(texts, counts, ids, math.log10(others))
@@ -321,6 +321,24 @@ def test_lm_learns_from_every_document(spark, copies):
     assert trainer.tokens == 2005
 
 
+@pytest.mark.parametrize("head", [1, 5, 20, 10_000])
+def test_lm_head_is_bounded_whatever_the_counts(spark, head):
+    rng = np.random.default_rng(head)
+    counts = [*rng.integers(1, 9, 300).tolist(), *rng.integers(1, 10**12, 300).tolist(), *[101_000] * 10, 1, 10**17]
+    words = spark.createDataFrame([(f"w{i}".encode(), n) for i, n in enumerate(counts)], "word binary, n long")
+    least = lm.least_count(words, head)
+    assert sum(n >= least for n in counts) <= head
+    assert least == 1 or sum(n >= least - 1 for n in counts) > head
+    assert lm.least_count(words.limit(0), head) == 1
+
+
+def test_lm_scores_do_not_depend_on_partitions(spark, sf):
+    rows = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 60")
+    got = [{r["doc_id"]: r["score"] for r in lm.score_documents(rows.repartition(k), copy_tokens=2000, words=200, classes=8).collect()} for k in (1, 3, 7)]
+    assert got[0] == pytest.approx(got[1], rel=1e-6)
+    assert got[0] == pytest.approx(got[2], rel=1e-6)
+
+
 def test_lm_copies_are_averaged_by_tokens(spark):
     """A round equals the plain mean of separately trained networks, weighted by their tokens."""
     net = lm.Network.fresh(lm.Shape(50), np.ones(50), 4)

@@ -1,5 +1,6 @@
 import hashlib
 import json
+import os
 import random
 import zlib
 
@@ -60,6 +61,50 @@ def LIBRARY():
     return _kept[0]
 
 
+def other_files(tokenizer, folder):
+    """The contract's file without its normaliser, with another pre-tokenizer, and a byte-level one with a decoder."""
+    with open(tokenizer) as f:
+        spec = json.load(f)
+    plain, digits = {**spec, "normalizer": None}, json.loads(json.dumps(spec))
+    digits["pre_tokenizer"]["pretokenizers"].insert(0, {"type": "Digits", "individual_digits": False})
+    for name, x in (("plain", plain), ("digits", digits)):
+        with open(folder / name, "w") as f:
+            json.dump(x, f)
+    return [str(folder / "plain"), str(folder / "digits"), os.path.join(os.path.dirname(tokenizer), "byte_bpe_50k.json")]
+
+
+def test_other_tokenizer_files_equal_the_library(spark, documents, tokenizer, texts, tmp_path):
+    for path in other_files(tokenizer, tmp_path):
+        own = Tokenizer.from_file(path)
+        got = {r["doc_id"]: r for r in bpe.bpe_digests(documents, path).collect()}
+        for i, t in enumerate([*texts[:40], "Hello World <|endoftext|> 12 x"]):
+            ids = own.encode(t or "", add_special_tokens=False).ids
+            for make in (bpe.tree_encoder, bpe.library_encoder):
+                assert np.frombuffer(next(make(path).encode([(t or "").encode()])), "<u4").tolist() == ids
+            if i in got and i < 40:
+                assert got[i]["decoded_sha256"] == hashlib.sha256(own.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_unknown_models_are_refused(tokenizer, tmp_path):
+    with open(tokenizer) as f:
+        spec = json.load(f)
+    spec["model"]["byte_fallback"] = True
+    (tmp_path / "odd").write_text(json.dumps(spec))
+    with pytest.raises(ValueError, match="byte_fallback"):
+        bpe.Vocabulary(str(tmp_path / "odd"))
+
+
+def test_decoding_any_number(spark, tokenizer, library):
+    df = spark.createDataFrame([(1, [1_000_000, 320, -1, None, 321]), (2, None), (3, []), (4, [-5])], "doc_id long, ids array<int>")
+    assert {r["doc_id"]: r["text"] for r in bpe.bpe_decode(df, tokenizer).collect()} == {1: library.decode([320, 321], skip_special_tokens=False), 2: "", 3: "", 4: ""}
+
+
+def test_one_encoder_a_worker(tokenizer):
+    assert bpe.library_encoder(tokenizer) is bpe.library_encoder(tokenizer, 300_000)
+    bpe.tree_encoder(tokenizer)
+    assert len(bpe._held) == 1
+
+
 def test_caches_stay_bounded(tokenizer, library):
     v = bpe.Vocabulary(tokenizer)
     cache = bpe.ChunkCache(v, library, v.merge, limit=50)
