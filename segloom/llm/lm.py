@@ -506,7 +506,8 @@ def score_documents(
     once = rare.groupBy("word", "key").agg(F.first("n").alias("n"))  # copies of a text
     met = once.join(counts.table.withColumnRenamed("n", "c"), "word")
     sums = met.groupBy("key").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("tail_log"), F.sum("n").alias("tail_known"))
-    joined = scored.join(materialize(sums, "sums"), "key", "left")  # written out, so that a hot key can be split.withColumns({"tail_log": F.coalesce("tail_log", F.lit(0.0)), "tail_known": F.coalesce("tail_known", F.lit(0))})
+    sums = materialize(sums, "sums")  # written out, so that the join can split a hot key
+    joined = scored.join(sums, "key", "left").withColumns({"tail_log": F.coalesce("tail_log", F.lit(0.0)), "tail_known": F.coalesce("tail_known", F.lit(0))})
     return joined.select(
         F.col("id").alias(id_col),
         "held_out",
