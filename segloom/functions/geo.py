@@ -64,6 +64,12 @@ def end_point(g: Column | str) -> Column:
     return F.try_element_at(_col(g), F.lit(-1))
 
 
+def first_point(g: Column | str, kind: str) -> Column:
+    """Some point of a geometry: the first."""
+    g = _col(g)
+    return g if kind == "point" else F.get(g, F.lit(0)) if kind == "line" else F.get(F.get(g, F.lit(0)), F.lit(0))
+
+
 def edges(g: Column, closed: bool = False) -> Column:
     """STRUCT<a, b> of neighbouring points; a closed ring gets the edge back to its start."""
     n = F.size(g)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import math
 import warnings
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, grid
+from . import density
 from .shared import materialize
 
 #: Enrichment tables up to this many rows are broadcast whole; larger ones go through the grid.
@@ -78,9 +78,9 @@ def nearest(
     Ties go to the smaller enrichment id. ``order_by`` replaces the planar distance as order and result; it may
     use both tables' columns (those of the enrichment with ``enr_`` where names clash). ``bound`` promises that it is
     never less than that many times the planar distance; without one all pairs are compared, which a warning says for
-    an enrichment of more than ``small_rows`` rows. Larger ones are searched in rings: candidates within a radius are
-    found by a grid join, rows whose k-th candidate lies within the radius (times the bound) are final, since all
-    others are farther, and the rest try three times the radius. Null geometries match nothing.
+    an enrichment of more than ``small_rows`` rows. Larger ones are cut into leaves by their density (``density``), and a
+    base row is joined with the leaves that may hold one of its k nearest: one join. An own order takes a second one,
+    within the distance that the bound allows for the k-th row of the first. Null geometries match nothing.
     """
     kinds = _kinds(base, enr, base_geom, enr_geom)
     other = _apart(base, enr.where(F.col(enr_geom).isNotNull()))
@@ -94,42 +94,35 @@ def nearest(
         measure = geo.distance(F.col(base_geom), F.col(geom), kinds) if own is None else own
         joined = usable.crossJoin(F.broadcast(other) if few else other).withColumn(distance, measure).where(F.col(distance).isNotNull())
         return _top(joined, base_id, [F.col(distance).asc(), F.col(key).asc()], k)
-    return _rings(usable, other, k, kinds, base_geom, geom, base_id, key, distance, own, 1.0 if own is None else bound)
-
-
-def _extent(df: DataFrame, geom: str, kind: str):
-    e = df.select(geo.envelope(geom, kind).alias("e"))
-    return e.agg(F.min("e.x1"), F.min("e.y1"), F.max("e.x2"), F.max("e.y2"), F.count("e")).first()
-
-
-def _rings(base: DataFrame, enr: DataFrame, k: int, kinds: tuple[str, str], base_geom: str, geom: str, base_id: str, key: str, distance: str, measure: Column | None, bound: float) -> DataFrame:
-    b, e = _extent(base, base_geom, kinds[0]), _extent(enr, geom, kinds[1])
-    if not b[4] or not e[4]:
-        return _candidates(base, enr, 1.0, kinds, base_geom, geom, distance).limit(0)
-    whole = math.hypot(max(b[2], e[2]) - min(b[0], e[0]), max(b[3], e[3]) - min(b[1], e[1])) or 1.0
-    area = max(e[2] - e[0], whole / 1e4) * max(e[3] - e[1], whole / 1e4)
-    radius = min(whole, 2.5 * math.sqrt(area * k / e[4] / math.pi))  # about 6 k candidates: few rows need another round
-    rest, parts = base, []
-    while True:
-        last = radius >= whole
-        near = _candidates(rest, enr, radius, kinds, base_geom, geom, distance)
-        if measure is not None:
-            near = near.withColumn(distance, measure).where(F.col(distance).isNotNull())
-        ranked = near.withColumn("__rank", F.row_number().over(Window.partitionBy(base_id).orderBy(F.col(distance).asc(), F.col(key).asc()))).where(F.col("__rank") <= k)
-        found = materialize(ranked, "ring")
-        if last:
-            parts.append(found.drop("__rank"))
-            break
-        full = found.where((F.col("__rank") == k) & (F.col(distance) <= bound * radius)).select(base_id)
-        parts.append(found.join(full, base_id, "left_semi").drop("__rank"))
-        rest = materialize(rest.join(full, base_id, "left_anti"), "rest")
-        if rest.isEmpty():
-            break
-        radius = min(whole, 3 * radius)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _by_density(usable, other, k, kinds, base_geom, geom, base_id, key, distance, own, bound)
+
+
+def probed_pairs(base: DataFrame, enr: DataFrame, k: int, kinds: tuple[str, str], base_geom: str, geom: str, radius: Column | None = None, index: density.Index | None = None) -> DataFrame:
+    """Each base row with the enrichment rows of the leaves that may hold one of its k nearest, or of those within its radius."""
+    theirs, mine = geo.envelope(geom, kinds[1]), geo.envelope(base_geom, kinds[0])
+    index = index or density.build(enr, theirs)
+    if index is None:
+        return base.join(enr, F.lit(False))
+    place = geo.first_point(base_geom, kinds[0])
+    left = density.with_probes(base.where(mine["x1"].isNotNull()), index, place, mine, k, "__leaf", radius)
+    return left.join(density.with_leaf(enr.where(theirs["x1"].isNotNull()), index, theirs, "__leaf"), "__leaf").drop("__leaf")
+
+
+def _by_density(base: DataFrame, enr: DataFrame, k: int, kinds: tuple[str, str], base_geom: str, geom: str, base_id: str, key: str, distance: str, own: Column | None, bound: float | None) -> DataFrame:
+    measure = geo.distance(F.col(base_geom), F.col(geom), kinds) if own is None else own
+    order = [F.col(distance).asc(), F.col(key).asc()]
+    index = density.build(enr, geo.envelope(geom, kinds[1]))
+
+    def best(rows: DataFrame, radius: Column | None = None) -> DataFrame:
+        pairs = probed_pairs(rows, enr, k, kinds, base_geom, geom, radius, index).withColumn(distance, measure)
+        return _top(pairs.where(F.col(distance).isNotNull()), base_id, order, k)
+
+    if index is None or own is None:
+        return best(base)
+    # k rows are this near by the own order, so none of the k nearest is farther than that over the bound
+    last = materialize(best(base).groupBy(base_id).agg(F.when(F.count("*") == k, F.max(distance) / bound).otherwise(float("inf")).alias("__radius")), "radius")
+    wide = base.join(last, base_id, "left").withColumn("__radius", F.coalesce("__radius", F.lit(float("inf"))))
+    return best(wide, F.col("__radius")).drop("__radius")
 
 
 def _candidates(base: DataFrame, enr: DataFrame, limit: float, kinds: tuple[str, str], base_geom: str, geom: str, distance: str) -> DataFrame:

@@ -1,10 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from segloom.functions import geo
-from segloom.operators import match, reduce
+from segloom.operators import density, match, reduce
 from segloom.plans import presets
 
 
@@ -45,7 +46,7 @@ def test_within_of_lines_counts_each_pair_once(spark):
 
 
 @pytest.mark.parametrize("k", [1, 3, 100])
-def test_rings_equal_all_pairs(spark, k):
+def test_leaves_equal_all_pairs(spark, k):
     a, b = lines(spark, 30, 5), points(spark, 60, 6)
     want = match.top_k(brute(a, b, ("line", "point")), "id", [F.col("distance"), F.col("sid")], k)
     got = match.nearest(a, b, k, enr_id="sid", small_rows=0)
@@ -53,6 +54,59 @@ def test_rings_equal_all_pairs(spark, k):
     assert pairs(match.nearest(a, b, k, enr_id="sid"), "id", "sid") == pairs(want, "id", "sid")
 
 
+def towns(spark, n, seed):
+    """Two dense towns of 10 by 10 metres, 2,000 km apart, and some farms between them."""
+    rng = random.Random(seed)
+    spot = lambda i: ((rng.uniform(0, 10), rng.uniform(0, 10)), (2e6 + rng.uniform(0, 10), rng.uniform(0, 10)), (rng.uniform(-1e6, 3e6), rng.uniform(-1e6, 1e6)))[2 if i % 50 == 0 else i % 2]
+    return spark.createDataFrame([(i, spot(i)) for i in range(n)], "id long, geometry struct<x:double,y:double>")
+
+
+@pytest.mark.parametrize("k", [1, 4])
+def test_uneven_tables_compare_few_rows(spark, k):
+    base, enr = towns(spark, 2000, 1), towns(spark, 1500, 2).withColumnRenamed("id", "sid").withColumnRenamed("geometry", "g")
+    compared = match.probed_pairs(base, enr, k, ("point", "point"), "geometry", "g").count()
+    assert compared < (20 if k == 1 else 50) * 2000
+    some = base.where("id % 20 = 0")
+    want = match.top_k(some.crossJoin(enr).withColumn("distance", geo.distance("geometry", "g")), "id", [F.col("distance"), F.col("sid")], k)
+    got = match.nearest(base, enr, k, enr_geom="g", enr_id="sid", small_rows=0)
+    assert got.count() == 2000 * k
+    assert pairs(got.where("id % 20 = 0"), "id", "sid") == pairs(want, "id", "sid")
+    plan = got._jdf.queryExecution().toString()
+    assert plan.count("== Optimized") == 1 and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert plan[plan.index("== Physical") :].count("Join") == 1
+
+
+def test_leaves_of_lines_and_areas(spark):
+    a, b = lines(spark, 60, 31, 300), lines(spark, 70, 32, 200).withColumnRenamed("id", "sid")
+    boxes = points(spark, 40, 33).where("geometry is not null").select("sid", geo.rectangle("geometry.x", "geometry.y", F.col("geometry.x") + F.col("sid") * 3, F.col("geometry.y") + 20).alias("geometry"))
+    for enr, kind in ((b, "line"), (boxes, "polygon")):
+        want = match.top_k(brute(a, enr, ("line", kind)), "id", [F.col("distance"), F.col("sid")], 3)
+        assert pairs(match.nearest(a, enr, 3, enr_id="sid", small_rows=0), "id", "sid") == pairs(want, "id", "sid")
+
+
+def test_probes_keep_every_neighbour():
+    """The search by levels against all leaves, with ties, copies and places outside the index."""
+    rng = np.random.default_rng(3)
+    for n, k in ((1, 1), (17, 2), (700, 1), (5000, 7)):
+        low = rng.integers(0, 50, (n, 2)).astype(float)
+        boxes = np.hstack([low, low + rng.integers(0, 3, (n, 2))])
+        counts = rng.integers(1, 4, n)
+        levels = [(boxes, counts)]
+        while len(levels[0][1]) > density.FANOUT:
+            b, c = levels[0]
+            first = np.arange(0, len(c), density.FANOUT)
+            levels.insert(0, (np.hstack([np.minimum.reduceat(b[:, :2], first), np.maximum.reduceat(b[:, 2:], first)]), np.add.reduceat(c, first)))
+        places = rng.uniform(-30, 80, (40, 2))
+        got = density.probes(density.Index(None, None, levels), places, np.hstack([places, places]), k)
+        for p, leaves in zip(places, got, strict=True):
+            far = np.hypot(*np.maximum(np.abs(p - boxes[:, :2]), np.abs(p - boxes[:, 2:])).T)
+            gap = np.hypot(*np.maximum(0, np.maximum(p - boxes[:, 2:], boxes[:, :2] - p)).T)
+            order = np.argsort(far)
+            enough = np.flatnonzero(np.cumsum(counts[order]) >= k)
+            limit = far[order][enough[0]] if len(enough) else np.inf
+            assert set(np.flatnonzero(gap <= limit)) <= set(leaves.tolist())
+
+
 def test_nearest_of_nothing(spark):
     a = lines(spark, 3, 7)
     for small in (0, 10):
