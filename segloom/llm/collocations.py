@@ -2,8 +2,9 @@
 
 Method: mergeable Misra-Gries summaries. The contiguous phrases of 1, 2, 3 and 4 words are summarised in turn. Each map
 task counts those of its chunk and deals the counts to partitions by ranges of the phrases' hashes; each partition
-merges them into one summary whose capacity exceeds the partition's mass divided by the threshold, so every
-frequent phrase keeps a counter. What survives is a bit in a filter of fixed size, which prunes the next length: a phrase
+merges them into one summary whose capacity exceeds the partition's mass divided by the threshold (``SLACK`` times), so
+every frequent phrase keeps a counter. A counter falls short by no more than the summary has taken off; one that can't
+reach the threshold with that is dropped. What survives is a bit in a filter of fixed size, which prunes the next length: a phrase
 is frequent only if both phrases of one word less are. A last pass over the texts counts what the filters let through
 exactly, by its text, and keeps the frequent ones; neither a false survivor nor a shared hash can change a result.
 
@@ -32,6 +33,8 @@ _BREAK = b"."  # as a word of its own it can't occur: the fold takes every full
 
 #: Words that a map task gathers before it counts, and bytes of text behind one hash partition.
 CHUNK_WORDS, PARTITION_BYTES = 2_000_000, 8 << 20
+#: Times the least capacity that a summary has: more counters, fewer taken off, so fewer phrases survive by chance.
+SLACK = 4
 _ROWS = 50_000
 
 
@@ -44,7 +47,7 @@ class Summary:
     """Misra-Gries counters by 64-bit hash: of ``mass`` occurrences no count falls short by mass / (capacity + 1) or more."""
 
     def __init__(self, capacity: int):
-        self.capacity = capacity
+        self.capacity, self.lost = capacity, 0
         self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def merge(self, hashes: np.ndarray, counts: np.ndarray) -> None:
@@ -53,7 +56,8 @@ class Summary:
         self.counts = np.bincount(place, np.concatenate([self.counts, counts]), len(self.hashes)).astype(np.int64)
         if len(self.counts) > self.capacity:
             over = len(self.counts) - self.capacity - 1
-            self.counts -= np.partition(self.counts, over)[over]
+            off = np.partition(self.counts, over)[over]
+            self.counts, self.lost = self.counts - off, self.lost + int(off)
             self.hashes, self.counts = self.hashes[self.counts > 0], self.counts[self.counts > 0]
 
 
@@ -154,7 +158,7 @@ def _survivors(texts: DataFrame, n: int, filters: list, least: int, bits: int, p
 
     def merge(table: pa.Table) -> pa.Table:
         counts = [np.frombuffer(c, np.int64) for c in table.column("counts").to_pylist()]
-        summary = Summary(sum(int(c.sum()) for c in counts) // least + 1)
+        summary = Summary(SLACK * sum(int(c.sum()) for c in counts) // least + 1)
         room, waiting = 2 * summary.capacity + 100_000, []
         for h, c in zip(table.column("hashes").to_pylist(), counts, strict=True):
             waiting.append((np.frombuffer(h, np.uint64), c))
@@ -163,7 +167,8 @@ def _survivors(texts: DataFrame, n: int, filters: list, least: int, bits: int, p
                 waiting.clear()
         if waiting:
             summary.merge(*map(np.concatenate, zip(*waiting, strict=True)))
-        return pa.table({"place": pa.array(np.unique(summary.hashes >> np.uint64(64 - bits)).astype(np.int64) + 1)})
+        kept = summary.hashes[summary.counts + summary.lost >= least]
+        return pa.table({"place": pa.array(np.unique(kept >> np.uint64(64 - bits)).astype(np.int64) + 1)})
 
     places = texts.mapInArrow(summarise, "part long, hashes binary, counts binary").groupBy("part").applyInArrow(merge, "place long")
     maps = places.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))

@@ -149,6 +149,10 @@ def test_summary_keeps_frequent_ones():
             s.merge(*np.unique(part, return_counts=True))
             assert len(s.counts) <= s.capacity
         assert set(range(5)) <= set(s.hashes.tolist())
+        held = dict(zip(s.hashes.tolist(), s.counts.tolist(), strict=True))
+        assert s.lost < 30
+        for h, n in zip(*np.unique(stream, return_counts=True), strict=True):
+            assert n - s.lost <= held.get(int(h), 0) <= n
 
 
 def test_large_counts_do_not_overflow(spark):
