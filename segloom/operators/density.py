@@ -116,7 +116,7 @@ def probes(index: Index, anchors: np.ndarray, boxes: np.ndarray, k: int, radius:
 
 def with_probes(df: DataFrame, index: Index, anchor: Column, box: Column, k: int, name: str, radius: Column | None = None) -> DataFrame:
     """A row of df for each leaf that it must be joined with."""
-    sent = df.sparkSession.sparkContext.broadcast(index)
+    sent, given_radius = df.sparkSession.sparkContext.broadcast(index), radius is not None
 
     @F.pandas_udf("array<int>")
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
@@ -126,7 +126,7 @@ def with_probes(df: DataFrame, index: Index, anchor: Column, box: Column, k: int
             out = []
             for i in range(0, len(v), _ROWS):
                 part = v[i : i + _ROWS]
-                out += probes(held, part[:, :2], part[:, 2:6], k, part[:, 6] if radius is not None else None)
+                out += probes(held, part[:, :2], part[:, 2:6], k, part[:, 6] if given_radius else None)
             yield pd.Series(out, dtype=object)
 
     wide = F.lit(0.0) if radius is None else radius.cast("double") * (1 + 1e-9)

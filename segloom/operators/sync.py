@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _one_per_key(source: DataFrame, keys: list[str], order_by: str | None) -> DataFrame:
+def one_per_key(source: DataFrame, keys: list[str], order_by: str | None) -> DataFrame:
     """The last row of each key in this order; without an order, keys that repeat are an error."""
     if order_by is None:
         repeated = F.raise_error(F.lit("a key comes twice in the source: give order_by"))
@@ -40,7 +40,7 @@ def upsert_status(target: DataFrame, source: DataFrame, keys: list[str], columns
     A row counts as updated only if one of the columns is distinct; nulls equal nulls. Columns that the source
     lacks keep their value, and are null in inserted rows.
     """
-    source = _one_per_key(source, keys, order_by)
+    source = one_per_key(source, keys, order_by)
     common = columns or [c for c in target.columns if c in source.columns and c not in keys]
     both = _joined(target, source, keys)
     change = F.when(F.col("t.__t").isNull(), "inserted").when(F.col("s.__s").isNull(), "kept").when(_differs(common), "updated").otherwise("unchanged")
@@ -68,13 +68,13 @@ def upsert_counts(target: DataFrame, source: DataFrame, keys: list[str], order_b
 
 def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str], order_by: str | None = None) -> DataFrame:
     """U3. Rows of the source whose key is new are added; the others are ignored."""
-    new = _one_per_key(source, keys, order_by).join(target.select(*keys), keys, "left_anti")
+    new = one_per_key(source, keys, order_by).join(target.select(*keys), keys, "left_anti")
     return target.unionByName(new.select(*target.columns))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_columns: list[str], order_by: str | None = None) -> DataFrame:
     """U5. Insert new keys; in rows of known keys set exactly the listed columns."""
-    source = _one_per_key(source, keys, order_by)
+    source = one_per_key(source, keys, order_by)
     both = _joined(target, source, keys)
 
     def value(c: str) -> Column:

@@ -23,7 +23,7 @@ PRESETS: dict[str, tuple[dict, dict]] = {
     "attribute_join": ({"type": "key"}, {"type": "none"}),
 }
 ALIASES = {
-    "nearest_neighbour": "knn", "nearest_neighbor": "knn", "nearest_station": "knn", "k_nearest": "nearest_k", "knn_multiple": "nearest_k",
+    "nearest_neighbour": "knn", "nearest_neighbor": "knn", "nearest_station": "knn", "inverse_distance": "idw", "inverse_distance_weighting": "idw", "k_nearest": "nearest_k", "knn_multiple": "nearest_k",
     "buffer_aggregate": "aggregate_within_distance", "aggregate_buffer": "aggregate_within_distance", "id_join": "attribute_join", "key_join": "attribute_join",
 }
 
@@ -56,8 +56,8 @@ def map_to_base(
 ) -> DataFrame:
     """M10. Enrichment rows mapped to base segments.
 
-    match: ``type`` nearest (k, order_by), within (distance, predicate, keep_unmatched, limit), intersects (predicate,
-    keep_unmatched) or key (base_col, enr_col, how, columns). reduce: ``type`` none, agg (aggs: name to aggregate) or
+    match: ``type`` nearest (k, order_by, bound, small_rows), within (distance, predicate, bounded, keep_unmatched, limit),
+    intersects (predicate, keep_unmatched, cell) or key (base_col, enr_col, how, columns). reduce: ``type`` none, agg (aggs: name to aggregate) or
     idw (values or arrays, power, epsilon, skip_null_weights; nearest only). Both filters apply before the join, so
     an outer join still keeps base rows. project: name to expression. Without an enrichment, staging takes
     its place (M17).
@@ -74,9 +74,9 @@ def map_to_base(
     if how == "idw" and bool(reduce.get("values")) == bool(reduce.get("arrays")):
         raise ValueError("inverse distance weighting takes value columns or array columns, not both")
     if kind == "nearest":
-        pairs = m.nearest(base, enr, match.get("k", 1), match.get("order_by"), distance=distance_alias, **spatial)
+        pairs = m.nearest(base, enr, match.get("k", 1), match.get("order_by"), distance=distance_alias, bound=match.get("bound"), small_rows=match.get("small_rows", m.SMALL_ROWS), **spatial)
     elif kind == "within":
-        pairs = m.within(base, enr, match.get("distance", 500), match.get("predicate"), match.get("keep_unmatched", False), match.get("limit"), distance=distance_alias, **spatial)
+        pairs = m.within(base, enr, match.get("distance", 500), match.get("predicate"), match.get("keep_unmatched", False), match.get("limit"), distance=distance_alias, bounded=match.get("bounded", False), **spatial)
     elif kind == "intersects":
         pairs = m.intersects(base, enr, match.get("predicate"), match.get("keep_unmatched", False), match.get("cell"), **spatial)
     elif kind == "key":

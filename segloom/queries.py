@@ -838,7 +838,7 @@ def coverage_features(s, d):
     return inspect.coverage_features(fx.ways(s, d), _mapping(s, d), "site_id", (3000, 5000, 9000, 12000)).select("id", "covered")
 
 
-@query(f"WITH {NEAREST} SELECT m.way_id, m.site_id, round(r.d, 4) AS distance, round(r.x1 + {along('r.x', 'r.y')} * (x2 - x1), 4) AS near_x FROM mapping m JOIN ranked r ON r.id = m.way_id AND r.site_id = m.site_id")
+@query(f"WITH {RANKED} SELECT id AS way_id, site_id, round(d, 4) AS distance, round(x1 + {along()} * (x2 - x1), 4) AS near_x FROM ranked WHERE rk = 1 AND d <= 2000")
 def mapping_features(s, d):
     out = inspect.mapping_features(_mapping(s, d), fx.ways(s, d), fx.sites(s, d), "site_id")
     return out.select("way_id", "site_id", _r("distance"), F.round(F.col("shortest")[0]["x"], 4).alias("near_x"))

@@ -12,8 +12,8 @@ from .functions import geo
 from .operators import enrich, match, reduce, sync
 from .operators.shared import shared_path
 from .plans import presets
-from .queries import MANY, RANKED, READINGS, SITES, WAYS, _r, apart, query
-from .sources import files, readers, sinks
+from .queries import MANY, RANKED, READINGS, SITES, V2, WAYS, _r, apart, query
+from .sources import buckets, files, layout, readers, sinks
 from .streaming import jobs
 
 # --- readers and sinks ---------------------------------------------------------------------------------------------
@@ -249,3 +249,42 @@ def nearest_of_all(s, d):
 def nearest_then_agg(s, d):
     pairs = match.nearest(fx.ways(s, d), fx.sites(s, d), 3, enr_id="site_id")
     return reduce.reduce_agg(pairs, "id", {"sites": F.count("*"), "farthest": F.round(F.max("distance"), 4)})
+
+
+# --- layouts -------------------------------------------------------------------------------------------------------
+
+
+@query(f"""WITH {V2} SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN a.o_custkey ELSE b.o_custkey END AS o_custkey,
+  CASE WHEN b.o_orderkey IS NULL THEN a.o_totalprice ELSE b.o_totalprice END AS o_totalprice FROM v1 a FULL JOIN v2 b ON a.o_orderkey = b.o_orderkey""")
+def bucketed_upsert(s, d):
+    """Into a table in buckets, of which only those of the batch's keys are rewritten."""
+    old, new = fx.staging(s, d)
+    path = shared_path(s, "buckets")
+    buckets.create(old, path, ["o_orderkey"], 16)
+    buckets.upsert(new, path)
+    return buckets.read(s, path).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query(f"WITH {V2} SELECT o_orderkey, o_custkey, o_totalprice FROM v2")
+def bucketed_sync(s, d):
+    """The table follows its source; buckets of equal digest stay as they are."""
+    old, new = fx.staging(s, d)
+    path = shared_path(s, "buckets")
+    buckets.create(old, path, ["o_orderkey"], 16)
+    buckets.sync(new, path)
+    return buckets.read(s, path).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query(f"WITH {WAYS} SELECT id FROM ways WHERE least(x1, x2) <= 9000 AND greatest(x1, x2) >= 7000 AND least(y1, y2) <= 8000 AND greatest(y1, y2) >= 6000")
+def box_layout(s, d):
+    """A box on a table laid out along a curve."""
+    path = shared_path(s, "layout")
+    layout.write_by_place(fx.ways(s, d), path, geo.envelope("geometry", "line"))
+    return layout.read_box(s, path, (7000, 6000, 9000, 8000)).select("id")
+
+
+@query(f"WITH {WAYS}, {MANY}, pairs AS (SELECT id, site_id, {apart()} AS d FROM ways, many), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, site_id) AS rk FROM pairs)\n  SELECT id, count(*) AS sites, round(max(d), 4) AS farthest FROM r WHERE rk <= 5 GROUP BY id")
+def nearest_leaves(s, d):
+    """M2: five nearest of the larger table, by leaves of its density."""
+    near = match.nearest(fx.ways(s, d), fx.many_sites(s, d), 5, enr_id="site_id", small_rows=0)
+    return near.groupBy("id").agg(F.count("*").alias("sites"), F.round(F.max("distance"), 4).alias("farthest"))

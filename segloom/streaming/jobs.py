@@ -7,18 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.match import nearest
-from ..operators.sync import upsert_changed
+from ..operators.sync import one_per_key
+from ..sources import buckets
 
 
 def _versions(spark: SparkSession, target: str) -> list[tuple[int, str]]:
-    """(number, folder name) of the complete versions below the target, by Hadoop's file system, in order."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    done = [s.getPath().getName() for s in fs.listStatus(path) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    return sorted((int(n[2:].split("-")[0]), n) for n in done if n.startswith("v="))
+    return buckets.versions(spark, target)
 
 
 def current_version(spark: SparkSession, target: str) -> int | None:
@@ -27,16 +21,16 @@ def current_version(spark: SparkSession, target: str) -> int | None:
 
 
 def read_version(spark: SparkSession, target: str, version: int | None = None) -> DataFrame | None:
-    found = [name for n, name in _versions(spark, target) if version in (None, n)]
-    return spark.read.parquet(f"{target}/{found[-1]}") if found else None
+    return buckets.read(spark, target, version)
 
 
-def stream_upsert(stream: DataFrame, target: str, keys: list[str], order_by: str, keep: int = 3) -> DataStreamWriter:
-    """ST1. Each micro-batch is upserted into the target's last complete version and written as the next one.
+def stream_upsert(stream: DataFrame, target: str, keys: list[str], order_by: str, keep: int = 3, into: int = buckets.BUCKETS) -> DataStreamWriter:
+    """ST1. Each micro-batch is upserted into the target, a table in ``into`` buckets (``sources.buckets``).
 
-    A version carries the stream's id and the batch's: a batch that runs again after its version was complete does
-    nothing, one that broke off before starts from the same version. A new stream goes on from what the target
-    holds. The last ``keep`` versions stay, so readers of the previous ones aren't cut off.
+    A batch reads and writes the buckets of its keys only. A version carries the stream's id and the batch's: a batch
+    that runs again after its version was complete does nothing, one that broke off before starts from the same
+    version. A new stream goes on from what the target holds. The last ``keep`` versions stay, so readers of the
+    previous ones aren't cut off; a target has one writer at a time.
     """
 
     def one(batch: DataFrame, batch_id: int) -> None:
@@ -45,13 +39,11 @@ def stream_upsert(stream: DataFrame, target: str, keys: list[str], order_by: str
         done = _versions(spark, target)
         if any(name.split("-", 1)[1] == mark for _, name in done):
             return
-        old = spark.read.parquet(f"{target}/{done[-1][1]}") if done else spark.createDataFrame([], batch.schema)
-        number = done[-1][0] + 1 if done else 0
-        upsert_changed(old, batch, keys, order_by=order_by).write.mode("overwrite").parquet(f"{target}/v={number:09}-{mark}")
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path
-        for _, name in done[: max(0, len(done) + 1 - keep)]:
-            path = hadoop(f"{target}/{name}")
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        if done:
+            buckets.upsert(batch, target, order_by, mark)
+        else:
+            buckets.create(one_per_key(batch, keys, order_by), target, keys, into, mark)
+        buckets.drop_old(spark, target, keep)
 
     return stream.writeStream.foreachBatch(one)
 

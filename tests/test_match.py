@@ -1,4 +1,5 @@
 import random
+import warnings
 
 import numpy as np
 import pytest
@@ -158,6 +159,20 @@ def test_bounded_predicate_joins_on_the_grid(spark):
     assert "CartesianProduct" not in (plan := got._jdf.queryExecution().toString()) and "NestedLoop" not in plan
 
 
+def test_bounds_through_presets(spark):
+    a, b = lines(spark, 30, 1), points(spark, 40, 2)
+    order = "abs(geometry[0].x - enr_geometry.x) + abs(geometry[0].y - enr_geometry.y)"
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        near = presets.map_preset("nearest_k", a, b, {"k": 2, "order_by": order, "bound": 1.0, "small_rows": 0}, enr_id="sid")
+        some = presets.map_preset("within_distance", a, b, {"distance": 60, "predicate": "value > 2", "bounded": True}, enr_id="sid")
+        assert near.count() == 60
+    with pytest.warns(UserWarning, match="all pairs"):
+        want = match.nearest(a, b, 2, order, enr_id="sid", small_rows=0)
+    assert pairs(near, "id", "sid") == pairs(want, "id", "sid")
+    assert pairs(some, "id", "sid") == pairs(match.within(a, b, 60, enr_id="sid").where("value > 2"), "id", "sid")
+
+
 def test_clashing_columns_and_key_join(spark):
     a = spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string")
     b = spark.createDataFrame([(1, "x"), (3, "z")], "id long, name string")
@@ -190,7 +205,8 @@ def test_presets_and_guards(spark):
     a, b = lines(spark, 20, 1), points(spark, 20, 2)
     for name in ("knn", "nearest_neighbour", "nearest_station"):
         assert presets.map_preset(name, a, b, enr_id="sid").count() == 20
-    assert presets.map_preset("idw", a, b, None, {"values": ["value"]}, enr_id="sid").count() == 20
+    for name in ("idw", "inverse_distance", "inverse_distance_weighting"):
+        assert presets.map_preset(name, a, b, None, {"values": ["value"]}, enr_id="sid").count() == 20
     assert presets.tidy_filter(" WHERE a = 1 ; ") == "a = 1"
     with pytest.raises(ValueError, match="needs a nearest"):
         presets.map_to_base(a, b, {"type": "within"}, {"type": "idw", "values": ["value"]}, enr_id="sid")
