@@ -128,19 +128,23 @@ def _any_cross(es: Column, fs: Column) -> Column:
     return F.exists(es, lambda e: F.exists(fs, lambda f: _cross(e, f)))
 
 
+def edge_test(p: Column, a: Column, b: Column) -> tuple[Column, Column]:
+    """(1 if the ray from p to the right passes the edge, else 0; whether p lies on it)."""
+    over = (a["y"] > p["y"]) != (b["y"] > p["y"])
+    at = a["x"] + (p["y"] - a["y"]) * (b["x"] - a["x"]) / F.when(b["y"] != a["y"], b["y"] - a["y"])
+    return F.when(over & (p["x"] < at), 1).otherwise(0), (_turn(a, b, p) == 0) & _within_box(a, b, p)
+
+
+def polygon_edges(g: Column | str) -> Column:
+    """STRUCT<a, b> of the edges of all rings."""
+    return _edges(_col(g), "polygon")
+
+
 def _inside(p: Column, polygon: Column) -> Column:
     """Crossing-number parity over all rings, or on an edge."""
     es = _edges(polygon, "polygon")
-
-    def passes(e: Column) -> Column:
-        a, b = e["a"], e["b"]
-        over = (a["y"] > p["y"]) != (b["y"] > p["y"])
-        at = a["x"] + (p["y"] - a["y"]) * (b["x"] - a["x"]) / F.when(b["y"] != a["y"], b["y"] - a["y"])
-        return F.when(over & (p["x"] < at), 1).otherwise(0)
-
-    parity = F.aggregate(F.transform(es, passes), F.lit(0), lambda s, v: s + v) % 2 == 1
-    touching = F.exists(es, lambda e: (_turn(e["a"], e["b"], p) == 0) & _within_box(e["a"], e["b"], p))
-    return parity | touching
+    parity = F.aggregate(F.transform(es, lambda e: edge_test(p, e["a"], e["b"])[0]), F.lit(0), lambda s, v: s + v) % 2 == 1
+    return parity | F.exists(es, lambda e: edge_test(p, e["a"], e["b"])[1])
 
 
 def _empty(g: Column, kind: str) -> Column:

@@ -54,12 +54,26 @@ def idw(pairs: DataFrame, base_id: str, values: list[str], power: float = 2, eps
 
 
 def idw_arrays(pairs: DataFrame, base_id: str, arrays: list[str], power: float = 2, epsilon: float = 0.001, distance: str = "distance") -> DataFrame:
-    """R9. The same for each place of the arrays; the longest array of a base row gives the length."""
+    """R9. The same for each place of the arrays; the longest array of a base row gives the length.
+
+    One grouping, no row for each place. A neighbour takes part up to its longest array; one with a null array doesn't.
+    """
     if not arrays:
         raise ValueError("inverse distance weighting needs array columns")
-    zipped = F.posexplode(F.arrays_zip(*arrays)).alias("pos", "e")
-    rows = pairs.select(base_id, distance, _weight(distance, power, epsilon).alias("w"), zipped)
-    each = rows.groupBy(base_id, "pos").agg(*(F.try_divide(F.sum(F.col(f"e.{a}") * F.col("w")), F.sum("w")).alias(a) for a in arrays))
-    lists = each.groupBy(base_id).agg(F.array_sort(F.collect_list(F.struct("pos", *arrays))).alias("s"))
-    nearest = pairs.groupBy(base_id).agg(F.min(distance).alias("nearest_distance"))
-    return lists.join(nearest, base_id).select(base_id, *(F.col(f"s.{a}").alias(a) for a in arrays), "nearest_distance")
+    whole = F.col(arrays[0]).isNotNull()
+    for a in arrays[1:]:
+        whole = whole & F.col(a).isNotNull()
+    length = F.greatest(F.lit(0), *(F.size(a) for a in arrays))
+    near = F.struct(_weight(distance, power, epsilon).alias("w"), length.alias("n"), *(F.col(a).alias(f"a{i}") for i, a in enumerate(arrays)))
+    grouped = pairs.groupBy(base_id).agg(F.collect_list(F.when(whole & (length > 0), near)).alias("near"), F.min(distance).alias("nearest_distance"))
+    places = F.sequence(F.lit(0), F.array_max(F.transform("near", lambda s: s["n"])) - 1)
+
+    def mean(i: int):
+        def at(place: Column) -> Column:
+            above = F.aggregate("near", F.lit(None).cast("double"), lambda t, s: F.coalesce(t + F.get(s[f"a{i}"], place) * s["w"], t, F.get(s[f"a{i}"], place) * s["w"]))
+            below = F.aggregate("near", F.lit(0.0), lambda t, s: t + F.when(place < s["n"], s["w"]).otherwise(0.0))
+            return F.try_divide(above, below)
+
+        return F.transform(places, at)
+
+    return grouped.where(F.size("near") > 0).select(base_id, *(mean(i).alias(a) for i, a in enumerate(arrays)), "nearest_distance")

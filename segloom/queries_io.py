@@ -288,3 +288,58 @@ def nearest_leaves(s, d):
     """M2: five nearest of the larger table, by leaves of its density."""
     near = match.nearest(fx.ways(s, d), fx.many_sites(s, d), 5, enr_id="site_id", small_rows=0)
     return near.groupBy("id").agg(F.count("*").alias("sites"), F.round(F.max("distance"), 4).alias("farthest"))
+
+
+# --- matches by ranges, long segments, many vertices ---------------------------------------------------------------
+
+
+@query(f"WITH {WAYS}, {MANY} SELECT id, site_id FROM ways, many WHERE x BETWEEN x1 - 90 AND x1 + 90 AND y BETWEEN y1 - 300 AND y1 + 40 AND value > 950")
+def range_predicate(s, d):
+    """M5: a predicate of ranges; their cells are the join's key."""
+    ranges = [("x1 - 90", "x1 + 90", "x", "x"), ("y1 - 300", "y1 + 40", "y", "y")]
+    return match.range_pairs(fx.ways(s, d), fx.many_sites(s, d), ranges, "value > 950").select("id", "site_id")
+
+
+@query("SELECT a.o_orderkey, b.p_partkey FROM orders a JOIN part b ON a.o_totalprice BETWEEN b.p_retailprice * 100 AND b.p_retailprice * 100 + b.p_size * 3")
+def range_of_values(s, d):
+    """M5: a value within a range of the other table."""
+    o, p = fx.table(s, d, "orders").select("o_orderkey", "o_totalprice"), fx.table(s, d, "part").select("p_partkey", "p_retailprice", "p_size")
+    ends = ("o_totalprice", "o_totalprice", "p_retailprice * 100", "p_retailprice * 100 + p_size * 3")
+    return match.range_pairs(o, p, [ends]).select("o_orderkey", "p_partkey")
+
+
+_LONG = "SELECT id, x1 AS ax, y1 AS ay, x1 + (x2 - x1) * 16 AS bx, y1 + (y2 - y1) * 16 AS by_ FROM ways WHERE x1 <> x2 OR y1 <> y2"
+
+
+@query(f"""WITH {WAYS}, w AS ({_LONG}), p AS (SELECT a.id, b.id AS other, sign((a.bx-a.ax)*(b.ay-a.ay)-(a.by_-a.ay)*(b.ax-a.ax)) o1, sign((a.bx-a.ax)*(b.by_-a.ay)-(a.by_-a.ay)*(b.bx-a.ax)) o2,
+    sign((b.bx-b.ax)*(a.ay-b.ay)-(b.by_-b.ay)*(a.ax-b.ax)) o3, sign((b.bx-b.ax)*(a.by_-b.ay)-(b.by_-b.ay)*(a.bx-b.ax)) o4,
+    b.ax BETWEEN least(a.ax,a.bx) AND greatest(a.ax,a.bx) AND b.ay BETWEEN least(a.ay,a.by_) AND greatest(a.ay,a.by_) AS i1, b.bx BETWEEN least(a.ax,a.bx) AND greatest(a.ax,a.bx) AND b.by_ BETWEEN least(a.ay,a.by_) AND greatest(a.ay,a.by_) AS i2,
+    a.ax BETWEEN least(b.ax,b.bx) AND greatest(b.ax,b.bx) AND a.ay BETWEEN least(b.ay,b.by_) AND greatest(b.ay,b.by_) AS i3, a.bx BETWEEN least(b.ax,b.bx) AND greatest(b.ax,b.bx) AND a.by_ BETWEEN least(b.ay,b.by_) AND greatest(b.ay,b.by_) AS i4
+    FROM w a, w b WHERE a.id < b.id)
+  SELECT id, other FROM p WHERE (o1 <> o2 AND o3 <> o4 AND o1*o2 <= 0 AND o3*o4 <= 0) OR (o1 = 0 AND i1) OR (o2 = 0 AND i2) OR (o3 = 0 AND i3) OR (o4 = 0 AND i4)""")
+def crossing_lines(s, d):
+    """Segments long enough to cross."""
+    w = fx.ways(s, d).where("x1 <> x2 or y1 <> y2")
+    far = geo.point(F.col("x1") + (F.col("x2") - F.col("x1")) * 16, F.col("y1") + (F.col("y2") - F.col("y1")) * 16)
+    long = w.select("id", geo.line(geo.point("x1", "y1"), far).alias("geometry"))
+    return match.intersects(long, long.withColumnRenamed("id", "other"), enr_id="other").where("id < other").select("id", "other")
+
+
+_STARS = """stars AS (SELECT p_partkey // 200 AS area_id, p_partkey % 200 AS k, (p_partkey // 200) * 7919 % 18000 + 1000 AS cx, (p_partkey // 200) * 104729 % 18000 + 1000 AS cy, 300 + p_size * 13 % 700 AS r FROM part),
+  corners AS (SELECT area_id, k, cx + round(r * cos(k * 0.0314)) AS x, cy + round(r * sin(k * 0.0314)) AS y, cx, cy FROM stars),
+  edges AS (SELECT area_id, x AS ax, y AS ay, coalesce(lead(x) OVER w, first_value(x) OVER w) AS bx, coalesce(lead(y) OVER w, first_value(y) OVER w) AS by_, cx, cy FROM corners WINDOW w AS (PARTITION BY area_id ORDER BY k))"""
+
+
+@query(f"""WITH {WAYS}, {_STARS}, t AS (SELECT id, area_id, ((ay > y1) <> (by_ > y1)) AND x1 < ax + (y1 - ay) * (bx - ax) / nullif(by_ - ay, 0) AS crossed,
+    sign((bx - ax) * (y1 - ay) - (by_ - ay) * (x1 - ax)) = 0 AND x1 BETWEEN least(ax, bx) AND greatest(ax, bx) AND y1 BETWEEN least(ay, by_) AND greatest(ay, by_) AS touched
+    FROM ways JOIN edges ON x1 BETWEEN cx - 1001 AND cx + 1001 AND y1 BETWEEN cy - 1001 AND cy + 1001)
+  SELECT id, area_id FROM t GROUP BY id, area_id HAVING count(*) FILTER (crossed) % 2 = 1 OR bool_or(touched)""")
+def points_in_areas(s, d):
+    """M6: points in polygons of 200 corners each, by a table of their edges."""
+    k, number = F.col("p_partkey") % 200, F.expr("p_partkey div 200")
+    at = fx.table(s, d, "part").select(number.alias("area_id"), k.alias("k"), (300 + F.col("p_size") * 13 % 700).alias("r"), (number * 7919 % 18000 + 1000).alias("cx"), (number * 104729 % 18000 + 1000).alias("cy"))
+    corner = geo.point(F.col("cx") + F.round(F.col("r") * F.cos(F.col("k") * 0.0314)), F.col("cy") + F.round(F.col("r") * F.sin(F.col("k") * 0.0314)))
+    ring = F.transform(F.array_sort(F.collect_list(F.struct("k", corner.alias("p")))), lambda v: v["p"])
+    areas = at.groupBy("area_id").agg(F.array(ring).alias("geometry"))
+    spots = fx.ways(s, d).select("id", geo.start_point("geometry").alias("geometry"))
+    return match.inside(spots, areas, enr_id="area_id")

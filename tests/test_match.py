@@ -1,3 +1,4 @@
+import math
 import random
 import warnings
 
@@ -145,6 +146,50 @@ def test_intersects_of_very_uneven_sizes(spark):
     assert pairs(match.intersects(p, twice, enr_id="sid"), "id", "sid") == pairs(want, "id", "sid")
 
 
+def test_levels_take_one_join(spark):
+    a, b = lines(spark, 30, 5), lines(spark, 30, 6, 400).withColumnRenamed("id", "sid")
+    plan = match.intersects(a, b, enr_id="sid")._jdf.queryExecution().toString()
+    assert plan[plan.index("== Physical") :].count("Join") == 1
+
+
+def test_ranges_equal_all_pairs(spark):
+    rng = random.Random(6)
+    spans = [0, 0.5, 3, 40, 5000]
+    rows = [(i, v := rng.uniform(-100, 100), v + rng.choice(spans) * rng.random(), rng.uniform(-9, 9)) for i in range(150)] + [(200, None, 1.0, 1.0), (201, 5.0, 4.0, 1.0), (202, 1.0, None, 0.0)]
+    a = spark.createDataFrame(rows, "id long, low double, high double, z double")
+    b = a.where("id % 2 = 0").withColumnsRenamed({"id": "sid"}).withColumn("low", F.col("low") + 2)
+    one, two = ("low", "high", "low", "high"), ("z", "z", "z - 2", "z + 1")
+    every = a.crossJoin(b.select("sid", F.col("low").alias("enr_low"), F.col("high").alias("enr_high"), F.col("z").alias("enr_z"))).where("low <= high and enr_low <= enr_high")
+    meet = every.where("low <= enr_high and enr_low <= high")
+    got = match.range_pairs(a, b, [one])
+    assert got.columns == every.columns and pairs(got, "id", "sid") == pairs(meet, "id", "sid") != []
+    both = meet.where("z between enr_z - 2 and enr_z + 1 and id > sid")
+    found = match.range_pairs(a, b, [one, two], "id > sid")
+    assert pairs(found, "id", "sid") == pairs(both, "id", "sid") != []
+    plan = found._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    with pytest.raises(ValueError, match="ranges"):
+        match.range_pairs(a, b, [])
+
+
+def test_points_in_polygons_of_many_corners(spark):
+    rng = random.Random(8)
+
+    def star(n, cx, cy, r):
+        turn = lambda i: 2 * math.pi * i / n
+        return [(float(round(cx + (s := rng.uniform(r / 3, r)) * math.cos(turn(i)))), float(round(cy + s * math.sin(turn(i))))) for i in range(n)]
+
+    comb = [(float(x), y) for x in range(0, 400, 2) for y in ((0.0, 300.0) if x % 4 else (300.0, 0.0))] + [(400.0, -10.0), (0.0, -10.0)]
+    rings = [[star(400, 300, 300, 300), star(40, 300, 300, 60)], [star(5, 100, 700, 90)], [comb], [[(0.0, 0.0), (9.0, 0.0), (4.0, 0.0)]], [], None]
+    areas = spark.createDataFrame(list(enumerate(rings)), "sid int, geometry array<array<struct<x:double,y:double>>>")
+    spots = [(float(rng.randrange(-20, 700)), float(rng.randrange(-20, 900))) for _ in range(400)] + rings[0][0][:50] + comb[:30] + [(4.0, 0.0), (5.5, 0.0)]
+    points_ = spark.createDataFrame([*enumerate(spots), (9999, None)], "id int, geometry struct<x:double,y:double>")
+    want = points_.crossJoin(areas.withColumnRenamed("geometry", "g")).where(geo.intersects("geometry", "g", ("point", "polygon")))
+    got = match.inside(points_, areas, enr_id="sid")
+    assert pairs(got, "id", "sid") == pairs(want, "id", "sid")
+    assert {r["sid"] for r in got.collect()} == {0, 1, 2, 3}
+
+
 def test_own_predicate_warns(spark):
     a, b = lines(spark, 5, 1), points(spark, 5, 2)
     with pytest.warns(UserWarning, match="all pairs"):
@@ -194,6 +239,31 @@ def test_arrays_of_different_length(spark):
     assert reduce.idw_arrays(p, "id", ["a"]).collect() == [(1, [2.0, 2.0], 1.0)]  # a place that a neighbour lacks is not its
 
 
+def test_arrays_equal_exploded_means(spark):
+    rng = random.Random(2)
+    value = lambda: rng.choice([None, rng.uniform(-5, 5), 2.0])
+    rows = [(i % 9, rng.uniform(0, 3), [value() for _ in range(rng.randrange(5))] if rng.random() < 0.8 else None, [value() for _ in range(rng.randrange(5))]) for i in range(60)]
+    p = spark.createDataFrame(rows, "id int, distance double, a array<double>, b array<double>")
+    want = {}
+    for base in range(9):
+        own = [(1 / max(d, 0.001) ** 2, a, b) for i, d, a, b in rows if i == base and a is not None and max(len(a), len(b))]
+        place = lambda x, i: x[i] if i < len(x) else None
+        means = []
+        for which in (1, 2):
+            out = []
+            for i in range(max((max(len(a), len(b)) for _, a, b in own), default=0)):
+                there = [(w, place((a, b)[which - 1], i)) for w, a, b in own if i < max(len(a), len(b))]
+                some = [w * v for w, v in there if v is not None]
+                out.append(sum(some) / sum(w for w, _ in there) if some else None)
+            means.append(out)
+        if own:
+            want[base] = means
+    got = {r["id"]: [r["a"], r["b"]] for r in reduce.idw_arrays(p, "id", ["a", "b"]).collect()}
+    assert got.keys() == want.keys()
+    for k, v in want.items():
+        assert [[None if x is None else pytest.approx(x) for x in c] for c in v] == got[k]
+
+
 def test_lists_of_unmatched_rows(spark):
     p = spark.createDataFrame([(1, None), (2, 5), (2, 3), (2, None)], "id int, v int")
     got = {r["id"]: r for r in reduce.reduce_agg(p, "id", {"a": reduce.json_list("v"), "b": reduce.json_list("v", keep_nulls=True)}).collect()}
