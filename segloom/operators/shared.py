@@ -11,9 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path below spark.checkpoint.dir, which all executors share.
 
-    Only where that is unset (tests on one machine) a local folder takes its place.
+    Only where that is unset on a local master (tests on one machine) a local folder takes its place.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-')}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.conf.get("spark.master", "local")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

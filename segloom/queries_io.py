@@ -13,7 +13,7 @@ from .operators import enrich, match, reduce, sync
 from .operators.shared import shared_path
 from .plans import presets
 from .queries import MANY, RANKED, READINGS, SITES, V2, WAYS, _r, apart, query
-from .sources import buckets, files, layout, readers, sinks
+from .sources import buckets, clouds, files, layout, readers, sinks
 from .streaming import jobs
 
 # --- readers and sinks ---------------------------------------------------------------------------------------------
@@ -251,6 +251,15 @@ def nearest_then_agg(s, d):
     return reduce.reduce_agg(pairs, "id", {"sites": F.count("*"), "farthest": F.round(F.max("distance"), 4)})
 
 
+@query("SELECT CAST(p_partkey AS DOUBLE) AS x, CAST(p_size AS DOUBLE) AS y, p_retailprice AS z FROM part")
+def read_xyz_zip(s, d):
+    """A cloud in zip archives, a member a task."""
+    path = shared_path(s, "clouds")
+    p = fx.table(s, d, "part")
+    clouds.write_archives(p.select(F.concat_ws(" ", "p_partkey", "p_size", "p_retailprice").alias("value")).repartition(4), path)
+    return readers.read_xyz_zip(s, path).select("x", "y", "z")
+
+
 # --- layouts -------------------------------------------------------------------------------------------------------
 
 

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import geo
+from . import clouds
 
 
 def read_table(spark: SparkSession, path: str | list[str], kind: str, schema: T.StructType | str | None = None, **options) -> DataFrame:
@@ -70,19 +67,7 @@ def read_xyz(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(*_xyz(F.col("value"))).where("x is not null and y is not null and z is not null")
 
 
-def read_xyz_zip(spark: SparkSession, path: str, lines: int = 50_000) -> DataFrame:
-    """S8. The same from the first ``.xyz`` member of each zip archive; an archive is unpacked by one task, in pieces."""
-
-    def run(batches):
-        for b in batches:
-            for name, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    member = next((m for m in z.namelist() if m.lower().endswith(".xyz")), None)
-                    if member is None:
-                        continue
-                    with z.open(member) as f:
-                        while part := [x.decode("utf-8", "replace") for _, x in zip(range(lines), f, strict=False)]:
-                            yield pa.RecordBatch.from_arrays([pa.array([name] * len(part)), pa.array(part)], names=["path", "value"])
-
-    raw = spark.read.format("binaryFile").load(path).select("path", "content")
-    return raw.mapInArrow(run, "path string, value string").select("path", *_xyz(F.trim("value"))).where("x is not null and y is not null and z is not null")
+def read_xyz_zip(spark: SparkSession, path: str, every: bool = False, block: int = clouds.BLOCK) -> DataFrame:
+    """S8. The same from the first ``.xyz`` member of each zip archive, or from all of them; a task a member, as a stream."""
+    raw = clouds.read_archive_lines(spark, path, ".xyz", every, block)
+    return raw.select("path", *_xyz(F.trim("value"))).where("x is not null and y is not null and z is not null")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.match import nearest
+from ..operators.shared import materialize
 from ..operators.sync import one_per_key
 from ..sources import buckets
 
@@ -61,3 +64,31 @@ def stream_nearest(stream: DataFrame, stations: DataFrame, sites: DataFrame, sta
     """
     near = nearest(stations, sites, 1, base_id=station, enr_id=site_id).select(station, site_id, F.col("distance").alias("site_distance"))
     return stream.join(near, station)
+
+
+def stream_nearest_moving(stream: DataFrame, stations: str, sites: DataFrame, station: str, write: Callable[[DataFrame, int], None], site_id: str = "site_id") -> DataStreamWriter:
+    """ST3. The same while stations move, come and go: they are a table in buckets (``sources.buckets``) at this path.
+
+    Each micro-batch takes the table's last version and hands its rows, with their station's nearest site, to
+    ``write(rows, batch_id)``. A new version maps only the stations of the buckets that differ from the one before.
+    """
+    held: dict = {"version": None, "near": None}
+
+    def mapped(rows: DataFrame) -> DataFrame:
+        return nearest(rows, sites, 1, base_id=station, enr_id=site_id).select(station, site_id, F.col("distance").alias("site_distance"))
+
+    def one(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        there = [n for n, _ in buckets.versions(spark, stations)]
+        if not there:
+            raise ValueError(f"{stations} holds no table")
+        if held["version"] != there[-1]:
+            if held["version"] in there:
+                old, new = buckets.changes(spark, stations, held["version"], there[-1])
+                near = held["near"].join(old.select(station), station, "left_anti").unionByName(mapped(new))
+            else:
+                near = mapped(buckets.read(spark, stations, there[-1]))
+            held.update(version=there[-1], near=materialize(near, "near"))
+        write(batch.join(held["near"], station), batch_id)
+
+    return stream.writeStream.foreachBatch(one)

@@ -1,4 +1,5 @@
 import gzip
+import io
 import json
 import time
 import zipfile
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from segloom.sources import files, readers, sinks
+from segloom.sources import buckets, clouds, files, readers, sinks
 from segloom.streaming import jobs
 
 
@@ -47,8 +48,36 @@ def test_point_clouds(spark, tmp_path):
         z.writestr("readme.txt", "no")
         z.writestr("a.xyz", text)
         z.writestr("b.xyz", "0 0 0\n")
-    got = readers.read_xyz_zip(spark, f"{tmp_path}/p.zip", lines=2)
+    got = readers.read_xyz_zip(spark, f"{tmp_path}/p.zip", block=7)
     assert sorted(r["x"] for r in got.collect()) == [1, 4, 9]
+    every = readers.read_xyz_zip(spark, f"{tmp_path}/p.zip", every=True)
+    assert sorted(r["x"] for r in every.collect()) == [0, 1, 4, 9]
+    assert every.rdd.getNumPartitions() == 2
+    with zipfile.ZipFile(tmp_path / "none.zip", "w") as z:
+        z.writestr("readme.txt", "no")
+    assert readers.read_xyz_zip(spark, f"{tmp_path}/none.zip").count() == 0
+
+
+def test_members_are_unpacked_by_blocks():
+    class Counted(io.BytesIO):
+        most = 0
+
+        def read(self, size=-1):
+            assert 0 < size <= 10
+            return super().read(size)
+
+    text = "one\r\n\ntwo three four five\nsix"
+    assert [x for b in clouds.line_blocks(Counted(text.encode()), 10) for x in b] == ["one", "", "two three four five", "six"]
+    assert list(clouds.line_blocks(Counted(b""), 10)) == []
+
+
+def test_archives_written_and_read(spark, tmp_path):
+    lines = [f"{i} {i + 1} {i * 2}.5" for i in range(5000)]
+    df = spark.createDataFrame([(x,) for x in lines], "value string").repartition(3)
+    names = clouds.write_archives(df, f"file://{tmp_path}/clouds")
+    assert len(names) == 3 and sorted(p.name for p in (tmp_path / "clouds").iterdir()) == sorted(n.rsplit("/", 1)[1] for n in names)
+    got = readers.read_xyz_zip(spark, f"file://{tmp_path}/clouds")
+    assert sorted((r["x"], r["y"], r["z"]) for r in got.collect()) == [(i, i + 1, i * 2 + 0.5) for i in range(5000)]
 
 
 def test_changed_files(spark, tmp_path):
@@ -125,6 +154,31 @@ def test_stream_hours_drop_late_slots(spark, tmp_path):
     assert got["2024-01-01 05:00:00"] == (9.0, 1)
 
 
+def test_stream_nearest_of_moving_stations(spark, tmp_path):
+    source, path, xy = f"{tmp_path}/in", f"file://{tmp_path}/stations", "struct<x:double,y:double>"
+    schema = f"station int, geometry {xy}"
+    buckets.create(spark.createDataFrame([(i, (float(i), 0.0)) for i in range(40)], schema), path, ["station"], 8)
+    sites = spark.createDataFrame([(70, (0.0, 0.0)), (71, (100.0, 0.0))], f"site_id int, geometry {xy}")
+    out: dict[int, list] = {}
+
+    def add(*rows):
+        spark.createDataFrame(rows, "station int, v double").coalesce(1).write.mode("append").parquet(source)
+
+    def keep(df, batch):
+        out[batch] = sorted((r["station"], r["v"], r["site_id"], r["site_distance"]) for r in df.collect())
+
+    add((1, 5.0), (2, 6.0), (99, 7.0))
+    stream = spark.readStream.schema("station int, v double").parquet(source)
+    q = jobs.stream_nearest_moving(stream, path, sites, "station", keep).option("checkpointLocation", f"{tmp_path}/check").start()
+    q.processAllAvailable()
+    assert out[0] == [(1, 5.0, 70, 1.0), (2, 6.0, 70, 2.0)]
+    buckets.upsert(spark.createDataFrame([(2, (90.0, 0.0)), (99, (99.0, 0.0))], schema), path)  # one moves, one is new
+    add((1, 8.0), (2, 9.0), (99, 1.0))
+    q.processAllAvailable()
+    q.stop()
+    assert out[1] == [(1, 8.0, 70, 1.0), (2, 9.0, 71, 10.0), (99, 1.0, 71, 1.0)]
+
+
 def test_stream_nearest(spark, tmp_path):
     source = f"{tmp_path}/in"
     spark.createDataFrame([(1, 5.0), (2, 6.0), (9, 7.0)], "station int, v double").write.parquet(source)
