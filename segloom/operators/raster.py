@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
 from .reduce import collected
 
 NO_DATA = -9999.0
+#: Cells along a side of a tile.
+TILE = 32
 
 
 def to_cells(points: DataFrame, pixel: float, order_by: str, origin: tuple[float, float] | None = None) -> DataFrame:
@@ -52,22 +54,50 @@ def sample_lines(df: DataFrame, geom: str, step: float) -> DataFrame:
     return rows.withColumn("point", geo.interpolate(geom, F.least(F.lit(1.0), F.col("i") * step / F.col("length"))))
 
 
+def to_tiles(cells: DataFrame, tile: int = TILE) -> DataFrame:
+    """(tile_col, tile_row, heights): a row a tile, its heights row by row in one array, null where there is no cell.
+
+    Cells are gathered into rows of a tile and those into the tile, so both groupings have a bounded number of values.
+    """
+    parts = {"tile_col": F.floor(F.col("col") / tile), "tile_row": F.floor(F.col("row") / tile)}
+    placed = cells.select(*(c.alias(n) for n, c in parts.items()), F.pmod("row", F.lit(tile)).alias("r"), F.pmod("col", F.lit(tile)).alias("c"), F.col("z").cast("double").alias("z"))
+    rows = placed.groupBy(*parts, "r").agg(F.array(*(F.max(F.when(F.col("c") == k, F.col("z"))) for k in range(tile))).alias("zs"))
+    none = F.array_repeat(F.lit(None).cast("double"), tile)
+    return rows.groupBy(*parts).agg(F.flatten(F.array(*(F.coalesce(F.max(F.when(F.col("r") == k, F.col("zs"))), none) for k in range(tile)))).alias("heights"))
+
+
+def heights_along(samples: DataFrame, tiles: DataFrame, pixel: float, origin: tuple[float, float], line_id: str, point: str = "point", tile: int = TILE) -> DataFrame:
+    """(line_id, heights): for each line the (i, z) of its samples that have data, in order of i.
+
+    A line's samples in one tile travel as one row, before and after they meet the tile; lines without data have no row.
+    """
+    col, row = F.floor((F.col(point)["x"] - origin[0]) / pixel), F.floor((origin[1] - F.col(point)["y"]) / pixel)
+    parts = {"tile_col": F.floor(col / tile), "tile_row": F.floor(row / tile)}
+    offset = F.pmod(row, F.lit(tile)) * tile + F.pmod(col, F.lit(tile))
+    grouped = samples.groupBy(line_id, *(c.alias(n) for n, c in parts.items())).agg(F.collect_list(F.struct("i", offset.cast("int").alias("at"))).alias("spots"))
+    met = grouped.join(tiles, list(parts))
+    read = F.filter(F.transform("spots", lambda s: F.struct(s["i"].alias("i"), F.get("heights", s["at"]).alias("z"))), lambda s: s["z"].isNotNull() & (s["z"] != NO_DATA))
+    return met.select(line_id, read.alias("part")).where(F.size("part") > 0).groupBy(line_id).agg(F.array_sort(F.flatten(F.collect_list("part"))).alias("heights"))
+
+
 def elevation_stats(lines: DataFrame, cells: DataFrame, pixel: float, origin: tuple[float, float], step: float = 10.0, line_id: str = "id", geom: str = "geometry") -> DataFrame:
     """X5. (way_id, total_ascent, total_descent, max_slope, avg_slope, sample_count) of every line.
 
-    Slopes divide by the step, also for the shorter last one. Lines without geometry, length or data get zeros.
+    Slopes divide by the step, also for the shorter last one. Lines without geometry, length or data get zeros. Of
+    cells that share a place the highest counts.
     """
-    samples = sample_lines(lines.select(line_id, geom), geom, step).select(line_id, "i", F.col("point").alias("p"))
-    heights = value_at(samples, cells, pixel, origin, "p").where(F.col("z").isNotNull() & (F.col("z") != NO_DATA))
-    dz = F.col("z") - F.lag("z").over(Window.partitionBy(line_id).orderBy("i"))
-    diffs = heights.select(line_id, dz.alias("dz"))
-    sums = diffs.groupBy(line_id).agg(
-        F.coalesce(F.sum(F.when(F.col("dz") > 0, F.col("dz"))), F.lit(0.0)).alias("up"),
-        F.coalesce(-F.sum(F.when(F.col("dz") < 0, F.col("dz"))), F.lit(0.0)).alias("down"),
-        F.coalesce(F.max(F.abs("dz")), F.lit(0.0)).alias("rise"),
-        F.count("dz").alias("n"),
+    samples = sample_lines(lines.select(line_id, geom), geom, step).select(line_id, "i", "point")
+    found = heights_along(samples, to_tiles(cells), pixel, origin, line_id)
+    n = F.size("heights")
+    steps = F.zip_with(F.slice("heights", 2, F.greatest(n - 1, F.lit(0))), F.slice("heights", 1, F.greatest(n - 1, F.lit(0))), lambda b, a: b["z"] - a["z"])
+    stats = found.select(line_id, steps.alias("dz")).select(
+        line_id,
+        F.aggregate("dz", F.lit(0.0), lambda t, v: t + F.greatest(v, F.lit(0.0))).alias("up"),
+        F.aggregate("dz", F.lit(0.0), lambda t, v: t + F.greatest(-v, F.lit(0.0))).alias("down"),
+        F.coalesce(F.array_max(F.transform("dz", F.abs)), F.lit(0.0)).alias("rise"),
+        F.size("dz").cast("long").alias("n"),
     )
-    all_ = lines.select(line_id, geo.length(geom).alias("length")).join(sums, line_id, "left")
+    all_ = lines.select(line_id, geo.length(geom).alias("length")).join(stats, line_id, "left")
     up, down = F.coalesce("up", F.lit(0.0)), F.coalesce("down", F.lit(0.0))
     return all_.select(
         F.col(line_id).alias("way_id"),

@@ -1,3 +1,5 @@
+import math
+import random
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,6 +116,23 @@ def roads(spark):
     return nodes, ways, relations
 
 
+def test_heights_from_tiles_equal_cells(spark):
+    rng = random.Random(7)
+    held = {(rng.randrange(-70, 70), rng.randrange(-70, 70)): rng.choice([None, -9999.0, rng.uniform(0, 50)]) for _ in range(6000)}
+    cells = spark.createDataFrame([(c, r, z) for (c, r), z in held.items()], "col long, row long, z double")
+    spots = [(rng.randrange(12), i, (rng.uniform(-800, 800), rng.uniform(-800, 800))) for i in range(900)]
+    samples = spark.createDataFrame(spots, "id int, i int, point struct<x:double,y:double>")
+    tiles = raster.to_tiles(cells)
+    assert tiles.where(F.size("heights") != raster.TILE**2).count() == 0 and tiles.count() <= 36
+    want = {}
+    for line, i, (x, y) in sorted(spots):
+        z = held.get((math.floor((x - 3) / 10), math.floor((5 - y) / 10)))
+        if z is not None and z != -9999.0:
+            want.setdefault(line, []).append((i, z))
+    got = raster.heights_along(samples, tiles, 10, (3.0, 5.0), "id").collect()
+    assert {r["id"]: [tuple(h) for h in r["heights"]] for r in got} == want
+
+
 def test_links_and_dropped_index(roads):
     nodes, ways, _ = roads
     got = sorted((r["way_id"], r["way_link_index"], r["start_node_id"], r["end_node_id"], len(r["geometry"])) for r in network.split_links(nodes, ways).collect())
