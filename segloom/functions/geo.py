@@ -191,6 +191,20 @@ def distance(a: Column | str, b: Column | str, kinds: tuple[str, str] = ("point"
     return F.when(~_empty(a, ka) & ~_empty(b, kb), found)
 
 
+def edge_distance(e: Column, f: Column) -> Column:
+    """Distance of two edges (struct a, b), which may be points; 0 where they cross or touch."""
+    ends = [_point_point(p, _on_edge(p, g)) for g, h in ((e, f), (f, e)) for p in (h["a"], h["b"])]
+    return F.when(_cross(e, f), 0.0).otherwise(F.least(*ends))
+
+
+def solid_edges(g: Column | str, kind: str) -> Column:
+    """The edges of a point or line; one that is a single point is an edge without length."""
+    g = _col(g)
+    if kind == "point":
+        return F.when(g.isNotNull(), F.array(F.struct(g.alias("a"), g.alias("b"))))
+    return F.when(F.size(g) > 1, edges(g)).otherwise(F.transform(g, lambda p: F.struct(p.alias("a"), p.alias("b"))))
+
+
 def within(a, b, limit, kinds: tuple[str, str] = ("point", "point")) -> Column:
     """G4."""
     return distance(a, b, kinds) <= limit

@@ -140,6 +140,28 @@ def _candidates(base: DataFrame, enr: DataFrame, limit: float, kinds: tuple[str,
     return joined.drop("__cell", "__mine").withColumn(distance, geo.distance(F.col(base_geom), F.col(geom), kinds)).where(F.col(distance) <= limit)
 
 
+def lines_within(base: DataFrame, enr: DataFrame, max_distance: float, base_geom: str = "geometry", enr_geom: str = "geometry", base_id: str = "id", enr_id: str = "id", distance: str = "distance") -> DataFrame:
+    """M4, G2. (base_id, enr_id, distance) of the pairs within the distance, for lines of many points (or points).
+
+    Both sides become tables of edges, four numbers each, which meet by their boxes; the least distance of a pair's edges is
+    that of the pair. No array of points is shuffled. Ids are unique; null and empty geometries match nothing.
+    """
+    kinds = _kinds(base, enr, base_geom, enr_geom)
+    name = f"enr_{enr_id}" if enr_id == base_id else enr_id
+
+    def table(df: DataFrame, id_: str, geom: str, kind: str, key: str, edge: str) -> DataFrame:
+        return df.select(F.col(id_).alias(key), F.explode(geo.solid_edges(geom, kind)).alias(edge))
+
+    def box(edge: str, margin: float) -> Column:
+        a, b = F.col(f"{edge}.a"), F.col(f"{edge}.b")
+        return F.struct(*((F.least(a[c], b[c]) - margin).alias(f"{c}1") for c in "xy"), *((F.greatest(a[c], b[c]) + margin).alias(f"{c}2") for c in "xy"))
+
+    mine, theirs = table(base, base_id, base_geom, kinds[0], base_id, "__e"), table(enr, enr_id, enr_geom, kinds[1], name, "__f")
+    met = _by_levels(mine, theirs, box("__e", max_distance * (1 + 1e-9)), box("__f", 0.0))
+    measured = met.select(base_id, name, geo.edge_distance(F.col("__e"), F.col("__f")).alias(distance)).where(F.col(distance) <= max_distance)
+    return measured.groupBy(base_id, name).agg(F.min(distance).alias(distance))
+
+
 def _kept(base: DataFrame, pairs: DataFrame, base_id: str) -> DataFrame:
     """M9. Base rows without a pair come back with nulls."""
     own = [c for c in base.columns if c != base_id]

@@ -6,11 +6,12 @@ ref>>, tags MAP).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
 from .records import first_tag
+from .shared import materialize
 
 # Tag values of the map data.
 HIGHWAYS = [
@@ -112,22 +113,31 @@ def split_links(nodes: DataFrame, ways: DataFrame, barriers: DataFrame | None =
     """N5, N6. (way_id, way_link_index, start_node_id, end_node_id, meters, geometry) of highway ways cut at tower nodes.
 
     Both ends of a way are cuts. Unknown nodes are left out of a link; a link of less than two known nodes is
-    dropped, but its index is used up. The counts and the split share one pass over the ways' nodes by join.
+    dropped, but its index is used up. Counts, places and barriers of nodes come from one grouping, which is written out
+    so that the join with the ways' nodes can split a hot one; the nodes of a way then meet in one list and are cut there.
     """
     barriers = barrier_nodes(nodes) if barriers is None else barriers
-    towers = tower_nodes(node_ref_count(ways), barriers).withColumn("tower", F.lit(True))
     steps = highway_ways(ways).select(F.col("id").alias("way_id"), F.size("nodes").alias("n"), F.posexplode("nodes").alias("pos", "node_id"))
-    placed = nodes.select(F.col("id").alias("node_id"), geo.point("lon", "lat").alias("p"), F.lit(True).alias("known"))
-    met = steps.join(placed, "node_id", "left").join(towers, "node_id", "left")
+    place = geo.point("lon", "lat")
+    none = F.lit(None).cast("struct<x:double,y:double>")
+
+    def seen(df: DataFrame, node: str, refs: int, p: Column, barrier: bool, known: bool) -> DataFrame:
+        return df.select(F.col(node).alias("node_id"), F.lit(refs).alias("refs"), p.alias("p"), F.lit(barrier).alias("barrier"), F.lit(known).alias("known"))
+
+    every = seen(steps, "node_id", 1, none, False, False).union(seen(nodes, "id", 0, place, False, True)).union(seen(barriers, "node_id", 0, none, True, False))
+    merged = every.groupBy("node_id").agg(F.sum("refs").alias("refs"), F.max("p").alias("p"), F.max("barrier").alias("barrier"), F.max("known").alias("known")).where("refs > 0")
+    info = materialize(merged.select("node_id", "p", "known", (F.col("barrier") | (F.col("refs") > 1)).alias("tower")), "nodes")
     cut = (F.col("pos") == 0) | (F.col("pos") == F.col("n") - 1) | F.coalesce("tower", F.lit(False))
-    w = Window.partitionBy("way_id").orderBy("pos")
-    # cuts so far: a cut ends link c - 2 and begins link c - 1
-    counted = met.withColumn("cut", cut).withColumn("c", F.sum(F.col("cut").cast("int")).over(w))
-    begins = F.when(F.col("pos") < F.col("n") - 1, F.col("c") - 1)
-    ends = F.when(F.col("cut") & (F.col("pos") > 0), F.col("c") - 2)
-    spread = counted.withColumn("way_link_index", F.explode(F.array_distinct(F.array_compact(F.array(ends, begins)))))
-    known = spread.where("known")
-    links = known.groupBy("way_id", "way_link_index").agg(F.array_sort(F.collect_list(F.struct("pos", "node_id", "p"))).alias("s")).where("size(s) >= 2")
+    met = steps.join(info, "node_id", "left").select("way_id", F.struct("pos", "node_id", "p", F.coalesce("known", F.lit(False)).alias("known"), cut.alias("cut")).alias("e"))
+    whole = met.groupBy("way_id").agg(F.array_sort(F.collect_list("e")).alias("s"))
+    cuts = F.filter(F.transform("s", lambda e, i: F.when(e["cut"], i)), lambda i: i.isNotNull())
+    between = whole.withColumn("cuts", cuts).where(F.size("cuts") > 1)
+
+    def link(i: Column) -> Column:
+        first, last = F.get("cuts", i), F.get("cuts", i + 1)
+        return F.struct(i.alias("way_link_index"), F.filter(F.slice("s", first + 1, last - first + 1), lambda e: e["known"]).alias("s"))
+
+    links = between.select("way_id", F.explode(F.transform(F.sequence(F.lit(0), F.size("cuts") - 2), link)).alias("l")).select("way_id", "l.*").where("size(s) >= 2")
     line = F.transform("s", lambda e: e["p"])
     return links.select("way_id", "way_link_index", F.col("s")[0]["node_id"].alias("start_node_id"), F.element_at("s", -1)["node_id"].alias("end_node_id"), geo.great_circle_length(line).alias("meters"), line.alias("geometry"))
 

@@ -334,6 +334,28 @@ def crossing_lines(s, d):
     return match.intersects(long, long.withColumnRenamed("id", "other"), enr_id="other").where("id < other").select("id", "other")
 
 
+def _to(p: str, q: str) -> list[str]:
+    """SQL: distances of the ends of segment q to segment p, of columns ax, ay, bx, by_."""
+    out = []
+    for x, y in ((f"{q}.ax", f"{q}.ay"), (f"{q}.bx", f"{q}.by_")):
+        dx, dy = f"({p}.bx - {p}.ax)", f"({p}.by_ - {p}.ay)"
+        t = f"greatest(0, least(1, (({x} - {p}.ax) * {dx} + ({y} - {p}.ay) * {dy}) / ({dx} * {dx} + {dy} * {dy})))"
+        out.append(f"sqrt(pow({x} - ({p}.ax + {t} * {dx}), 2) + pow({y} - ({p}.ay + {t} * {dy}), 2))")
+    return out
+
+
+@query(f"""WITH {WAYS}, w AS ({_LONG}), p AS (SELECT a.id, b.id AS other, least({", ".join(_to("a", "b") + _to("b", "a"))}) AS d,
+    sign((a.bx-a.ax)*(b.ay-a.ay)-(a.by_-a.ay)*(b.ax-a.ax)) o1, sign((a.bx-a.ax)*(b.by_-a.ay)-(a.by_-a.ay)*(b.bx-a.ax)) o2, sign((b.bx-b.ax)*(a.ay-b.ay)-(b.by_-b.ay)*(a.ax-b.ax)) o3, sign((b.bx-b.ax)*(a.by_-b.ay)-(b.by_-b.ay)*(a.bx-b.ax)) o4
+    FROM w a, w b WHERE a.id % 2 = 0 AND b.id % 2 = 1), q AS (SELECT id, other, CASE WHEN o1 * o2 < 0 AND o3 * o4 < 0 THEN 0 ELSE d END AS d FROM p) SELECT id, other, round(d, 4) AS distance FROM q WHERE d <= 120""")
+def lines_within(s, d):
+    """M4: long segments within a distance of each other, by tables of their edges."""
+    w = fx.ways(s, d).where("x1 <> x2 or y1 <> y2")
+    step = lambda k: geo.point(F.col("x1") + (F.col("x2") - F.col("x1")) * k, F.col("y1") + (F.col("y2") - F.col("y1")) * k)
+    long = w.select("id", geo.line(*(step(k) for k in (0, 2, 4, 8, 16))).alias("geometry"))
+    even, odd = long.where("id % 2 = 0"), long.where("id % 2 = 1").withColumnRenamed("id", "other")
+    return match.lines_within(even, odd, 120.0, enr_id="other").select("id", "other", _r("distance"))
+
+
 _STARS = """stars AS (SELECT p_partkey // 200 AS area_id, p_partkey % 200 AS k, (p_partkey // 200) * 7919 % 18000 + 1000 AS cx, (p_partkey // 200) * 104729 % 18000 + 1000 AS cy, 300 + p_size * 13 % 700 AS r FROM part),
   corners AS (SELECT area_id, k, cx + round(r * cos(k * 0.0314)) AS x, cy + round(r * sin(k * 0.0314)) AS y, cx, cy FROM stars),
   edges AS (SELECT area_id, x AS ax, y AS ay, coalesce(lead(x) OVER w, first_value(x) OVER w) AS bx, coalesce(lead(y) OVER w, first_value(y) OVER w) AS by_, cx, cy FROM corners WINDOW w AS (PARTITION BY area_id ORDER BY k))"""

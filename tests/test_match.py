@@ -152,6 +152,18 @@ def test_levels_take_one_join(spark):
     assert plan[plan.index("== Physical") :].count("Join") == 1
 
 
+@pytest.mark.parametrize("limit", [0.0, 5.0, 400.0])
+def test_edges_within_equal_all_pairs(spark, limit):
+    a, b = lines(spark, 40, 21, 400), lines(spark, 40, 22, 150).withColumnRenamed("id", "sid")
+    spots = points(spark, 60, 23)
+    for enr, kind in ((b, "line"), (spots, "point")):
+        want = brute(a, enr, ("line", kind)).where(F.col("distance") <= limit)
+        got = match.lines_within(a, enr, limit, enr_id="sid")
+        assert {(r["id"], r["sid"]): pytest.approx(r["distance"], abs=1e-9) for r in want.collect()} == {(r["id"], r["sid"]): r["distance"] for r in got.collect()}
+    same = match.lines_within(a, a, limit).columns
+    assert same == ["id", "enr_id", "distance"]
+
+
 def test_ranges_equal_all_pairs(spark):
     rng = random.Random(6)
     spans = [0, 0.5, 3, 40, 5000]
