@@ -14,7 +14,6 @@ once whatever its count, so a phrase that a third of all rows repeat is no hot k
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -22,6 +21,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,29 +80,42 @@ class _Chunk:
         return len(ids)
 
     def phrases(self, longest: int, filters: list[np.ndarray], bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """For each length: (length, hashes, counts, first places) of its distinct phrases that the filters let through.
+        """For each length: (length, hashes, counts, a place of each) of its distinct phrases that the filters let through.
 
         A phrase is looked at only if both phrases of one word less passed. Phrases are told apart exactly, by the
         numbers of their words; hashes only name them to filters and partitions.
         """
         words = list(self.numbers)
-        seed = self.lang.encode()[:64]
-        word_hash = np.array([int.from_bytes(hashlib.blake2b(w, digest_size=8, key=seed).digest(), "little") for w in words], np.uint64)
-        own, hashes = self.ids, word_hash  # number and, by number, hash of the phrase that starts at a place
-        alive = own > 0
+        seed = zlib.crc32(self.lang.encode())
+        word_hash = np.array([xxhash.xxh3_64_intdigest(w, seed) for w in words], np.uint64)
+        counts = np.bincount(self.ids, minlength=len(words))
+        at = np.zeros(len(words), np.int64)
+        at[self.ids] = np.arange(len(self.ids))  # some place of each word
+        counts[0] = 0  # the breaks
+        found, starts, number = word_hash, np.arange(len(self.ids)), self.ids
         for n in range(1, longest + 1):
-            starts = np.flatnonzero(alive if n == 1 else alive[:-1] & alive[1:])
-            key = own[starts] if n == 1 else own[starts] * len(words) + self.ids[starts + n - 1]
-            _, first, number, counts = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-            at = starts[first]
-            last = word_hash[self.ids[at + n - 1]]
-            found = last if n == 1 else _mixed(hashes[own[at]] * np.uint64(3) + last)
-            good = passes(filters[n - 1], found, bits) if n <= len(filters) else np.ones(len(found), bool)
+            if n > 1:
+                both = alive[:-1] & alive[1:]
+                starts = np.flatnonzero(both)
+                key = own[starts] * len(words) + self.ids[starts + n - 1]
+                order = np.argsort(key)
+                ordered = key[order]
+                edges = np.flatnonzero(np.concatenate([ordered[:1] >= 0, ordered[1:] != ordered[:-1]]))
+                counts = np.diff(np.append(edges, len(ordered)))
+                at = starts[order[edges]]
+                found = _mixed(hashes[own[at]] * np.uint64(3) + word_hash[self.ids[at + n - 1]])
+                if n < longest:
+                    number = np.empty(len(order), np.int64)
+                    number[order] = np.repeat(np.arange(len(edges)), counts)
+            good = (passes(filters[n - 1], found, bits) if n <= len(filters) else np.ones(len(found), bool)) & (counts > 0)
             yield n, found[good], counts[good], at[good]
-            alive = np.zeros(max(0, len(alive) - (n > 1)), bool)
-            own = np.zeros(len(alive), np.int64)
+            if n == longest:
+                return
             kept = good[number]
-            alive[starts[kept]], own[starts[kept]], hashes = True, number[kept], found
+            alive, own, hashes = np.zeros(len(self.ids) - n + 1, bool), np.zeros(len(self.ids) - n + 1, np.int64), found
+            alive[starts[kept]], own[starts[kept]] = True, number[kept]
+            if n > len(self.ids) - 1:
+                return
 
     def seal(self) -> None:
         self.ids = np.concatenate(self.parts)

@@ -371,7 +371,11 @@ def _slices(values: list[bytes], limit: int = 1 << 20):
 
 
 def store_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, media binary): each whole text in UTF-8 as a JPEG file. A null text counts as empty: one block of zeros."""
+    """(id, media binary): each whole text in UTF-8 as a JPEG file. A null text counts as empty: one block of zeros.
+
+    Every row is stored on its own: rows and ids may repeat or be null, equal texts give equal files. Other columns are
+    ignored; an empty table gives no rows.
+    """
 
     def run(batches):
         for b in batches:

@@ -179,7 +179,11 @@ def fit_quality(documents: DataFrame, labels: DataFrame, max_learning_rows: int
 
 
 def score_quality(df: DataFrame, model: Ranking, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score, predicted) of each row's whole text; a null text scores as the empty one."""
+    """(id, score, predicted) of each row's whole text; a null text scores as the empty one.
+
+    Equal texts score alike, whatever their row; rows and ids may repeat or be null. A score at the cut (0.5) counts
+    as label 1. Other columns are ignored; an empty table gives no rows.
+    """
 
     def run(batches):
         for b in batches:

@@ -467,3 +467,12 @@ def test_quality_without_labels(spark, documents, empty, clashing):
     bad = spark.createDataFrame([(i, 0) for i in range(20)], "doc_id long, quality int")
     assert quality.keep_good(clashing, quality.fit_quality(documents, bad)).count() == 0
     assert quality.score_quality(clashing, model).count() == 5
+
+
+def test_media_odd_rows(clashing, empty):
+    rows = media.media_features(media.store_media(clashing), payload=True).collect()
+    assert sorted(str(r["doc_id"]) for r in rows) == ["3", "7", "7", "7", "None"]
+    assert sorted(r["n_bytes"] for r in rows) == [0, 24, 24, 24, 24]
+    assert len({tuple(r)[1:] for r in rows}) == 2  # equal texts, equal values
+    assert media.store_media(empty).collect() == []
+    assert media.media_features(media.store_media(empty), payload=True).collect() == []
