@@ -7,13 +7,16 @@ takes the ``k`` of least estimated cost: entries scanned plus candidates verifie
 
 1. Every task hashes the shingles of its documents in numpy and deals them, as packed arrays, by hash range.
    A task of such a range sees all occurrences and returns only shingles of two or more different sets. One
-   that occurs in a single set can match nothing: it counts as the rarest and never travels again.
+   that occurs in a single set can match nothing: it counts as the rarest and never travels again. Shingles that
+   are frequent in a batch, or in the whole table by an exact count over one set in 4,096, need no such range:
+   they are shared for sure and count as the most frequent. So no range grows with the table.
 2. Sets of which too few shingles are shared for any link drop out; the rest get their ordered shingles.
 3. Star links: sets with the same smallest (largest) shared shingle are compared with one hub, the set with
    the fewest shingles of its own. Groups of near copies thus become connected by a number of links in
    proportion to their size.
 4. The prefix join looks only for links between different components of step 3, of which the largest on a
-   shingle is not joined with itself; all of those are found, so no link that joins components is lost.
+   shingle is not joined with itself; all of those are found, so no link that joins components is lost. Only
+   sets of sizes that can match meet: the join's key is the shingle and a cell of the size's logarithm.
 
 Equal sets are one node from the start, named by a 64-bit hash of the set; a shingle keeps 48 bits of its hash and
 those of its range. Two of m different sets share a name with odds of about m * m / 2 ** 65.
@@ -21,6 +24,8 @@ those of its range. Two of m different sets share a name with odds of about m *
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,6 +46,10 @@ _SET = np.dtype([("name", "<i8"), ("n", "<i4")])
 _RANGE_BYTES = 24 << 20
 #: Occurrences in one batch from which a shingle is frequent: its sets are then not sent to a hash range.
 _FREQUENT = 64
+#: One set in ``_SHARE`` (by its name) is counted to find the shingles that are frequent in the whole table: those of
+#: ``_SEEN`` counted sets, so of about 2 ** 20, or of more where there would be over ``_MOST`` of them. One of twice as many
+#: sets is missed with odds of e ** -64. Which shingles count as frequent changes no result.
+_SHARE, _SEEN, _MOST = 4096, 256, 1 << 22
 _LAST = (1 << 31) - 1
 
 
@@ -121,26 +130,59 @@ def _batch(texts: list[bytes], words: int):
     return sets, names, once, hashes[order], owner[order]
 
 
-def _frequent(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(mask of occurrences of frequent shingles, those shingles)."""
+def _frequent(hashes: np.ndarray, hot: np.ndarray, kept: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """(mask of occurrences of frequent shingles, those that only this batch knows as such).
+
+    hot: sorted shingles, as ``kept`` bits, that every batch knows.
+    """
     edges = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
     counts = np.diff(np.concatenate([edges, [len(hashes)]]))
-    return np.repeat(counts > _FREQUENT, counts), hashes[edges[counts > _FREQUENT]]
+    often, known = counts > _FREQUENT, np.zeros(len(edges), bool)
+    if len(hot):
+        low = hashes[edges] & kept
+        known = hot[np.minimum(np.searchsorted(hot, low), len(hot) - 1)] == low
+    return np.repeat(often | known, counts), hashes[edges[often & ~known]]
 
 
 def text_sets(df: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, name): a row a document."""
+    """(id, n, name, counted array<long>): a row a document.
+
+    ``counted``: the shingles of one set in ``_SHARE``, once a task; else null.
+    """
+    share = _SHARE
 
     def run(batches):
+        seen: set[int] = set()
         for b in batches:
             texts = b.column(1).to_pylist()
             for a, z in _parts(texts):
                 sets = shingle_sets(texts[a:z], words)
-                columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array([set_name(s) for s in sets], pa.int64())]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), *columns], names=["id", "n", "name"])
+                names = [set_name(s) for s in sets]
+                counted = []
+                for s, name in zip(sets, names, strict=True):
+                    first = len(s) > 0 and name % share == 0 and name not in seen
+                    if first:
+                        seen.add(name)
+                    counted.append(s.view(np.int64) if first else None)
+                columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.array(counted, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), *columns], names=["id", "n", "name", "counted"])
 
     source = df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
-    return source.mapInArrow(run, f"id {df.schema[id_col].dataType.simpleString()}, n long, name long")
+    return source.mapInArrow(run, f"id {df.schema[id_col].dataType.simpleString()}, n long, name long, counted array<long>")
+
+
+def kept_bits(bits: int) -> np.uint64:
+    """The bits that name a shingle: 48 low ones and those of the range, so they grow with the cluster."""
+    return _U((1 << 48) - 1 | ((1 << bits) - 1) << (64 - bits))
+
+
+def hot_shingles(documents: DataFrame, bits: int) -> np.ndarray:
+    """The sorted ``kept_bits`` of shingles that are frequent in the whole table: at most ``_MOST``, so 32 MB."""
+    counted = materialize(documents.where(F.col("counted").isNotNull()).dropDuplicates(["name"]).select("counted"), "counted")
+    least = max(_SEEN, -(-(counted.agg(F.sum(F.size("counted"))).first()[0] or 0) // _MOST))
+    shingle = F.col("hash").bitwiseAND(F.lit(int(kept_bits(bits).astype(np.int64))))
+    counts = counted.select(F.explode("counted").alias("hash")).groupBy(shingle.alias("hash")).count()
+    return np.sort(np.array([r["hash"] for r in counts.where(F.col("count") >= least).collect()], np.int64).view(_U))
 
 
 def range_bits(spark, shingles: int) -> int:
@@ -148,16 +190,16 @@ def range_bits(spark, shingles: int) -> int:
     return max(4, (partitions(spark) - 1).bit_length(), (-(-8 * shingles // _RANGE_BYTES)).bit_length())
 
 
-def shared_shingles(df: DataFrame, words: int, text_col: str, bits: int) -> DataFrame:
+def shared_shingles(df: DataFrame, words: int, text_col: str, bits: int, hot: np.ndarray) -> DataFrame:
     """(name, n, hash, df, frequent array<long>): the shingles that two or more different sets have.
 
     A row is one shingle with its df, or all those that the set's own batch found frequent and did not send to their
     hash ranges; they go to ranges of set names. Both come from one pass: what is left out here is named here.
-    df counts the sets; it is the largest number where a batch found the shingle frequent. There are 2 ** bits ranges.
+    df counts the sets; it is the largest number where a batch found the shingle frequent or it is one of ``hot``.
+    There are 2 ** bits ranges.
     """
     shift = _U(64 - bits)
-    # 48 low bits and the bits of the range: a shingle keeps 48 + log2(ranges) bits, so they grow with the cluster
-    kept = _U((1 << 48) - 1 | ((1 << bits) - 1) << (64 - bits))
+    kept = kept_bits(bits)
 
     def owners(local: np.ndarray, used: np.ndarray) -> bytes:
         return local.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32).tobytes()
@@ -169,7 +211,7 @@ def shared_shingles(df: DataFrame, words: int, text_col: str, bits: int) -> Data
                 sets, names, once, hashes, owner = _batch(texts[a:z], words)
                 if not once:
                     continue
-                mask, frequent = _frequent(hashes)
+                mask, frequent = _frequent(hashes, hot, kept)
                 unsent, unsent_owner = hashes[mask] & kept, owner[mask]
                 hashes, owner = hashes[~mask], owner[~mask]
                 heads = np.arange(1 << bits, dtype=_U) << shift
@@ -298,15 +340,19 @@ def star_pairs(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def prefix_pairs(sets: DataFrame, components: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of different components that share as many prefix shingles as both ask for and may be long enough."""
+    """(a, b) of different components that share as many prefix shingles as both ask for and may be long enough.
+
+    Sizes of a pair differ by a factor of 100 / percent at most, so their cells of the logarithm by one at most.
+    """
+    cell = F.floor(F.log("n") / (max(math.log(100 / percent), 1e-9) * (1 + 1e-9)))
     sizes = components.groupBy("component").agg(F.count("*").alias("members"))
     placed = sets.select("name", "n", "m", "k", "prefix").join(components.join(sizes, "component").withColumnRenamed("node", "name"), "name", "left")
     placed = placed.select("name", "n", "m", "k", F.posexplode("prefix").alias("at", "hash"), F.coalesce("component", "name").alias("component"), F.coalesce("members", F.lit(1)).alias("members"))
     spots = placed.groupBy("hash").agg(F.max_by("component", F.struct("members", "component")).alias("top"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     met = placed.join(spots.select("hash", "top"), "hash").join(sets.select("name", "prefix"), "name")
     own = ("name", "n", "m", "k", "at", "component", "prefix")
-    one = met.where("component <> top").select("hash", *(F.col(c).alias(f"{c}_a") for c in own))
-    two = met.select("hash", "top", *(F.col(c).alias(f"{c}_b") for c in own))
+    one = met.where("component <> top").select("hash", F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"), *(F.col(c).alias(f"{c}_a") for c in own))
+    two = met.select("hash", cell.alias("cell"), "top", *(F.col(c).alias(f"{c}_b") for c in own))
     # of the shingles before this one the farther one has some that the other lacks
     ahead = F.col("at_a") - F.col("at_b")
     most = F.least(F.col("m_a") - F.greatest(ahead, F.lit(0)), F.col("m_b") - F.greatest(-ahead, F.lit(0)))
@@ -315,7 +361,7 @@ def prefix_pairs(sets: DataFrame, components: DataFrame, percent: int) -> DataFr
     common = F.array_intersect("prefix_a", "prefix_b")
     matches = (common[0] == F.col("hash")) & (F.size(common) >= F.least("k_a", "k_b"))
     fits = (F.col("component_a") != F.col("component_b")) & ((F.col("component_b") == F.col("top")) | (F.col("name_a") < F.col("name_b"))) & enough & matches
-    return one.join(two, "hash").where(fits).select(F.least("name_a", "name_b").alias("a"), F.greatest("name_a", "name_b").alias("b"))
+    return one.join(two, ["hash", "cell"]).where(fits).select(F.least("name_a", "name_b").alias("a"), F.greatest("name_a", "name_b").alias("b"))
 
 
 def jaccard_components(df: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -329,7 +375,8 @@ def jaccard_components(df: DataFrame, words: int = 4, percent: int = 85, id_col:
     """
     documents = materialize(text_sets(df, words, id_col, text_col), "sets")
     bits = range_bits(df.sparkSession, documents.agg(F.sum("n")).first()[0] or 0)
-    sets = materialize(prefixes(shared_shingles(df, words, text_col, bits), percent), "prefixes")
+    hot = hot_shingles(documents, bits)
+    sets = materialize(prefixes(shared_shingles(df, words, text_col, bits, hot), percent), "prefixes")
     star = materialize(verified(star_pairs(sets, percent), sets, percent), "star")
     first = connected_components(star)
     rest = materialize(verified(prefix_pairs(sets, first, percent), sets, percent), "rest")

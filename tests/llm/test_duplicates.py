@@ -163,3 +163,46 @@ def test_jaccard_batches_cut_by_bytes(spark, limit):
     finally:
         spark.conf.set(key, old)
     assert [got[i] for i in range(len(texts))] == brute(texts, 4, 85)
+
+
+def test_jaccard_shingle_in_every_part(spark, monkeypatch):
+    """A passage that a few texts of every part hold: no batch finds it frequent, the count over the table does."""
+    rng = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(12))
+    own = [" ".join(f"o{rng.randrange(10**6)}" for _ in range(30)) for _ in range(400)]
+    texts = [f"{t} {passage}" for t in own] + [f"{t} more {passage}" for t in own[:150]] + [f"{passage} {passage} e{i % 7}" for i in range(90)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(12)
+    most = {}
+    for seen in (40, 10**6):
+        monkeypatch.setattr(jaccard, "_SHARE", 1)
+        monkeypatch.setattr(jaccard, "_SEEN", seen)
+        documents = jaccard.text_sets(df, 4, "doc_id", "text")
+        shared = jaccard.shared_shingles(df, 4, "text", 4, jaccard.hot_shingles(documents, 4))
+        most[seen] = shared.where("hash IS NOT NULL").groupBy("hash").count().agg({"count": "max"}).first()[0]
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(df).collect()}
+        assert [got[i] for i in range(len(texts))] == brute(texts, 4, 85)
+    assert most[40] < 40 < 500 < most[10**6]
+
+
+def test_jaccard_hot_list_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "_SEEN", 2)
+    monkeypatch.setattr(jaccard, "_MOST", 8)
+    rows = [(k, [k, *range(100, 140)]) for k in range(10)] + [(0, [0, *range(100, 140)])] * 50 + [(99, None)]
+    documents = spark.createDataFrame(rows, "name long, counted array<long>")
+    assert len(jaccard.hot_shingles(documents, 8)) == 0  # 40 shingles of 10 sets each: more than 8 of them can't be held
+    monkeypatch.setattr(jaccard, "_MOST", 64)
+    assert jaccard.hot_shingles(documents, 8).tolist() == list(range(100, 140))
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 100])
+def test_prefix_pairs_of_all_sizes(spark, percent):
+    """Sets that contain each other, so sizes alone decide, also at the very threshold; the join finds every pair."""
+    texts = [" ".join(f"w{i}" for i in range(n)) for n in range(1, 61)] + [" ".join(f"w{i}" for i in range(n)) + " x" for n in range(1, 41, 3)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    documents = jaccard.text_sets(df, 1, "doc_id", "text")
+    sets = jaccard.prefixes(jaccard.shared_shingles(df, 1, "text", 4, jaccard.hot_shingles(documents, 4)), percent)
+    none = spark.createDataFrame([], "node long, component long")
+    ids = {r["name"]: r["doc_id"] for r in documents.withColumnRenamed("id", "doc_id").collect()}
+    got = {tuple(sorted((ids[r["a"]], ids[r["b"]]))) for r in jaccard.verified(jaccard.prefix_pairs(sets, none, percent), sets, percent).collect()}
+    words = [set(t.split()) for t in texts]
+    assert got == {(i, j) for j, b in enumerate(words) for i, a in enumerate(words[:j]) if 100 * len(a & b) >= percent * len(a | b)}
