@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from .common import id_remainder, materialize, text_bytes
 
 _LONGEST_HEAD_WORD = 64
+#: States that scoring puts through the softmax over classes at once, so that they stay in the processor's cache.
+_BLOCK = 2048
 
 
 @dataclass(frozen=True)
@@ -95,10 +97,18 @@ class Network:
             if fresh is not None and fresh[t].any():
                 old = np.where(fresh[t][:, None], np.float32(0), old)
             u = old @ wh
-            g = 1 / (1 + np.exp(-(a[:, : 2 * n] + u[:, : 2 * n])))
+            g = a[:, : 2 * n] + u[:, : 2 * n]
+            np.negative(g, out=g)
+            np.exp(g, out=g)
+            g += 1
+            np.reciprocal(g, out=g)
             z, r = g[:, :n], g[:, n:]
-            c = np.tanh(a[:, 2 * n :] + r * u[:, 2 * n :])
-            new = c + z * (old - c)
+            c = r * u[:, 2 * n :]
+            c += a[:, 2 * n :]
+            np.tanh(c, out=c)
+            new = old - c
+            new *= z
+            new += c
             if keep is not None:
                 keep.append((old, u[:, 2 * n :], z, r, c))
             out[t, :k] = new
@@ -113,21 +123,28 @@ class Network:
         k = self.class_of[y]
         order = np.argsort(k.astype(np.int16) if len(self.bounds) < 1 << 15 else k, kind="stable")
         h, y, k = h[order], y[order], k[order]
-        logits = h @ p["c"] + p["cb"]
-        if steep:
-            np.clip(logits, -60, 60, out=logits)
+        ones = np.ones(len(self.bounds) - 1, np.float32)
         rows = np.arange(len(y))
-        out = logits[rows, k]
-        e = np.exp(logits, out=logits)
-        s = e.sum(1)
-        out -= np.log(s)
-        dh = None
-        if grads is not None:
-            e /= s[:, None]
-            e[rows, k] -= 1
-            grads["c"] += h.T @ e
-            grads["cb"] += e.sum(0)
-            dh = e @ p["c"].T
+        kind = np.result_type(h, p["c"])
+        out = np.empty(len(y), kind)
+        dh = None if grads is None else np.empty(h.shape, kind)
+        size = _BLOCK if grads is None else max(1, len(y))
+        for i in range(0, len(y), size):
+            hb, kb, line = h[i : i + size], k[i : i + size], rows[: min(size, len(y) - i)]
+            e = hb @ p["c"]
+            e += p["cb"]
+            if steep:
+                np.clip(e, -60, 60, out=e)
+            own = e[line, kb]
+            np.exp(e, out=e)
+            s = e @ ones
+            np.subtract(own, np.log(s), out=out[i : i + size])
+            if grads is not None:
+                e *= (1 / s)[:, None]
+                e[line, kb] -= 1
+                grads["c"] += hb.T @ e
+                grads["cb"] += e.sum(0)
+                np.matmul(e, p["c"].T, out=dh[i : i + size])
         cut = np.searchsorted(k, np.arange(len(self.bounds)))
         place = y - self.bounds[k]
         for c in np.flatnonzero(np.diff(cut)).tolist():
@@ -143,10 +160,10 @@ class Network:
             own, line = place[i:j], rows[: j - i]
             out[i:j] += scores[line, own]
             e = np.exp(scores, out=scores)
-            s = e.sum(1)
+            s = e @ np.ones(b - a, np.float32)
             out[i:j] -= np.log(s)
             if grads is not None:
-                e /= s[:, None]
+                e *= (1 / s)[:, None]
                 e[line, own] -= 1
                 grads["o"][a:b] += e.T @ hc
                 grads["ob"][a:b] += e.sum(0)
@@ -241,18 +258,18 @@ def score_texts(net: Network, texts: list[np.ndarray], window: int = 32) -> np.n
     lengths = np.array([len(texts[i]) for i in order], np.int64)
     out = np.zeros(len(texts))
     h = np.zeros((len(texts), net.shape.hidden), np.float32)
+    flat = np.concatenate([texts[i] for i in order]) if len(texts) else np.zeros(0, np.int32)
+    begins = np.cumsum(lengths) - lengths
     at = 0
     while at < (lengths[0] if len(lengths) else 0):
         rows = int(np.searchsorted(-lengths, -at, "left"))  # longer than ``at``
         steps = int(min(window, lengths[0] - at))
         alive = np.searchsorted(-lengths, -(at + np.arange(steps)), "left")
-        y = np.zeros((steps, rows), np.int32)
-        x = np.zeros((steps, rows), np.int32)
-        for j in range(rows):
-            t = texts[order[j]]
-            part = t[at : at + steps]
-            y[: len(part), j] = part
-            x[: len(part), j] = t[at - 1 : at - 1 + len(part)] if at else np.concatenate([[0], part[:-1]])
+        spots = begins[:rows] + at + np.arange(steps)[:, None]  # those past a text's end are left out below
+        y = flat[np.minimum(spots, len(flat) - 1)]
+        x = flat[np.clip(spots - 1, 0, len(flat) - 1)]
+        if not at:
+            x[0] = 0
         hs, last = net.states(x, h[:rows], alive)
         h = last
         inside = np.arange(rows) < alive[:, None]
