@@ -306,3 +306,15 @@ def test_presets_and_guards(spark):
     target = spark.createDataFrame([(0, -1), (99, 5)], "way_id long, sid long")
     rows = presets.map_preset("knn", a, b, enr_id="sid", project={"way_id": "id", "sid": "sid"})
     assert presets.store_mapping(target, rows, {"type": "nearest", "k": 1}, None).count() == 21
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_limited_within_makes_no_pairs_of_cells(spark):
+    a, b = lines(spark, 40, 31), points(spark, 300, 32)
+    got = match.within(a, b, 60, limit=2, enr_id="sid")
+    assert "__cell" not in plan_of(got) and "__leaf" in plan_of(got)
+    want = match.top_k(brute(a, b, ("line", "point")).where("distance <= 60"), "id", [F.col("distance"), F.col("sid")], 2)
+    assert pairs(got, "id", "sid") == pairs(want, "id", "sid")
