@@ -318,3 +318,24 @@ def test_limited_within_makes_no_pairs_of_cells(spark):
     assert "__cell" not in plan_of(got) and "__leaf" in plan_of(got)
     want = match.top_k(brute(a, b, ("line", "point")).where("distance <= 60"), "id", [F.col("distance"), F.col("sid")], 2)
     assert pairs(got, "id", "sid") == pairs(want, "id", "sid")
+
+
+def test_leaves_of_large_tables_stay_small():
+    for rows in (1_200_000, 7_200_000):
+        assert rows / density.wanted_leaves(rows) <= 18
+    assert density.wanted_leaves(1000) == 500 and density.wanted_leaves(1) == 1
+
+
+def test_rows_dealt_to_leaves_or_cells_are_not_broadcast(spark):
+    a, b = lines(spark, 40, 33), points(spark, 300, 34)
+    nearest = match.nearest(a, b, 2, enr_id="sid", small_rows=0)
+    boxes = match.intersects(a, lines(spark, 40, 35).withColumnRenamed("id", "sid"), enr_id="sid")
+    for df in (nearest, boxes):
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cuts_in_two_steps_are_even(spark):
+    keys = spark.range(50_000).selectExpr("id * id as key")
+    starts = density._cuts(keys, 900)
+    sizes = np.diff(np.append(np.searchsorted(np.arange(50_000, dtype=np.int64) ** 2, starts), 50_000))
+    assert 850 <= len(starts) <= 1000 and sizes.max() <= 120
