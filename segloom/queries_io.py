@@ -203,9 +203,9 @@ def with_geometry(s, d):
 
 @query(f"WITH {WAYS}, {SITES} SELECT id, site_id, round({apart()}, 4) AS distance FROM ways, sites WHERE x BETWEEN x1 - 200 AND x1 + 200 AND y BETWEEN y1 - 200 AND y1 + 200 AND grp = id % 25")
 def custom_predicate(s, d):
-    """M5: a predicate of the user's own; the equality in it is the join's key."""
+    """M5: a predicate of the user's own; its box lies within 283 m, so the grid finds the pairs, and its equality is a key, too."""
     test = "grp = id % 25 AND x BETWEEN x1 - 200 AND x1 + 200 AND y BETWEEN y1 - 200 AND y1 + 200"
-    return match.within(fx.ways(s, d), fx.sites(s, d), 0, predicate=test, enr_id="site_id").select("id", "site_id", _r("distance"))
+    return match.within(fx.ways(s, d), fx.sites(s, d), 283, predicate=test, enr_id="site_id", bounded=True).select("id", "site_id", _r("distance"))
 
 
 @query(f"WITH {WAYS}, {SITES} SELECT id, site_id, round({apart()}, 4) AS distance FROM ways, sites WHERE {apart()} <= 300 AND value > x1 - 5000")
