@@ -76,7 +76,7 @@ def map_to_base(
     if kind == "nearest":
         pairs = m.nearest(base, enr, match.get("k", 1), match.get("order_by"), distance=distance_alias, bound=match.get("bound"), small_rows=match.get("small_rows", m.SMALL_ROWS), **spatial)
     elif kind == "within":
-        pairs = m.within(base, enr, match.get("distance", 500), match.get("predicate"), match.get("keep_unmatched", False), match.get("limit"), distance=distance_alias, bounded=match.get("bounded", False), **spatial)
+        pairs = m.within(base, enr, match.get("distance", 500), match.get("predicate"), match.get("keep_unmatched", False), match.get("limit"), distance=distance_alias, bounded=match.get("bounded", False), homes=how == "agg", **spatial)
     elif kind == "intersects":
         pairs = m.intersects(base, enr, match.get("predicate"), match.get("keep_unmatched", False), match.get("cell"), **spatial)
     elif kind == "key":
@@ -84,7 +84,8 @@ def map_to_base(
     else:
         raise ValueError(f"unknown match {kind}")
     if how == "agg":
-        out = r.reduce_agg(pairs, base_id, reduce["aggs"])
+        home = [c for c in m.HOME if c in pairs.columns]
+        out = r.reduce_agg(pairs, [*home, base_id], reduce["aggs"]).drop(*home)
     elif how == "idw":
         options = {k: v for k, v in reduce.items() if k in ("power", "epsilon")}
         if reduce.get("arrays"):

@@ -339,3 +339,15 @@ def test_cuts_in_two_steps_are_even(spark):
     starts = density._cuts(keys, 900)
     sizes = np.diff(np.append(np.searchsorted(np.arange(50_000, dtype=np.int64) ** 2, starts), 50_000))
     assert 850 <= len(starts) <= 1000 and sizes.max() <= 120
+
+
+@pytest.mark.parametrize("reach", [0, 60])
+def test_unmatched_are_kept_and_grouped_without_shuffling_pairs(spark, reach):
+    a, b = lines(spark, 60, 41, reach), points(spark, 120, 42)
+    a = a.where("size(geometry) <= 2 or geometry is null") if reach == 0 else a
+    near = brute(a, b, ("line", "point")).where("distance <= 45").groupBy("id").agg(F.count("*").alias("n"))
+    want = a.join(near, "id", "left").select("id", F.coalesce("n", F.lit(0)).alias("n"))
+    got = presets.map_preset("aggregate_within_distance", a, b, {"distance": 45}, {"aggs": {"n": F.count("sid")}}, enr_id="sid")
+    assert got.columns == ["id", "n"] and pairs(got, "id", "n") == pairs(want, "id", "n")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("SortMergeJoin")[0]  # nothing is shuffled after the join
