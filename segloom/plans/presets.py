@@ -57,8 +57,8 @@ def map_to_base(
     """M10. Enrichment rows mapped to base segments.
 
     match: ``type`` nearest (k, order_by, bound, small_rows), within (distance, predicate, bounded, keep_unmatched, limit),
-    intersects (predicate, keep_unmatched, cell) or key (base_col, enr_col, how, columns). reduce: ``type`` none, agg (aggs: name to aggregate) or
-    idw (values or arrays, power, epsilon, skip_null_weights; nearest only). Both filters apply before the join, so
+    intersects (predicate, keep_unmatched, cell) or key (base_col, enr_col, how, columns). reduce: ``type`` none, agg (aggs: name to aggregate),
+    lists (columns, order, keep: arrays of the points within the distance, one row a segment; within only) or idw (values or arrays, power, epsilon, skip_null_weights; nearest only). Both filters apply before the join, so
     an outer join still keeps base rows. project: name to expression. Without an enrichment, staging takes
     its place (M17).
     """
@@ -73,7 +73,11 @@ def map_to_base(
         raise ValueError("inverse distance weighting needs a nearest match")
     if how == "idw" and bool(reduce.get("values")) == bool(reduce.get("arrays")):
         raise ValueError("inverse distance weighting takes value columns or array columns, not both")
-    if kind == "nearest":
+    if how == "lists" and (kind != "within" or match.get("predicate") is not None or match.get("limit") is not None):
+        raise ValueError("lists need a match within a distance alone")
+    if how == "lists":
+        pairs = m.lists_within(base, enr, match.get("distance", 500), reduce["columns"], reduce.get("order", reduce["columns"]), reduce.get("keep"), distance=distance_alias, **spatial)
+    elif kind == "nearest":
         pairs = m.nearest(base, enr, match.get("k", 1), match.get("order_by"), distance=distance_alias, bound=match.get("bound"), small_rows=match.get("small_rows", m.SMALL_ROWS), **spatial)
     elif kind == "within":
         pairs = m.within(base, enr, match.get("distance", 500), match.get("predicate"), match.get("keep_unmatched", False), match.get("limit"), distance=distance_alias, bounded=match.get("bounded", False), homes=how == "agg", **spatial)
@@ -92,7 +96,7 @@ def map_to_base(
             out = r.idw_arrays(pairs, base_id, reduce["arrays"], distance=distance_alias, **options)
         else:
             out = r.idw(pairs, base_id, reduce["values"], skip_null_weights=reduce.get("skip_null_weights", False), distance=distance_alias, **options)
-    elif how == "none":
+    elif how in ("none", "lists"):
         out = pairs
     else:
         raise ValueError(f"unknown reduce {how}")
@@ -114,7 +118,7 @@ def map_preset(preset: str, base: DataFrame, enrichment: DataFrame, match: dict
 def one_row_per_base(match: dict, reduce: dict | None) -> bool:
     """M18. Whether a mapping has at most one row a segment."""
     how = (reduce or {}).get("type", "none")
-    return how in ("agg", "idw") or (match["type"] == "nearest" and match.get("k", 1) == 1)
+    return how in ("agg", "idw", "lists") or (match["type"] == "nearest" and match.get("k", 1) == 1)
 
 
 def store_mapping(target: DataFrame, rows: DataFrame, match: dict, reduce: dict | None, map_id: str = "way_id") -> DataFrame:
