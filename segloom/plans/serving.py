@@ -47,8 +47,13 @@ def view_hourly_array(base: DataFrame, mapping: DataFrame, enrichment: DataFrame
     return joined.select(*KEYS, F.coalesce(out, F.array_repeat(F.lit(missing), 24)).alias(out))
 
 
-def view_json_count(base: DataFrame, mapping: DataFrame, column: str, count: str) -> DataFrame:
-    """V5. A JSON list, ``[]`` where nothing is mapped, and its length."""
+def view_json_count(base: DataFrame | None, mapping: DataFrame, column: str, count: str) -> DataFrame:
+    """V5. A JSON list, ``[]`` where nothing is mapped, and its length.
+
+    Without a base the mapping has a row for every segment, with its keys and an array in place of the list; it isn't shuffled.
+    """
+    if base is None:
+        return mapping.select(*KEYS, F.to_json(column).alias(column), F.size(column).alias(count))
     return _left(base, mapping.select("way_id", column)).select(*KEYS, F.coalesce(column, F.lit("[]")).alias(column), F.coalesce(F.json_array_length(column), F.lit(0)).alias(count))
 
 
