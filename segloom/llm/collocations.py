@@ -7,6 +7,8 @@ every frequent phrase keeps a counter. A counter falls short by no more than the
 reach the threshold with that is dropped. What survives is a bit in a filter of fixed size, which prunes the next length: a phrase
 is frequent only if both phrases of one word less are. A last pass over the texts counts what the filters let through
 exactly, by its text, and keeps the frequent ones; neither a false survivor nor a shared hash can change a result.
+There a task adds up its chunks before it hands over, so a phrase leaves it once and not once a chunk, and what it
+hands to a partition travels as lists, not as a row a phrase.
 
 The number of hash partitions follows the text's bytes, so a partition's summary stays small. A chunk sends a phrase
 once whatever its count, so a phrase that a third of all rows repeat is no hot key.
@@ -21,6 +23,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +39,8 @@ CHUNK_WORDS, PARTITION_BYTES = 2_000_000, 8 << 20
 #: Times the least capacity that a summary has: more counters, fewer taken off, so fewer phrases survive by chance.
 SLACK = 4
 _ROWS = 50_000
+#: Phrases that a task of the exact count holds before it hands over, and phrases behind one of its partitions.
+HELD, PARTITION_PHRASES = 1 << 20, 50_000
 
 
 def words_and_breaks(text: bytes) -> list[bytes]:
@@ -148,6 +153,80 @@ def _chunks(batches, chunk_words: int) -> Iterator[_Chunk]:
         yield c
 
 
+def _packed(hashes: np.ndarray) -> bytes:
+    """The upper 48 bits of each hash; phrases that share them are told apart by the exact count only."""
+    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel().astype(np.uint64, copy=False)
+
+
+def _sums(tables: list[pa.Table]) -> pa.Table:
+    """(phrase, a) with the counts of equal phrases added up."""
+    if len(tables) == 1:
+        return tables[0]
+    return pa.TableGroupBy(pa.concat_tables(tables), "phrase", use_threads=False).aggregate([("a", "sum")]).rename_columns({"a_sum": "a"}).select(["phrase", "a"])
+
+
+def counted(chunks, longest: int, filters: list[np.ndarray], bits: int, parts: int, held: int = HELD) -> Iterator[pa.RecordBatch]:
+    """(part, lang, words, phrases, counts): counts of the phrases that the filters let through, and all words as the phrase of none.
+
+    Chunks are added up; more than ``held`` different phrases are handed over and begun anew. A row lists the phrases
+    of one length for one of ``parts`` partitions, dealt by a hash of their text: joined by line ends, which no word
+    holds, beside 64-bit numbers.
+    """
+    kept: dict[tuple[str, int], pa.Table] = {}
+
+    def out():
+        for (lang, n), t in kept.items():
+            phrases, counts = t.column("phrase").to_pylist(), t.column("a").to_numpy()
+            part = np.fromiter(map(xxhash.xxh3_64_intdigest, phrases), np.uint64, len(phrases)) % np.uint64(parts)
+            order = np.argsort(part, kind="stable")
+            cuts = np.flatnonzero(np.diff(part[order], prepend=part[order[:1]])).tolist()
+            for i, j in zip([0, *cuts], [*cuts, len(order)], strict=True):
+                for k in range(i, j, _ROWS):
+                    some = order[k : min(k + _ROWS, j)]
+                    columns = [[int(part[some[0]])], [lang], [n], [b"\n".join([phrases[x] for x in some.tolist()])], [counts[some].tobytes()]]
+                    yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, (pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["part", "lang", "words", "phrases", "counts"])
+        kept.clear()
+
+    for chunk in chunks:
+        words = list(chunk.numbers)
+        found = [(0, [pa.table({"phrase": pa.array([b""]), "a": pa.array([int((chunk.ids > 0).sum())])})])]
+        for n, _, counts, places in chunk.phrases(longest, filters, bits):
+            tables = []
+            for i in range(0, len(places), _ROWS):
+                columns = [[words[w] for w in chunk.ids[places[i : i + _ROWS] + k]] for k in range(n)]
+                tables.append(pa.table({"phrase": pa.array(map(b" ".join, zip(*columns, strict=True)), pa.binary()), "a": pa.array(counts[i : i + _ROWS], pa.int64())}))
+            found.append((n, tables))
+        for n, tables in found:
+            if tables:
+                before = [kept[chunk.lang, n]] if (chunk.lang, n) in kept else []
+                kept[chunk.lang, n] = _sums(before + tables) if before else pa.concat_tables(tables)
+        if sum(t.num_rows for t in kept.values()) > held:
+            yield from out()
+    yield from out()
+
+
+def added_up(batches, least: int) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, words, a) from the lists of ``counted``: sums of ``least`` or more, and those of the phrase of none."""
+    kept: dict[tuple[str, int], list[pa.Table]] = defaultdict(list)
+    for b in batches:
+        for lang, n, phrases, counts in zip(*(b.column(i).to_pylist() for i in range(1, 5)), strict=True):
+            tables = kept[lang, n]
+            tables.append(pa.table({"phrase": pa.array(phrases.split(b"\n"), pa.binary()), "a": pa.array(np.frombuffer(counts, np.int64))}))
+            if sum(t.num_rows for t in tables[1:]) > max(tables[0].num_rows, _ROWS):
+                tables[:] = [_sums(tables)]
+    for (lang, n), tables in kept.items():
+        t = _sums(tables)
+        t = t.filter(pc.greater_equal(t.column("a"), least)) if n else t
+        for b in t.to_batches(max_chunksize=_ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(b)), b.column(0).cast(pa.string()), pa.array([n] * len(b), pa.int32()), b.column(1)], names=["lang", "phrase", "words", "a"])
+
+
 def _opened(filters: list) -> list[np.ndarray]:
     return [np.frombuffer(zlib.decompress(f.value), np.uint8) for f in filters]
 
@@ -166,7 +245,7 @@ def _survivors(texts: DataFrame, n: int, filters: list, least: int, bits: int, p
                 part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
                 present, at = np.unique(part, return_index=True)
                 pieces = list(zip(at, [*at[1:], len(part)], strict=True))
-                rows = [present, [hashes[i:j].tobytes() for i, j in pieces], [counts[i:j].tobytes() for i, j in pieces]]
+                rows = [present, [_packed(hashes[i:j]) for i, j in pieces], [counts[i:j].tobytes() for i, j in pieces]]
                 yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["part", "hashes", "counts"])
 
     def merge(table: pa.Table) -> pa.Table:
@@ -174,7 +253,7 @@ def _survivors(texts: DataFrame, n: int, filters: list, least: int, bits: int, p
         summary = Summary(SLACK * sum(int(c.sum()) for c in counts) // least + 1)
         room, waiting = 2 * summary.capacity + 100_000, []
         for h, c in zip(table.column("hashes").to_pylist(), counts, strict=True):
-            waiting.append((np.frombuffer(h, np.uint64), c))
+            waiting.append((_unpacked(h), c))
             if sum(len(x[1]) for x in waiting) > room:
                 summary.merge(*map(np.concatenate, zip(*waiting, strict=True)))
                 waiting.clear()
@@ -206,21 +285,15 @@ def frequent_phrases(df: DataFrame, least: int = 30, longest: int = 4, text_col:
     for n in range(1, longest + 1):
         filters.append(spark.sparkContext.broadcast(_survivors(texts, n, filters, least, filter_bits, size // partition_bytes + 1, chunk_words)))
 
+    # survivors, as far as the filters tell them apart; beyond that the parts follow the text
+    survivors = sum(int(np.bitwise_count(f).sum()) for f in _opened(filters))
+    parts = max(survivors // PARTITION_PHRASES, size // (16 * partition_bytes)) + 1
+
     def exact(batches):
-        bitmaps = _opened(filters)
-        names = ["lang", "phrase", "words", "a"]
-        for chunk in _chunks(batches, chunk_words):
-            yield pa.RecordBatch.from_arrays([pa.array([chunk.lang]), pa.array([""]), pa.array([0], pa.int32()), pa.array([int((chunk.ids > 0).sum())])], names=names)
-            words = list(chunk.numbers)
-            for n, _, counts, places in chunk.phrases(longest, bitmaps, filter_bits):
-                for i in range(0, len(places), _ROWS):
-                    columns = [[words[w] for w in chunk.ids[places[i : i + _ROWS] + k]] for k in range(n)]
-                    phrases = pa.array(map(b" ".join, zip(*columns, strict=True)), pa.binary()).cast(pa.string())
-                    rows = len(phrases)
-                    yield pa.RecordBatch.from_arrays([pa.array([chunk.lang] * rows), phrases, pa.array([n] * rows, pa.int32()), pa.array(counts[i : i + _ROWS])], names=names)
-
-    counted = texts.mapInArrow(exact, "lang string, phrase string, words int, a long").groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a"))
-    stored = materialize(counted.where((F.col("words") == 0) | (F.col("a") >= least)), "phrases")
+        yield from counted(_chunks(batches, chunk_words), longest, _opened(filters), filter_bits, parts)
+
+    lists = texts.mapInArrow(exact, "part long, lang string, words int, phrases binary, counts binary").repartition(parts, "part")
+    stored = materialize(lists.mapInArrow(lambda batches: added_up(batches, least), "lang string, phrase string, words int, a long"), "phrases")
     for f in filters:
         f.destroy()
     return stored.where("words > 0"), stored.where("words = 0").select("lang", F.col("a").alias("n"))

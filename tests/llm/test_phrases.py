@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import assert_same, connect
 
@@ -155,6 +156,34 @@ def test_summary_keeps_frequent_ones():
             assert n - s.lost <= held.get(int(h), 0) <= n
 
 
+def test_a_task_hands_over_a_phrase_once():
+    """The rows of the exact count follow the different phrases of a task, not its chunks."""
+    rows = phrases_of(random.Random(4), 200)
+    batch = pa.RecordBatch.from_arrays([pa.array([lang or "und" for lang, _ in rows]), pa.array([t.encode() for _, t in rows])], names=["lang", "text"])
+    want = Counter()
+    chunks = list(c._chunks([batch], 100))
+    for chunk in chunks:
+        words = list(chunk.numbers)
+        want[chunk.lang, "", 0] += int((chunk.ids > 0).sum())
+        for n, _, counts, places in chunk.phrases(3, [], 15):
+            for a, at in zip(counts, places, strict=True):
+                want[chunk.lang, b" ".join(words[w] for w in chunk.ids[at : at + n]).decode(), n] += int(a)
+    assert len(chunks) > 50
+    lists = list(c.counted(chunks, 3, [], 15, 4))
+    held = [(r["lang"], p.decode(), r["words"]) for b in lists for r in b.to_pylist() for p in r["phrases"].split(b"\n")]
+    assert len(held) == len(set(held)) == len(want)
+    assert len(lists) <= 4 * len({x[::2] for x in held})
+    for batches in (lists, c.counted(chunks, 3, [], 15, 4, held=300)):
+        got = [tuple(r.values()) for b in c.added_up(batches, 3) for r in b.to_pylist()]
+        assert len(got) == len({r[:3] for r in got}) and {r[:3]: r[3] for r in got} == {k: v for k, v in want.items() if v >= 3 or not k[2]}
+
+
+def test_packed_hashes_keep_48_bits():
+    hashes = np.random.default_rng(5).integers(0, 2**64, 1000, np.uint64)
+    assert (c._unpacked(c._packed(hashes)) == hashes >> np.uint64(16) << np.uint64(16)).all() and len(c._packed(hashes)) == 6000
+    assert len(c._unpacked(b"")) == 0
+
+
 def test_large_counts_do_not_overflow(spark):
     big = 10**16
     df = spark.createDataFrame([(big, big + 3, big + 10**12)], "a long, l1 long, r1 long")
