@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import geo
 from .reduce import collected
@@ -13,6 +16,8 @@ from .reduce import collected
 NO_DATA = -9999.0
 #: Cells along a side of a tile.
 TILE = 32
+#: Samples that a task makes at once; a longer line's are made together.
+SAMPLES = 1 << 17
 
 
 def to_cells(points: DataFrame, pixel: float, order_by: str, origin: tuple[float, float] | None = None) -> DataFrame:
@@ -46,12 +51,57 @@ def value_at(points: DataFrame, cells: DataFrame, pixel: float, origin: tuple[fl
     return keyed.join(found, ["__col", "__row"], "left").drop("__col", "__row")
 
 
-def sample_lines(df: DataFrame, geom: str, step: float) -> DataFrame:
-    """X4. (i, point) along each line every ``step``, the end included; lines without length give no rows."""
-    usable = df.withColumn("length", geo.length(geom)).where("length > 0")
-    last = F.greatest(F.lit(1), F.ceil(F.col("length") / step).cast("int"))
-    rows = usable.withColumn("i", F.explode(F.sequence(F.lit(0), last)))
-    return rows.withColumn("point", geo.interpolate(geom, F.least(F.lit(1.0), F.col("i") * step / F.col("length"))))
+def _along(offsets: np.ndarray, x: np.ndarray, y: np.ndarray, length: np.ndarray, last: np.ndarray, step: float):
+    """(line, i, x, y) of the samples 0 to ``last`` of lines that have a length; offsets: where each line's points begin."""
+    d = np.hypot(np.diff(x), np.diff(y))  # by point; that of a line's last point isn't used
+    line = np.repeat(np.arange(len(last)), last + 1)
+    first = np.cumsum(last + 1) - last - 1
+    i = np.arange(len(line)) - first[line]
+    wanted = np.minimum(1.0, i * step / length[line]) * length[line]
+    edge = offsets[line].astype(np.int64)
+    done = np.zeros(len(line))
+    for k in np.flatnonzero(np.diff(offsets) > 2).tolist():
+        a, z, own = int(offsets[k]), int(offsets[k + 1]) - 1, slice(int(first[k]), int(first[k] + last[k] + 1))
+        ends = np.cumsum(d[a:z])
+        at = np.minimum(np.searchsorted(ends, wanted[own]), z - a - 1)
+        edge[own], done[own] = a + at, np.concatenate([[0.0], ends])[at]
+    size = d[edge]
+    t = np.where(size == 0, 0.0, (wanted - done) / np.where(size == 0, 1.0, size))
+    beyond = done + size < wanted  # by rounding: the end
+    out = [np.where(beyond, v[edge + 1], v[edge] + t * (v[edge + 1] - v[edge])) for v in (x, y)]
+    return line, i, *out
+
+
+def sample_lines(df: DataFrame, geom: str, step: float, columns: list[str] | None = None) -> DataFrame:
+    """X4. (i, point) along each line every ``step``, the end included; lines without length give no rows.
+
+    ``columns``: those of df that each sample carries along with the line's length, by default all.
+    """
+    carried = [c for c in (df.columns if columns is None else columns) if c not in ("length", "i", "point")]
+    lines = df.select(*carried, geo.length(geom).alias("length"), F.col(geom).alias("__line")).where("length > 0")
+    counted = lines.withColumn("__last", F.greatest(F.lit(1), F.ceil(F.col("length") / step).cast("int")))
+
+    def run(batches):
+        for b in batches:
+            kept = b.select([*carried, "length"])
+            g, length, last = b.column("__line"), b.column("length").to_numpy(), b.column("__last").to_numpy().astype(np.int64)
+            offsets, x, y = g.offsets.to_numpy(), *(g.values.field(c).to_numpy(zero_copy_only=False) for c in ("x", "y"))
+            turn = np.cumsum(last + 1) // SAMPLES
+            cuts = np.flatnonzero(np.diff(turn, prepend=turn[:1])).tolist()
+            for a, z in zip([0, *cuts], [*cuts, len(last)], strict=True):
+                if a == z:
+                    continue
+                at, end = int(offsets[a]), int(offsets[z])
+                line, i, px, py = _along(offsets[a : z + 1] - at, x[at:end], y[at:end], length[a:z], last[a:z], step)
+                for k in range(0, len(line), SAMPLES):
+                    part = slice(k, k + SAMPLES)
+                    own = kept.take(pa.array(line[part] + a))
+                    point = pa.StructArray.from_arrays([pa.array(px[part]), pa.array(py[part])], ["x", "y"])
+                    yield pa.RecordBatch.from_arrays([*own.columns, pa.array(i[part], pa.int32()), point], names=[*own.schema.names, "i", "point"])
+
+    point = T.StructType([T.StructField(c, T.DoubleType()) for c in ("x", "y")])
+    fields = [*counted.select(*carried, "length").schema.fields, T.StructField("i", T.IntegerType()), T.StructField("point", point)]
+    return counted.mapInArrow(run, T.StructType(fields))
 
 
 def to_tiles(cells: DataFrame, tile: int = TILE) -> DataFrame:
@@ -86,7 +136,7 @@ def elevation_stats(lines: DataFrame, cells: DataFrame, pixel: float, origin: tu
     Slopes divide by the step, also for the shorter last one. Lines without geometry, length or data get zeros. Of
     cells that share a place the highest counts.
     """
-    samples = sample_lines(lines.select(line_id, geom), geom, step).select(line_id, "i", "point")
+    samples = sample_lines(lines, geom, step, [line_id]).select(line_id, "i", "point")
     found = heights_along(samples, to_tiles(cells), pixel, origin, line_id)
     n = F.size("heights")
     steps = F.zip_with(F.slice("heights", 2, F.greatest(n - 1, F.lit(0))), F.slice("heights", 1, F.greatest(n - 1, F.lit(0))), lambda b, a: b["z"] - a["z"])

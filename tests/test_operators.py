@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from segloom.functions import geo
 from segloom.operators import enrich, network, raster, records, sync
 
 
@@ -92,6 +93,27 @@ def test_profile_of_a_slope(spark):
     assert all((got[k]["total_ascent"], got[k]["avg_slope"], got[k]["sample_count"]) == (0.0, 0.0, 0) for k in (2, 3, 4))
 
 
+def test_samples_lie_where_the_line_is(spark, monkeypatch):
+    """Lines of many edges, of repeated points, without length; and their samples are made outside of nested expressions."""
+    monkeypatch.setattr(raster, "SAMPLES", 50)
+    rng = random.Random(5)
+    rows = [(k, [(rng.uniform(0, 40), rng.uniform(0, 40)) for _ in range(rng.randrange(2, 9))]) for k in range(40)]
+    rows += [(40, [(0.0, 0.0), (0.0, 0.0), (6.0, 8.0), (6.0, 8.0)]), (41, [(1.0, 1.0), (1.0, 1.0)]), (42, None), (43, []), (44, [(2.0, 2.0)]), (45, [(0.0, 0.0), (2000.0, 0.0)])]
+    lines = spark.createDataFrame(rows, "id int, geometry array<struct<x:double,y:double>>")
+    sampled = raster.sample_lines(lines, "geometry", 2.5)
+    assert sampled.columns == ["id", "geometry", "length", "i", "point"]
+    got = {(r["id"], r["i"]): r for r in sampled.collect()}
+    last = F.greatest(F.lit(1), F.ceil(F.col("length") / 2.5).cast("int"))
+    plain = lines.withColumn("length", geo.length("geometry")).where("length > 0").withColumn("i", F.explode(F.sequence(F.lit(0), last)))
+    want = plain.withColumn("point", geo.interpolate("geometry", F.least(F.lit(1.0), F.col("i") * 2.5 / F.col("length")))).collect()
+    assert len(want) == len(got) == sampled.count() and {r["id"] for r in want} == {*range(41), 45}
+    for r in want:
+        assert tuple(got[r["id"], r["i"]]["point"]) == pytest.approx(tuple(r["point"]), abs=1e-9)
+        assert got[r["id"], r["i"]]["geometry"] == r["geometry"]
+    plan = raster.sample_lines(lines, "geometry", 2.5, ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan and "MapInArrow" in plan
+
+
 NODES = [(1, {}), (2, {"barrier": "Gate", "foot": "yes", "hgv": "no"}), (3, {}), (4, {}), (5, {"barrier": "moat"}), (6, {})]
 WAYS = [
     (10, [1, 2, 3, 4], {"highway": "residential", "name": "", "ref": "B1", "maxspeed": "30 mph", "oneway": "-1", "oneway:bicycle": "no", "foot": "designated"}),
