@@ -123,6 +123,8 @@ class Network:
         k = self.class_of[y]
         order = np.argsort(k.astype(np.int16) if len(self.bounds) < 1 << 15 else k, kind="stable")
         h, y, k = h[order], y[order], k[order]
+        h1 = np.concatenate([h, np.ones((len(h), 1), h.dtype)], 1)  # the last column takes the biases
+        c1 = np.concatenate([p["c"], p["cb"][None]])
         ones = np.ones(len(self.bounds) - 1, np.float32)
         rows = np.arange(len(y))
         kind = np.result_type(h, p["c"])
@@ -130,9 +132,8 @@ class Network:
         dh = None if grads is None else np.empty(h.shape, kind)
         size = _BLOCK if grads is None else max(1, len(y))
         for i in range(0, len(y), size):
-            hb, kb, line = h[i : i + size], k[i : i + size], rows[: min(size, len(y) - i)]
-            e = hb @ p["c"]
-            e += p["cb"]
+            hb, kb, line = h1[i : i + size], k[i : i + size], rows[: min(size, len(y) - i)]
+            e = hb @ c1
             if steep:
                 np.clip(e, -60, 60, out=e)
             own = e[line, kb]
@@ -140,21 +141,28 @@ class Network:
             s = e @ ones
             np.subtract(own, np.log(s), out=out[i : i + size])
             if grads is not None:
-                e *= (1 / s)[:, None]
-                e[line, kb] -= 1
-                grads["c"] += hb.T @ e
-                grads["cb"] += e.sum(0)
+                # the softmax's numbers aren't scaled one by one: its states are, and what they give
+                inverse = (1 / s)[:, None]
+                both = (hb * inverse).T @ e
+                grads["c"] += both[:-1]
+                grads["cb"] += both[-1]
                 np.matmul(e, p["c"].T, out=dh[i : i + size])
+                dh[i : i + size] *= inverse
         cut = np.searchsorted(k, np.arange(len(self.bounds)))
         place = y - self.bounds[k]
+        if grads is not None and len(y):
+            dh -= p["c"].T[k]
+            present = np.flatnonzero(np.diff(cut))
+            sums = np.add.reduceat(h1, cut[present])
+            grads["c"][:, present] -= sums[:, :-1].T
+            grads["cb"][present] -= sums[:, -1]
         for c in np.flatnonzero(np.diff(cut)).tolist():
             a, b = int(self.bounds[c]), int(self.bounds[c + 1])
             if b - a == 1:
                 continue
             i, j = int(cut[c]), int(cut[c + 1])
-            hc, words = h[i:j], p["o"][a:b]
-            scores = hc @ words.T
-            scores += p["ob"][a:b]
+            hc, words = h1[i:j], p["o"][a:b]
+            scores = hc @ np.concatenate([words.T, p["ob"][None, a:b]])
             if steep:
                 np.clip(scores, -60, 60, out=scores)
             own, line = place[i:j], rows[: j - i]
@@ -165,8 +173,9 @@ class Network:
             if grads is not None:
                 e *= (1 / s)[:, None]
                 e[line, own] -= 1
-                grads["o"][a:b] += e.T @ hc
-                grads["ob"][a:b] += e.sum(0)
+                both = e.T @ hc
+                grads["o"][a:b] += both[:, :-1]
+                grads["ob"][a:b] += both[:, -1]
                 dh[i:j] += e @ words
         back = np.empty_like(order)
         back[order] = rows

@@ -271,6 +271,33 @@ def test_lm_base_scores(documents, texts):
         assert r["score"] < 0
 
 
+def test_softmax_equals_a_plain_one():
+    """Logs and gradients of the factored softmax against sums written out in 64 bits."""
+    rng = np.random.default_rng(8)
+    net = lm.Network.fresh(lm.Shape(30, 5, 6), np.arange(30, 0, -1) * 3, 5)
+    net.p.update({k: rng.standard_normal(net.p[k].shape).astype(np.float32) for k in ("c", "cb", "o", "ob")})
+    h, y = rng.uniform(-1, 1, (400, 6)).astype(np.float32), rng.integers(0, 30, 400)
+    grads = {k: np.zeros_like(v) for k, v in net.p.items()}
+    logs, dh = net.log_probabilities(h, y, grads)
+    want, wanted = np.zeros(400), {k: np.zeros(net.p[k].shape) for k in ("c", "cb", "o", "ob")}
+    far = np.zeros((400, 6))
+    for i, (state, word) in enumerate(zip(h.astype(np.float64), y.tolist(), strict=True)):
+        k = int(net.class_of[word])
+        a, b = int(net.bounds[k]), int(net.bounds[k + 1])
+        for weights, bias, own, names, at in ((net.p["c"].T, net.p["cb"], k, ("c", "cb"), slice(None)), (net.p["o"][a:b], net.p["ob"][a:b], word - a, ("o", "ob"), slice(a, b))):
+            e = np.exp(weights.astype(np.float64) @ state + bias)
+            want[i] += np.log(e[own] / e.sum())
+            d = e / e.sum() - (np.arange(len(e)) == own)
+            far[i] += d @ weights
+            outer = np.outer(d, state)
+            wanted[names[0]][at] += outer.T if names[0] == "c" else outer
+            wanted[names[1]][at] += d
+    assert logs == pytest.approx(want, abs=1e-4) and dh == pytest.approx(far, abs=1e-4)
+    assert net.log_probabilities(h, y)[0] == pytest.approx(want, abs=1e-4)
+    for k, v in wanted.items():
+        assert grads[k] == pytest.approx(v, abs=2e-3)
+
+
 def test_lm_gradients_and_learning():
     rng = np.random.default_rng(0)
     net = lm.Network.fresh(lm.Shape(30, 5, 6), np.arange(30, 0, -1) * 3, 5)
