@@ -22,14 +22,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_remainder, materialize, text_bytes
 
 _LONGEST_HEAD_WORD = 64
-#: States that scoring puts through the softmax over classes at once, so that they stay in the processor's cache.
-_BLOCK = 2048
+#: States that go through the softmax over classes at once, so that they stay in the processor's cache.
+_BLOCK = 1024
+#: Positions that scoring takes in a window, or more.
+_WINDOW = 1 << 15
+#: Bytes of texts whose words are told apart at once.
+_PART = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -82,101 +87,122 @@ class Network:
             out[k], at = values[at : at + n].reshape(s).astype(np.float32), at + n
         return Network(self.shape, self.bounds, out)
 
-    def states(self, x: np.ndarray, h: np.ndarray, alive: np.ndarray | None = None, fresh: np.ndarray | None = None, keep: list | None = None):
+    def inputs(self) -> np.ndarray:
+        """What each input word gives to the gates; the sigmoids' part is negated, as their exp takes it."""
+        p, n = self.p, self.shape.hidden
+        table = p["embed"] @ p["wx"] + p["b"]
+        np.negative(table[:, : 2 * n], out=table[:, : 2 * n])
+        return table
+
+    def states(self, x: np.ndarray, h: np.ndarray, alive: np.ndarray | None = None, fresh: np.ndarray | None = None, keep: list | None = None, table: np.ndarray | None = None):
         """States after each of the inputs x (steps, rows) from h; rows after ``alive[t]`` are left out at step t.
 
-        fresh: a text begins, so its state is zero. ``keep`` collects what backpropagation needs.
+        fresh: a text begins, so its state is zero. ``keep`` collects what backpropagation needs, a line for each unit,
+        as all is inside a step: there a gate's part is one piece of memory. table: that of ``inputs``.
         """
         p, n = self.p, self.shape.hidden
-        pre = (p["embed"] @ p["wx"] + p["b"])[x]
-        out = np.empty((*x.shape, n), np.float32)
-        wh = p["wh"]
+        table = self.inputs() if table is None else table
+        wh = p["wh"].T.copy()
+        np.negative(wh[: 2 * n], out=wh[: 2 * n])
+        out = np.empty((*x.shape, n), table.dtype)
+        h = np.ascontiguousarray(h.T, table.dtype)
         for t in range(len(x)):
-            k = len(h) if alive is None else int(alive[t])
-            a, old = pre[t, :k], h[:k]
+            k = h.shape[1] if alive is None else int(alive[t])
+            if k < h.shape[1]:
+                h = h[:, :k].copy()
             if fresh is not None and fresh[t].any():
-                old = np.where(fresh[t][:, None], np.float32(0), old)
-            u = old @ wh
-            g = a[:, : 2 * n] + u[:, : 2 * n]
-            np.negative(g, out=g)
+                h = h * ~fresh[t]
+            a = table.take(x[t, :k], axis=0).T.copy()
+            u = wh @ h
+            g, c, un = a[: 2 * n], a[2 * n :], u[2 * n :]
+            g += u[: 2 * n]
             np.exp(g, out=g)
             g += 1
             np.reciprocal(g, out=g)
-            z, r = g[:, :n], g[:, n:]
-            c = r * u[:, 2 * n :]
-            c += a[:, 2 * n :]
+            z, r = g[:n], g[n:]
+            c += r * un
             np.tanh(c, out=c)
-            new = old - c
+            new = h - c
             new *= z
             new += c
             if keep is not None:
-                keep.append((old, u[:, 2 * n :], z, r, c))
-            out[t, :k] = new
+                keep.append((h, un, z, r, c))
+            out[t, :k] = new.T
             h = new
-        return out, h
+        return out, h.T
 
     def log_probabilities(self, h: np.ndarray, y: np.ndarray, grads: dict | None = None):
         """Natural log of P(class) P(word in class) for states h (m, hidden) and ids y; with grads also d(-log p)/dh."""
         p = self.p
         # states lie in -1..1, so only a degenerate model comes near the limit of exp
         steep = max(float((np.abs(w).sum(axis) + np.abs(b)).max()) for w, b, axis in ((p["c"], p["cb"], 0), (p["o"], p["ob"], 1))) > 60
+        order = np.argsort(y.astype(np.uint16) if self.shape.words <= 1 << 16 else y, kind="stable")
         k = self.class_of[y]
-        order = np.argsort(k.astype(np.int16) if len(self.bounds) < 1 << 15 else k, kind="stable")
         h, y, k = h[order], y[order], k[order]
         h1 = np.concatenate([h, np.ones((len(h), 1), h.dtype)], 1)  # the last column takes the biases
         c1 = np.concatenate([p["c"], p["cb"][None]])
+        o1 = np.concatenate([p["o"], p["ob"][:, None]], 1)
         ones = np.ones(len(self.bounds) - 1, np.float32)
+        many = np.ones(len(p["o"]), np.float32)
         rows = np.arange(len(y))
         kind = np.result_type(h, p["c"])
         out = np.empty(len(y), kind)
-        dh = None if grads is None else np.empty(h.shape, kind)
-        size = _BLOCK if grads is None else max(1, len(y))
-        for i in range(0, len(y), size):
-            hb, kb, line = h1[i : i + size], k[i : i + size], rows[: min(size, len(y) - i)]
-            e = hb @ c1
+        if grads is None:
+            dh = None
+        else:
+            dh, dc, do = np.empty(h.shape, kind), np.zeros(c1.T.shape, kind), np.zeros(o1.shape, kind)
+        block = np.empty((min(_BLOCK, len(y)), len(ones)), kind)
+        for i in range(0, len(y), _BLOCK):
+            hb, kb, line = h1[i : i + _BLOCK], k[i : i + _BLOCK], rows[: min(_BLOCK, len(y) - i)]
+            e = np.matmul(hb, c1, out=block[: len(hb)])
             if steep:
                 np.clip(e, -60, 60, out=e)
             own = e[line, kb]
             np.exp(e, out=e)
             s = e @ ones
-            np.subtract(own, np.log(s), out=out[i : i + size])
+            np.subtract(own, np.log(s), out=out[i : i + _BLOCK])
             if grads is not None:
                 # the softmax's numbers aren't scaled one by one: its states are, and what they give
                 inverse = (1 / s)[:, None]
-                both = (hb * inverse).T @ e
-                grads["c"] += both[:-1]
-                grads["cb"] += both[-1]
-                np.matmul(e, p["c"].T, out=dh[i : i + size])
-                dh[i : i + size] *= inverse
+                dc += e.T @ (hb * inverse)
+                np.matmul(e, p["c"].T, out=dh[i : i + _BLOCK])
+                dh[i : i + _BLOCK] *= inverse
         cut = np.searchsorted(k, np.arange(len(self.bounds)))
         place = y - self.bounds[k]
-        if grads is not None and len(y):
-            dh -= p["c"].T[k]
-            present = np.flatnonzero(np.diff(cut))
-            sums = np.add.reduceat(h1, cut[present])
-            grads["c"][:, present] -= sums[:, :-1].T
-            grads["cb"][present] -= sums[:, -1]
         for c in np.flatnonzero(np.diff(cut)).tolist():
             a, b = int(self.bounds[c]), int(self.bounds[c + 1])
             if b - a == 1:
                 continue
             i, j = int(cut[c]), int(cut[c + 1])
-            hc, words = h1[i:j], p["o"][a:b]
-            scores = hc @ np.concatenate([words.T, p["ob"][None, a:b]])
+            hc = h1[i:j]
+            scores = hc @ o1[a:b].T
             if steep:
                 np.clip(scores, -60, 60, out=scores)
-            own, line = place[i:j], rows[: j - i]
-            out[i:j] += scores[line, own]
+            out[i:j] += scores[rows[: j - i], place[i:j]]
             e = np.exp(scores, out=scores)
-            s = e @ np.ones(b - a, np.float32)
+            s = e @ many[: b - a]
             out[i:j] -= np.log(s)
             if grads is not None:
-                e *= (1 / s)[:, None]
-                e[line, own] -= 1
-                both = e.T @ hc
-                grads["o"][a:b] += both[:, :-1]
-                grads["ob"][a:b] += both[:, -1]
-                dh[i:j] += e @ words
+                inverse = (1 / s)[:, None]
+                np.matmul(e.T, hc * inverse, out=do[a:b])
+                more = e @ p["o"][a:b]
+                more *= inverse
+                dh[i:j] += more
+        if grads is not None and len(y):
+            # what comes of the words themselves, which stand in a row
+            first = np.flatnonzero(np.diff(y, prepend=-1))
+            words = y[first]
+            own = np.add.reduceat(h1, first)
+            alone = np.diff(self.bounds)[k] == 1
+            dh -= p["c"].T[k]
+            dh -= np.where(alone[:, None], 0, p["o"][y]) if alone.any() else p["o"][y]
+            present = np.flatnonzero(np.diff(cut))
+            dc[present] -= np.add.reduceat(own, np.searchsorted(words, self.bounds[present]))
+            do[words] -= np.where(alone[first][:, None], 0, own)
+            grads["c"] += dc[:, :-1].T
+            grads["cb"] += dc[:, -1]
+            grads["o"] += do[:, :-1]
+            grads["ob"] += do[:, -1]
         back = np.empty_like(order)
         back[order] = rows
         return out[back], dh if dh is None else dh[back]
@@ -193,31 +219,40 @@ class Network:
         m = y.size
         logs, dh = self.log_probabilities(hs.reshape(m, n), y.ravel(), grads)
         dh = dh.reshape(*x.shape, n)
-        back = np.zeros_like(h)
-        dpre = np.empty((*x.shape, 3 * n), np.float32)
-        dus = np.empty((*x.shape, 3 * n), np.float32)
-        wh = p["wh"].T.copy()
+        back = np.zeros((n, len(h)), dh.dtype)
+        # a line for each unit of four parts: candidate within the reset gate, update gate, reset gate, candidate
+        parts = np.empty((len(x), 4 * n, len(h)), dh.dtype)
+        wh = np.concatenate([p["wh"][:, 2 * n :], p["wh"][:, : 2 * n]], 1)
+        dwh = np.zeros_like(wh)
         for t in range(len(x) - 1, -1, -1):
             old, un, z, r, c = kept[t]
-            d = dh[t] + back
-            dc = d * (1 - z) * (1 - c * c)
-            own = dpre[t]
-            np.multiply(d * (old - c), z * (1 - z), out=own[:, :n])
-            np.multiply(dc * un, r * (1 - r), out=own[:, n : 2 * n])
-            own[:, 2 * n :] = dc
-            du = dus[t]
-            du[:, : 2 * n] = own[:, : 2 * n]
-            np.multiply(dc, r, out=du[:, 2 * n :])
-            back = d * z + du @ wh
+            own = parts[t]
+            du, dz, dr, dc = own[:n], own[n : 2 * n], own[2 * n : 3 * n], own[3 * n :]
+            back += dh[t].T
+            rest = 1 - z
+            np.multiply(back, rest, out=dc)
+            np.subtract(old, c, out=dz)
+            dz *= back
+            dz *= z
+            dz *= rest
+            c *= c
+            np.subtract(1, c, out=c)
+            dc *= c
+            np.multiply(dc, r, out=du)
+            np.multiply(du, un, out=dr)
+            dr *= np.subtract(1, r, out=r)
+            back *= z
+            back += wh @ own[: 3 * n]
             if fresh[t].any():
-                back[fresh[t]] = 0
-        grads["wh"] += np.concatenate([k[0] for k in kept]).T @ dus.reshape(m, 3 * n)
-        flat = dpre.reshape(m, 3 * n)
+                back *= ~fresh[t]
+            dwh += old @ own[: 3 * n].T
+        grads["wh"] += np.concatenate([dwh[:, n:], dwh[:, :n]], 1)
+        flat = parts[:, n:].transpose(1, 0, 2).reshape(3 * n, m)
         inputs = x.ravel()
-        grads["b"] += flat.sum(0)
+        grads["b"] += flat.sum(1)
         order = np.argsort(inputs.astype(np.uint16) if self.shape.words <= 1 << 16 else inputs, kind="stable")
         ids, first = np.unique(inputs[order], return_index=True)
-        by_word = np.add.reduceat(flat[order], first)  # what each input word's projection gets
+        by_word = np.add.reduceat(flat.take(order, axis=1), first, axis=1).T.copy()  # what each input word's projection gets
         grads["wx"] += p["embed"][ids].T @ by_word
         grads["embed"][ids] += by_word @ p["wx"].T
         return {k: g / m for k, g in grads.items()}, h, float(logs.sum())
@@ -261,61 +296,83 @@ class Trainer:
             self.loss -= logs
 
 
-def score_texts(net: Network, texts: list[np.ndarray], window: int = 32) -> np.ndarray:
-    """Natural log-likelihood of each id array (its end included); the state is carried from window to window."""
+def score_texts(net: Network, texts: list[np.ndarray], window: int = 32, rows: int = 1024) -> np.ndarray:
+    """Natural log-likelihood of each id array (its end included); the state is carried from window to window.
+
+    Texts of like length go together, ``rows`` at a time. A window has at least ``window`` steps, and more where few
+    texts are left, so that long texts don't meet the softmax in crumbs.
+    """
     order = np.argsort([-len(t) for t in texts], kind="stable")
-    lengths = np.array([len(texts[i]) for i in order], np.int64)
+    out, table = np.zeros(len(texts)), net.inputs()
+    for a in range(0, len(order), rows):
+        own = order[a : a + rows]
+        out[own] = _score_alike(net, [texts[i] for i in own], window, table)
+    return out
+
+
+def _score_alike(net: Network, texts: list[np.ndarray], window: int, table: np.ndarray) -> np.ndarray:
+    """``score_texts`` of a few texts, the longest first."""
+    lengths = np.array([len(t) for t in texts], np.int64)
     out = np.zeros(len(texts))
     h = np.zeros((len(texts), net.shape.hidden), np.float32)
-    flat = np.concatenate([texts[i] for i in order]) if len(texts) else np.zeros(0, np.int32)
+    flat = np.concatenate(texts)
     begins = np.cumsum(lengths) - lengths
     at = 0
-    while at < (lengths[0] if len(lengths) else 0):
+    while at < lengths[0]:
         rows = int(np.searchsorted(-lengths, -at, "left"))  # longer than ``at``
-        steps = int(min(window, lengths[0] - at))
+        steps = int(min(max(window, _WINDOW // rows), lengths[0] - at))
         alive = np.searchsorted(-lengths, -(at + np.arange(steps)), "left")
         spots = begins[:rows] + at + np.arange(steps)[:, None]  # those past a text's end are left out below
-        y = flat[np.minimum(spots, len(flat) - 1)]
         x = flat[np.clip(spots - 1, 0, len(flat) - 1)]
         if not at:
             x[0] = 0
-        hs, last = net.states(x, h[:rows], alive)
-        h = last
+        hs, h = net.states(x, h[:rows], alive, table=table)
         inside = np.arange(rows) < alive[:, None]
-        logs, _ = net.log_probabilities(hs[inside], y[inside])
+        logs, _ = net.log_probabilities(hs[inside], flat[spots[inside]])
         who = np.broadcast_to(np.arange(rows), inside.shape)[inside]
-        out[order[:rows]] += np.bincount(who, logs.astype(np.float64), rows)
+        out[:rows] += np.bincount(who, logs.astype(np.float64), rows)
         at += steps
     return out
 
 
-def _parts(texts: list, limit: int):
-    """Ranges of rows of about ``limit`` bytes or numbers."""
-    a, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > limit:
-            yield a, i
-            a, size = i, 0
-        size += len(t)
-    if texts:
-        yield a, len(texts)
+def _parts(sizes: np.ndarray, limit: int):
+    """Ranges of rows of about ``limit`` bytes or numbers, from the size of each row."""
+    ends = np.cumsum(sizes)
+    a, before = 0, 0
+    while a < len(ends):
+        z = max(a + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield a, z
+        a, before = z, int(ends[z - 1])
+
+
+def _sizes(texts: pa.Array) -> np.ndarray:
+    return pc.binary_length(texts).to_numpy().astype(np.int64)
+
+
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(text, word) of all words of binary texts, in their order, as numbers; the distinct words. A-Z count as a-z."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.large_string() if pa.types.is_large_binary(texts.type) else pa.string())))
+    coded = lists.flatten().dictionary_encode()
+    code = coded.indices.to_numpy()
+    row = np.repeat(np.arange(len(texts), dtype=np.int32), lists.value_lengths().to_numpy())
+    words = coded.dictionary.view(texts.type)
+    none = pc.index(words, pa.scalar(b"", texts.type)).as_py()  # beside white space at a text's begin or end
+    if none >= 0:
+        kept = code != none
+        row, code = row[kept], code[kept]
+    return row, code, words
 
 
 def count_words(texts: DataFrame) -> DataFrame:
-    """(word binary, n) over all rows of (text binary); each task adds up what it meets before the shuffle."""
+    """(word binary, n) over all rows of (text binary); the words of a few megabytes are added up before the shuffle."""
 
     def run(batches):
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(tally.keys(), pa.binary()), pa.array(tally.values(), pa.int64())], names=["word", "n"])
-
-        tally: Counter[bytes] = Counter()
         for b in batches:
-            for t in b.column(0).to_pylist():
-                tally.update(t.lower().split())
-                if len(tally) > 250_000:
-                    yield out()
-                    tally.clear()
-        yield out()
+            texts = b.column(0)
+            for a, z in _parts(_sizes(texts), _PART):
+                _, code, words = _words(texts.slice(a, z - a))
+                n = np.bincount(code, minlength=len(words))
+                yield pa.RecordBatch.from_arrays([words.cast(pa.binary()), pa.array(n, pa.int64())], names=["word", "n"]).filter(pa.array(n > 0))
 
     return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -375,11 +432,6 @@ def _vocabulary(counts: Counts, words: int) -> tuple[np.ndarray, np.ndarray, flo
     return ids, np.concatenate([[counts.documents, rest_tokens], counts.head_counts[:known]]), float(rest_tokens + rest_words + 1)
 
 
-def _ranks(text: bytes, get) -> tuple[list[bytes], np.ndarray]:
-    words = text.lower().split()
-    return words, np.array([get(w, -1) for w in words], np.int32)
-
-
 def encode_documents(rows: DataFrame, counts: Counts, ids: np.ndarray, log_others: float) -> DataFrame:
     """Rows (id, held_out, key, row, text) as network ids, with the word statistics of their texts.
 
@@ -387,33 +439,33 @@ def encode_documents(rows: DataFrame, counts: Counts, ids: np.ndarray, log_other
     that are one symbol to the network. rare_words, rare_n: words outside the head, listed at the first row of a key
     in each part of a batch only.
     """
-    head = counts.head
+    head = pa.array(counts.head.keys(), pa.binary())
     logs = np.append(np.log10(counts.head_counts + 1.0), 0.0)
     kind = np.uint16 if len(ids) and int(ids.max()) < 1 << 16 else np.uint32
 
     def run(batches):
         names = ["id", "held_out", "key", "row", "ids", "n_tokens", "n_head", "head_log", "n_tail", "outside", "rare_words", "rare_n"]
         for b in batches:
-            keys, texts = b.column(2).to_pylist(), b.column(4).to_pylist()
-            for a, z in _parts(texts, 4 << 20):
-                arrays, n_head, head_log, n_tail, outside, rare_words, rare_n, seen = [], [], [], [], [], [], [], set()
-                for key, t in zip(keys[a:z], texts[a:z], strict=True):
-                    words, rank = _ranks(t, head.get)
-                    y, far = ids[rank], np.flatnonzero(rank < 0)
-                    arrays.append(np.append(y, 0).astype(kind).tobytes())
-                    n_tail.append(len(far))
-                    n_head.append(len(rank) - len(far))
-                    head_log.append(float(logs[rank].sum()))
-                    foreign = y == 1
-                    outside.append(float(logs[rank[foreign]].sum()) - int(foreign.sum()) * log_others)
-                    found = Counter([words[i] for i in far.tolist()]) if key not in seen else {}
-                    seen.add(key)
-                    rare_words.append(list(found))
-                    rare_n.append(list(found.values()))
-                columns = [b.column(i).slice(a, z - a) for i in range(4)]
-                columns += [pa.array(arrays, pa.binary()), pa.array([len(x) // kind().itemsize for x in arrays], pa.int64())]
-                columns += [pa.array(n_head, pa.int64()), pa.array(head_log, pa.float64()), pa.array(n_tail, pa.int64()), pa.array(outside, pa.float64())]
-                columns += [pa.array(rare_words, pa.list_(pa.binary())), pa.array(rare_n, pa.list_(pa.int64()))]
+            keys, texts = b.column(2).to_numpy(), b.column(4)
+            for a, z in _parts(_sizes(texts), _PART):
+                n = z - a
+                row, code, words = _words(texts.slice(a, n))
+                rank = pc.fill_null(pc.index_in(words, value_set=head.cast(words.type)), -1).to_numpy()[code]
+                y, log, far = ids[rank], logs[rank], rank < 0
+                numbers = np.zeros(len(row) + n, kind)  # an end (0) after each text
+                numbers[np.arange(len(row)) + row] = y
+                n_words, n_tail = np.bincount(row, minlength=n), np.bincount(row[far], minlength=n)
+                foreign = y == 1
+                outside = np.bincount(row[foreign], log[foreign] - log_others, n)
+                once = np.zeros(n, bool)
+                once[np.unique(keys[a:z], return_index=True)[1]] = True
+                far &= once[row]
+                pairs, times = np.unique(row[far].astype(np.int64) * len(words) + code[far], return_counts=True)
+                at, rare = np.divmod(pairs, max(1, len(words)))
+                ends = np.searchsorted(at, np.arange(n + 1)).astype(np.int32)
+                columns = [b.column(i).slice(a, n) for i in range(4)]
+                columns += [_binaries(numbers, n_words + 1), pa.array(n_words + 1, pa.int64()), pa.array(n_words - n_tail, pa.int64()), pa.array(np.bincount(row, log, n).astype(np.float64)), pa.array(n_tail, pa.int64()), pa.array(outside.astype(np.float64))]
+                columns += [pa.ListArray.from_arrays(ends, words.take(pa.array(rare)).cast(pa.binary())), pa.ListArray.from_arrays(ends, pa.array(times, pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     own = rows.schema["id"].dataType.simpleString()
@@ -421,6 +473,12 @@ def encode_documents(rows: DataFrame, counts: Counts, ids: np.ndarray, log_other
     return materialize(rows.select("id", "held_out", "key", "row", "text").mapInArrow(run, schema), "encoded")
 
 
+def _binaries(numbers: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """The numbers, cut into binary values of so many each."""
+    ends = np.concatenate([[0], np.cumsum(lengths) * numbers.itemsize]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(numbers)])
+
+
 def _arrays(column: pa.Array, words: int) -> list[np.ndarray]:
     kind = np.uint16 if words <= 1 << 16 else np.uint32
     return [np.frombuffer(x, kind).astype(np.int32) for x in column.to_pylist()]
@@ -522,7 +580,7 @@ def score_documents(
     def score(batches):
         for b in batches:
             texts = _arrays(b.column(7), net.shape.words)
-            for a, z in _parts(texts, 2 << 20):
+            for a, z in _parts(np.array([len(t) for t in texts], np.int64), 4 << 20):
                 s = score_texts(net, texts[a:z]) / math.log(10) + b.column(8).slice(a, z - a).to_numpy()
                 yield pa.RecordBatch.from_arrays([*(b.column(i).slice(a, z - a) for i in range(7)), pa.array(s, pa.float64())], names=[*kept, "score"])
 

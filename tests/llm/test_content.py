@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -298,6 +299,27 @@ def test_softmax_equals_a_plain_one():
         assert grads[k] == pytest.approx(v, abs=2e-3)
 
 
+def test_softmax_of_classes_of_one_word():
+    """Classes of one word beside larger ones: gradients against differences of the loss, in 64 bits."""
+    rng = np.random.default_rng(4)
+    net = lm.Network.fresh(lm.Shape(7, 3, 4), np.array([900, 400, 3, 2, 1, 1, 1]), 3)
+    assert 1 in np.diff(net.bounds) and np.diff(net.bounds).max() > 1
+    net.p = {k: v.astype(np.float64) + rng.standard_normal(v.shape) * 0.3 for k, v in net.p.items()}
+    h, y = rng.uniform(-1, 1, (40, 4)), rng.integers(0, 6, 40)
+    grads = {k: np.zeros_like(v) for k, v in net.p.items()}
+    logs, dh = net.log_probabilities(h, y, grads)
+    assert net.log_probabilities(h, y)[0] == pytest.approx(logs)
+    for values, got in [(h, dh), *((net.p[k], grads[k]) for k in ("c", "cb", "o", "ob"))]:
+        for i in np.ndindex(values.shape):
+            old = values[i]
+            sides = []
+            for step in (1e-5, -1e-5):
+                values[i] = old + step
+                sides.append(-net.log_probabilities(h, y)[0].sum())
+            values[i] = old
+            assert got[i] == pytest.approx((sides[0] - sides[1]) / 2e-5, abs=1e-6)
+
+
 def test_lm_gradients_and_learning():
     rng = np.random.default_rng(0)
     net = lm.Network.fresh(lm.Shape(30, 5, 6), np.arange(30, 0, -1) * 3, 5)
@@ -440,6 +462,30 @@ def test_lm_windows_carry_the_state():
         assert lm.score_texts(net, texts, window) == pytest.approx(whole, rel=1e-4)
 
 
+def test_lm_long_texts_meet_the_softmax_in_few_windows(monkeypatch):
+    """The work of a call is not spent on a handful of positions where few texts are left."""
+    rng = np.random.default_rng(3)
+    net = lm.Network.fresh(lm.Shape(20, 4, 5), np.ones(20), 4)
+    texts = [np.append(rng.integers(1, 20, n), 0) for n in (20_000, 90, 30, 0)]
+    whole, plain, sizes = lm.score_texts(net, texts), lm.Network.log_probabilities, []
+    monkeypatch.setattr(lm.Network, "log_probabilities", lambda self, h, y, *a: (sizes.append(len(y)), plain(self, h, y, *a))[1])
+    assert lm.score_texts(net, texts) == pytest.approx(whole)
+    assert sum(sizes) == sum(map(len, texts)) and len(sizes) <= 20
+    alone = [lm.score_texts(net, [t])[0] for t in texts]
+    assert whole == pytest.approx(alone, rel=1e-4)
+
+
+def test_lm_words_are_those_of_split():
+    texts = [b"", b"  A b\x0b\x0cB\r\n", b" ", "\u00c4\u00e4 \u00a0x\x1c\x00y\u2003Z".encode(), b"a", b"\t"]
+    for column in (pa.array(texts, pa.binary()), pa.array([b"zz", *texts], pa.binary()).slice(1), pa.array(texts, pa.large_binary())):
+        row, code, words = lm._words(column)
+        got = [[] for _ in texts]
+        for r, w in zip(row.tolist(), code.tolist(), strict=True):
+            got[r].append(words[w].as_py())
+        assert got == [t.lower().split() for t in texts]
+    assert [len(x) for x in lm._words(pa.array([b"", b" "], pa.binary()))[:2]] == [0, 0]
+
+
 def test_lm_odd_rows(empty, clashing):
     assert lm.score_documents(empty).count() == 0
     rows = lm.score_documents(clashing, words=10).collect()
