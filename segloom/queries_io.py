@@ -353,7 +353,7 @@ def lines_within(s, d):
     step = lambda k: geo.point(F.col("x1") + (F.col("x2") - F.col("x1")) * k, F.col("y1") + (F.col("y2") - F.col("y1")) * k)
     long = w.select("id", geo.line(*(step(k) for k in (0, 2, 4, 8, 16))).alias("geometry"))
     even, odd = long.where("id % 2 = 0"), long.where("id % 2 = 1").withColumnRenamed("id", "other")
-    return match.lines_within(even, odd, 120.0, enr_id="other").select("id", "other", _r("distance"))
+    return match.lines_within(even, odd, 120.0, enr_id="other", digits=4)
 
 
 _STARS = """stars AS (SELECT p_partkey // 200 AS area_id, p_partkey % 200 AS k, (p_partkey // 200) * 7919 % 18000 + 1000 AS cx, (p_partkey // 200) * 104729 % 18000 + 1000 AS cy, 300 + p_size * 13 % 700 AS r FROM part),
